@@ -112,7 +112,9 @@ def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``transactions_view`` written once per application, as a landed batch is."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        _landed[key] = materialise(transactions_view(spark, sf_dir), "landed").path
+        view = transactions_view(spark, sf_dir)
+        parts = spark.sparkContext.defaultParallelism
+        _landed[key] = materialise(view.repartition(parts, "source_key"), "landed").path
     return spark.read.parquet(_landed[key])
 
 
