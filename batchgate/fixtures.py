@@ -105,19 +105,6 @@ def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_landed: dict[tuple[str, str], str] = {}
-
-
-def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``transactions_view`` written once per application, as a landed batch is."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        view = transactions_view(spark, sf_dir)
-        parts = spark.sparkContext.defaultParallelism
-        _landed[key] = materialise(view.repartition(parts, "source_key"), "landed").path
-    return spark.read.parquet(_landed[key])
-
-
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One arriving file per document, ``size_bytes`` its text length."""
     d = F.col("doc_id")
@@ -144,3 +131,23 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").alias("size_bytes"),
         (d % 17 == 2).alias("already_processed"),
     )
+
+
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def _land(spark: SparkSession, sf_dir: str, name: str, view, key: str) -> DataFrame:
+    """A view written once per application, the way an arriving batch is staged."""
+    which = (spark.sparkContext.applicationId, sf_dir, name)
+    if which not in _landed:
+        parts = spark.sparkContext.defaultParallelism
+        _landed[which] = materialise(view(spark, sf_dir).repartition(parts, key), name).path
+    return spark.read.parquet(_landed[which])
+
+
+def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _land(spark, sf_dir, "transactions", transactions_view, "source_key")
+
+
+def landed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _land(spark, sf_dir, "listing", listing_view, "arrival_seq")

@@ -48,6 +48,12 @@ def bench_ids(rows: DataFrame) -> NotableIds:
     return notable_ids(rows, [], _own_id(), _has_id(), _wanted_id())
 
 
+def attach_whole_input(rows: DataFrame, ids: NotableIds, **limits) -> DataFrame:
+    """Add ``same_id`` and ``orphan`` with the whole input as one file."""
+    spread = F.monotonically_increasing_id()
+    return attach_ids(rows, ids, [], _own_id(), _has_id(), _wanted_id(), spread, **limits)
+
+
 def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
@@ -95,16 +101,7 @@ def bench_validate(
             | flags["zero_value"],
         }
     )
-    known = attach_ids(
-        own,
-        ids,
-        [],
-        _own_id(),
-        _has_id(),
-        _wanted_id(),
-        F.monotonically_increasing_id(),
-        **limits,
-    )
+    known = attach_whole_input(own, ids, **limits)
     critical = F.col("__critical") | (F.col("same_id") > 1) | F.col("orphan")
     return (
         known.withColumn("critical", critical)

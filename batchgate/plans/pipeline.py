@@ -145,8 +145,8 @@ def process_incoming(
     """Process the files under ``root``/incoming/ into ``root``/processed/.
 
     ``files`` replaces the listing: (bucket, source_key, size_bytes,
-    arrival_seq), from notification events say; ``keys`` then names the files
-    to be opened, and without it all of incoming/ is.
+    arrival_seq), from notification events say. ``keys`` restricts the run to
+    these files; without it all of incoming/ is read.
     """
     root = root.rstrip("/")
     processed = f"{root}/{S.PROCESSED_PREFIX.rstrip('/')}"
@@ -160,7 +160,7 @@ def process_incoming(
         return table
 
     if files is None:
-        listed = list_incoming(spark, root)
+        listed = list_incoming(spark, root, keys=keys)
         files = listed.withColumn("arrival_seq", F.struct("modified_at", "source_key"))
     gated = keep(_gate(spark, files, processed, as_of, max_bytes, stale_days), "gated")
     admitted = gated.df.where("admitted")

@@ -28,19 +28,22 @@ def list_incoming(
     root: str,
     prefix: str = S.INCOMING_PREFIX,
     suffix: str = ".csv",
+    keys: list[str] | None = None,
 ) -> DataFrame:
     """(bucket, source_key, size_bytes, modified_at) of every arriving file.
 
     The files themselves are not opened: their content column is pruned.
+    ``keys`` lists just these files.
     """
+    base = root.rstrip("/")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*{suffix}")
         .option("recursiveFileLookup", "true")
-        .load(f"{root.rstrip('/')}/{prefix}")
+        .load([f"{base}/{prefix}"] if keys is None else [f"{base}/{k}" for k in keys])
     )
     return files.select(
-        F.lit(root.rstrip("/")).alias("bucket"),
+        F.lit(base).alias("bucket"),
         relative_key(spark, root).alias("source_key"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified_at"),
@@ -54,12 +57,12 @@ def explode_events(events: DataFrame, json_column: str = "event_json") -> DataFr
     within its event.
     """
     keep = [c for c in events.columns if c != json_column]
-    parsed = events.select(*keep, F.from_json(json_column, S.EVENT_DDL).alias("event"))
-    records = parsed.select(*keep, F.posexplode("event.Records").alias("position", "record"))
+    parsed = events.select(*keep, F.from_json(json_column, S.EVENT_DDL).alias("__event"))
+    records = parsed.select(*keep, F.posexplode("__event.Records").alias("position", "__record"))
     return records.select(
         *keep,
         "position",
-        F.col("record.s3.bucket.name").alias("bucket"),
-        F.col("record.s3.object.key").alias("source_key"),
-        F.coalesce(F.col("record.s3.object.size"), F.lit(0)).alias("size_bytes"),
+        F.col("__record.s3.bucket.name").alias("bucket"),
+        F.col("__record.s3.object.key").alias("source_key"),
+        F.coalesce(F.col("__record.s3.object.size"), F.lit(0)).alias("size_bytes"),
     )

@@ -16,7 +16,7 @@ def read_manifest(spark: SparkSession, path: str, one_document: bool = False) ->
     instead; such a document is held by one task, so it suits samples only.
     """
     if one_document:
-        text = spark.read.option("wholetext", "true").text(path)
+        text = spark.read.text(path, wholetext=True)
         entries = F.explode(F.from_json("value", S.MANIFEST_DDL)).alias("transaction_id", "entry")
         return text.select(entries).select("transaction_id", "entry.defect", "entry.severity")
     return spark.read.schema("transaction_id string, defect string, severity string").json(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from batchgate.functions import draw
 from batchgate.operators.linkage import link_refunds
+from batchgate.session import materialise
 from batchgate.synth.clean import clean_rows, row_numbers
 from batchgate.synth.defects import inject_defects
 
@@ -38,8 +39,8 @@ def generate_seeded(
     batch_day: date | str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """A shuffled batch with known defects, and the manifest of them."""
-    clean = generate_benchmark(spark, n, seed, batch_id, batch_day)
-    rows, manifest = inject_defects(clean, defect_rate, seed)
+    clean = materialise(generate_benchmark(spark, n, seed, batch_id, batch_day), "clean")
+    rows, manifest = inject_defects(clean.df, defect_rate, seed)
     return shuffle_rows(relink(rows, seed), seed), manifest
 
 
