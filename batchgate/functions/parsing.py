@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 PLAIN_NUMBER = r"\A[+-]?[0-9]{1,18}(?:\.[0-9]{1,18})?\z"
 
-_SPACES = r"\t-\r\x1c-\x1f\x85\p{Z}"
+_SPACES = r"\t-\r\x85\p{Z}"
 _DIGITS = r"\p{Nd}(?:_?\p{Nd})*"
 FINITE = (
     rf"\A[{_SPACES}]*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from batchgate.operators.ids import NotableIds, attach_ids, notable_ids
 from batchgate.operators.rows import (
     ROW_RULES,
     RowRule,
-    as_of_column,
     check_rows,
     present,
     result_id,
@@ -37,6 +37,7 @@ INLINE_ROWS_PER_ID = 256
 COUNTS = ["total_rows", "passed", "rejected_critical", "flagged_warning_only"]
 
 
+@cache
 def duplicate_detail() -> Column:
     return F.when(
         F.col("same_id") > 1,
@@ -58,6 +59,7 @@ def _orphan_entry(related: Column) -> Column:
     return violation("orphaned_refund", S.CRITICAL, orphan_detail(related))
 
 
+@cache
 def wanted_id() -> Column:
     """Id a sound refund refers to, blank if it names none; null for other rows."""
     refund = F.col("ok") & F.coalesce(F.col("transaction_type") == "refund", F.lit(False))
@@ -73,8 +75,8 @@ class ValidatedBatch:
     """
 
     rows: DataFrame
-    as_of: Column
-    rules: list[RowRule]
+    as_of: date | str | None
+    rules: tuple[RowRule, ...]
     ids: NotableIds
     scope: list[str] = field(default_factory=lambda: list(SCOPE))
 
@@ -176,6 +178,7 @@ class ValidatedBatch:
 _ENTRY_DDL = "struct<row_seq:bigint,related_transaction_id:string>"
 
 
+@cache
 def count_columns() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("total_rows"),
@@ -205,7 +208,7 @@ def judge(checked: DataFrame, ids: NotableIds, scope: list[str] = SCOPE, **limit
 def validate_batch(
     rows: DataFrame,
     as_of: date | str | None = None,
-    rules: list[RowRule] = ROW_RULES,
+    rules: tuple[RowRule, ...] = ROW_RULES,
     scope: list[str] = SCOPE,
     **limits,
 ) -> ValidatedBatch:
@@ -224,4 +227,5 @@ def validate_batch(
         counted=F.col("ok"),
         wanted=wanted_id(),
     )
-    return ValidatedBatch(judge(checked, ids, scope, **limits), as_of_column(as_of), rules, ids, list(scope))
+    judged = judge(checked, ids, scope, **limits)
+    return ValidatedBatch(judged, as_of, rules, ids, list(scope))

@@ -3,6 +3,9 @@
 A rule is a column holding the detail text where it fires and null where it
 does not. Rows carry only flags through the pipeline; the violation arrays
 are built for the rows that need them.
+
+Building an expression tree from Python takes a round trip per node, so the
+trees are built once and reused.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +45,7 @@ def present(*violations: Column) -> Column:
 # --- structural gate -------------------------------------------------------
 
 
+@cache
 def parsed_columns() -> dict[str, Column]:
     return {
         "amount_num": parse_number(F.col("amount")),
@@ -49,6 +54,7 @@ def parsed_columns() -> dict[str, Column]:
     }
 
 
+@cache
 def any_required_blank() -> Column:
     blank = F.lit(False)
     for name in S.REQUIRED_COLUMNS:
@@ -56,10 +62,12 @@ def any_required_blank() -> Column:
     return blank
 
 
+@cache
 def structurally_ok() -> Column:
     return ~any_required_blank() & F.col("amount_num").isNotNull() & F.col("txn_dt").isNotNull()
 
 
+@cache
 def structural_violations() -> Column:
     """Every blank required field, or else the first value that does not parse."""
     blanks = [
@@ -86,6 +94,7 @@ def structural_violations() -> Column:
     )
 
 
+@cache
 def result_id() -> Column:
     return F.when(is_blank(F.col("transaction_id")), F.lit("UNKNOWN")).otherwise(
         F.col("transaction_id")
@@ -151,25 +160,33 @@ class RowRule:
 
 
 # Evaluated in this order. A further rule is one further entry.
-ROW_RULES = [
+ROW_RULES = (
     RowRule("invalid_enum_value", S.WARNING, _unknown_value),
     RowRule("date_logic_violation", S.CRITICAL, _dates_disagree),
     RowRule("amount_sign_mismatch", S.WARNING, _wrong_sign),
     RowRule("status_amount_inconsistency", S.WARNING, _failed_with_amount),
     RowRule("zero_value_transaction", S.WARNING, _zero_amount),
-]
+)
 
 
-def rule_violations(as_of: Column, rules: list[RowRule] = ROW_RULES) -> Column:
-    return present(*[violation(r.name, r.severity, r.detail(as_of)) for r in rules])
+@cache
+def rule_violations(
+    as_of: date | str | None = None, rules: tuple[RowRule, ...] = ROW_RULES
+) -> Column:
+    day = as_of_column(as_of)
+    return present(*[violation(r.name, r.severity, r.detail(day)) for r in rules])
 
 
-def _any_fires(as_of: Column, severity: str, rules: list[RowRule]) -> Column:
-    hit = F.lit(False)
+@cache
+def rule_flags(
+    as_of: date | str | None = None, rules: tuple[RowRule, ...] = ROW_RULES
+) -> dict[str, Column]:
+    """``rule_critical`` and ``rule_warning``: does a rule of that severity fire?"""
+    day = as_of_column(as_of)
+    fires = {S.CRITICAL: F.lit(False), S.WARNING: F.lit(False)}
     for rule in rules:
-        if rule.severity == severity:
-            hit = hit | rule.detail(as_of).isNotNull()
-    return hit
+        fires[rule.severity] = fires[rule.severity] | rule.detail(day).isNotNull()
+    return {f"rule_{severity}": F.col("ok") & fired for severity, fired in fires.items()}
 
 
 def with_all_columns(rows: DataFrame) -> DataFrame:
@@ -179,18 +196,13 @@ def with_all_columns(rows: DataFrame) -> DataFrame:
 
 
 def check_rows(
-    rows: DataFrame, as_of: date | str | None = None, rules: list[RowRule] = ROW_RULES
+    rows: DataFrame,
+    as_of: date | str | None = None,
+    rules: tuple[RowRule, ...] = ROW_RULES,
 ) -> DataFrame:
     """Add parsed values, ``ok``, ``rule_critical`` and ``rule_warning``.
 
     Raw text columns stay as they came. No shuffle.
     """
-    day = as_of_column(as_of)
     parsed = with_all_columns(rows).withColumns(parsed_columns())
-    gated = parsed.withColumn("ok", structurally_ok())
-    return gated.withColumns(
-        {
-            "rule_critical": F.col("ok") & _any_fires(day, S.CRITICAL, rules),
-            "rule_warning": F.col("ok") & _any_fires(day, S.WARNING, rules),
-        }
-    )
+    return parsed.withColumn("ok", structurally_ok()).withColumns(rule_flags(as_of, rules))

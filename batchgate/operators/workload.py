@@ -7,6 +7,7 @@ repeated ids over all rows, sound or not.
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,25 +18,31 @@ from batchgate.operators.ids import NotableIds, attach_ids, notable_ids
 from batchgate.operators.rows import any_required_blank, as_of_column
 
 
+@cache
+def _parsed_columns() -> dict[str, Column]:
+    return {
+        "amount_parsed": parse_number(F.col("amount")),
+        "transaction_date_parsed": parse_iso_date(F.col("transaction_date")),
+        "posted_date_parsed": parse_iso_date(F.col("posted_date")),
+    }
+
+
 def bench_parse(rows: DataFrame) -> DataFrame:
     """Add parsed amount and dates, null where the text does not parse."""
-    return rows.withColumns(
-        {
-            "amount_parsed": parse_number(F.col("amount")),
-            "transaction_date_parsed": parse_iso_date(F.col("transaction_date")),
-            "posted_date_parsed": parse_iso_date(F.col("posted_date")),
-        }
-    )
+    return rows.withColumns(_parsed_columns())
 
 
+@cache
 def _own_id() -> Column:
     return F.col("transaction_id")
 
 
+@cache
 def _has_id() -> Column:
     return ~is_blank(F.col("transaction_id"))
 
 
+@cache
 def _wanted_id() -> Column:
     return F.when(
         F.col("transaction_type") == "refund",
@@ -58,6 +65,7 @@ def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+@cache
 def row_flags(as_of: date | str | None = None) -> dict[str, Column]:
     """Flags that depend on the row alone, false where a value is missing."""
     amount = F.col("amount_parsed")
@@ -83,41 +91,52 @@ def row_flags(as_of: date | str | None = None) -> dict[str, Column]:
     }
 
 
-def bench_validate(
-    parsed: DataFrame,
-    as_of: date | str | None = None,
-    ids: NotableIds | None = None,
-    **limits,
-) -> DataFrame:
-    """Add ``critical`` and ``warning``; a critical row carries no warning."""
-    ids = ids or bench_ids(parsed)
+@cache
+def _own_flags(as_of: date | str | None) -> dict[str, Column]:
     flags = row_flags(as_of)
-    own = parsed.withColumns(
-        {
-            "__critical": flags["missing_required"] | flags["date_logic"],
-            "__warning": flags["invalid_enum"]
-            | flags["amount_sign"]
-            | flags["status_amount"]
-            | flags["zero_value"],
-        }
-    )
-    known = attach_whole_input(own, ids, **limits)
-    critical = F.col("__critical") | (F.col("same_id") > 1) | F.col("orphan")
+    return {
+        "own_critical": flags["missing_required"] | flags["date_logic"],
+        "own_warning": flags["invalid_enum"]
+        | flags["amount_sign"]
+        | flags["status_amount"]
+        | flags["zero_value"],
+    }
+
+
+def bench_screen(parsed: DataFrame, as_of: date | str | None = None) -> DataFrame:
+    """Add ``own_critical`` and ``own_warning``, from the row alone."""
+    return parsed.withColumns(_own_flags(as_of))
+
+
+def bench_settle(screened: DataFrame, ids: NotableIds, **limits) -> DataFrame:
+    """Add ``critical`` and ``warning``; a critical row carries no warning."""
+    known = attach_whole_input(screened, ids, **limits)
+    critical = F.col("own_critical") | (F.col("same_id") > 1) | F.col("orphan")
     return (
         known.withColumn("critical", critical)
-        .withColumn("warning", F.col("__warning") & ~F.col("critical"))
-        .drop("__critical", "__warning", "same_id", "orphan")
+        .withColumn("warning", F.col("own_warning") & ~F.col("critical"))
+        .drop("own_critical", "own_warning", "same_id", "orphan")
     )
 
 
-def bench_by_type(flagged: DataFrame) -> DataFrame:
-    """Counts per transaction type, rows without a type included."""
-    return flagged.groupBy("transaction_type").agg(
+def bench_validate(parsed: DataFrame, as_of: date | str | None = None, **limits) -> DataFrame:
+    """Flags of every row: ``critical``, or else ``warning``."""
+    return bench_settle(bench_screen(parsed, as_of), bench_ids(parsed), **limits)
+
+
+@cache
+def _type_counts() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(~F.col("critical")).alias("passed"),
         F.count_if(F.col("critical")).alias("rejected_critical"),
         F.count_if("warning").alias("flagged_warning_only"),
-    )
+    ]
+
+
+def bench_by_type(flagged: DataFrame) -> DataFrame:
+    """Counts per transaction type, rows without a type included."""
+    return flagged.groupBy("transaction_type").agg(*_type_counts())
 
 
 def bench_aggregate(by_type: DataFrame) -> DataFrame:

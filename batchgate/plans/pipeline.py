@@ -21,7 +21,7 @@ from batchgate.operators import gate as G
 from batchgate.operators.batch import COUNTS, ValidatedBatch, count_columns, judge, wanted_id
 from batchgate.operators.ids import notable_ids
 from batchgate.operators.lookups import fits_broadcast, lookup
-from batchgate.operators.rows import ROW_RULES, RowRule, as_of_column, check_rows
+from batchgate.operators.rows import ROW_RULES, RowRule, check_rows
 from batchgate.session import Table, materialise, release
 from batchgate.sinks.batches import (
     EXCEPTIONS_IN_SUMMARY,
@@ -138,7 +138,7 @@ def process_incoming(
     keys: list[str] | None = None,
     run_id: str | None = None,
     run_at: datetime | None = None,
-    rules: list[RowRule] = ROW_RULES,
+    rules: tuple[RowRule, ...] = ROW_RULES,
     multi_line: bool = False,
     **limits,
 ) -> RunResult:
@@ -194,7 +194,7 @@ def process_incoming(
     )
     scratch.extend(ids.paths)
     judged = judge(staged.df, ids, **limits)
-    batch = ValidatedBatch(judged, as_of_column(as_of), rules, ids)
+    batch = ValidatedBatch(judged, as_of, rules, ids)
 
     counts = keep(_file_counts(judged), "counts")
     settled = _settle(gated.df, profile.df, counts.df, layouts)

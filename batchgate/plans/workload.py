@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from batchgate import schema as S
-from batchgate.operators.workload import bench_by_type, bench_ids, bench_parse, bench_validate
+from batchgate.operators.workload import (
+    bench_by_type,
+    bench_ids,
+    bench_parse,
+    bench_screen,
+    bench_settle,
+)
 from batchgate.session import release
 from batchgate.sources.csv_files import read_all_strings
 
+COUNTS = ("total_rows", "passed", "rejected_critical", "flagged_warning_only")
 
 def bench_workload(
     spark: SparkSession,
@@ -21,25 +27,18 @@ def bench_workload(
 ) -> dict:
     """Counts over the whole input and rows per transaction type.
 
-    ``schema`` saves the look into the header; pass None if the columns of the
-    file are in another order.
+    Two passes over the files: one over the id columns alone, one that parses,
+    flags and counts. ``schema`` saves the look into the header; pass None if
+    the columns of the file are in another order.
     """
     rows = read_all_strings(spark, path, schema)
     ids = bench_ids(rows)
-    counts = bench_by_type(bench_validate(bench_parse(rows), as_of, ids))
-    names = ("total_rows", "passed", "rejected_critical", "flagged_warning_only")
-    result = dict.fromkeys(names, 0)
+    flagged = bench_settle(bench_screen(bench_parse(rows), as_of), ids)
+    result = dict.fromkeys(COUNTS, 0)
     result["by_transaction_type"] = {}
-    for row in counts.toLocalIterator():
-        for name in names:
+    for row in bench_by_type(flagged).toLocalIterator():
+        for name in COUNTS:
             result[name] += row[name]
         result["by_transaction_type"][row.transaction_type] = row.total_rows
     release(spark, *ids.paths)
     return result
-
-
-def bench_counts(rows: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    """The same counts, per type, over rows that are already a DataFrame."""
-    return bench_by_type(bench_validate(bench_parse(rows), as_of)).orderBy(
-        F.col("transaction_type")
-    )
