@@ -27,7 +27,7 @@ MINUS_INFINITE = rf"(?i)\A[{_SPACES}]*-inf(?:inity)?[{_SPACES}]*\z"
 NOT_A_NUMBER = rf"(?i)\A[{_SPACES}]*[+-]?nan[{_SPACES}]*\z"
 
 PLAIN_DATE = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-DATE = r"\A\p{Nd}{4}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12]\p{Nd}|0?[1-9]| [1-9])\z"
+_MONTH_AND_DAY = r"(?:1[0-2]|0?[1-9])-(?:3[01]|[12]\p{Nd}|0?[1-9]| [1-9])"
 
 
 @cache
@@ -55,20 +55,25 @@ def shown(text: Column) -> Column:
     return F.coalesce(text, F.lit("None"))
 
 
+# One cast at the end of each parser: generated code stays within what the JVM
+# is willing to compile, also where a filter repeats the expression.
+
+
 def parse_number(text: Column) -> Column:
     bare = F.regexp_replace(ascii_digits(text), f"[_{_SPACES}]", "")
     return (
-        F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
-        .when(text.rlike(FINITE), bare.try_cast("double"))
-        .when(text.rlike(NOT_A_NUMBER), F.lit(float("nan")))
-        .when(text.rlike(INFINITE), F.lit(float("inf")))
-        .when(text.rlike(MINUS_INFINITE), F.lit(float("-inf")))
+        F.when(text.rlike(PLAIN_NUMBER), text)
+        .when(text.rlike(FINITE), bare)
+        .when(text.rlike(NOT_A_NUMBER), F.lit("NaN"))
+        .when(text.rlike(INFINITE), F.lit("Infinity"))
+        .when(text.rlike(MINUS_INFINITE), F.lit("-Infinity"))
+        .try_cast("double")
     )
 
 
 def parse_iso_date(text: Column) -> Column:
+    digits, values = _decimal_digits()
+    zeros = "0" + "".join(d for d, v in zip(digits, values) if v == "0")
+    unusual = rf"\A(?![{zeros}]{{4}})\p{{Nd}}{{4}}-{_MONTH_AND_DAY}\z"
     padded = F.replace(ascii_digits(text), F.lit("- "), F.lit("-0"))
-    year_zero = ascii_digits(F.substring(text, 1, 4)) == "0000"
-    return F.when(text.rlike(PLAIN_DATE), text.try_cast("date")).when(
-        text.rlike(DATE) & ~year_zero, padded.try_cast("date")
-    )
+    return F.when(text.rlike(PLAIN_DATE), text).when(text.rlike(unusual), padded).try_cast("date")

@@ -6,7 +6,7 @@ A batch is the rows of one file; every whole-file rule is scoped by
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 from functools import cache
 
@@ -26,7 +26,7 @@ from batchgate.operators.rows import (
     structural_violations,
     violation,
 )
-from batchgate.session import release
+from batchgate.session import Table, materialise, release
 
 SCOPE = ["source_key"]
 
@@ -78,7 +78,8 @@ class ValidatedBatch:
     as_of: date | str | None
     rules: tuple[RowRule, ...]
     ids: NotableIds
-    scope: list[str] = field(default_factory=lambda: list(SCOPE))
+    staged: Table
+    scope: list[str]
 
     def valid_rows(self) -> DataFrame:
         """Rows without a critical violation, as raw text, in column order."""
@@ -171,8 +172,8 @@ class ValidatedBatch:
         )
 
     def release(self) -> None:
-        """Drop the scratch table the lookups read. Results must be consumed first."""
-        release(self.rows.sparkSession, *self.ids.paths)
+        """Drop the scratch tables. Results must be consumed first."""
+        release(self.rows.sparkSession, self.staged.path, *self.ids.paths)
 
 
 _ENTRY_DDL = "struct<row_seq:bigint,related_transaction_id:string>"
@@ -216,10 +217,14 @@ def validate_batch(
 
     ``rows`` holds the text columns of a transaction, the ``scope`` columns
     that tell files apart, and ``row_seq``, which orders the rows of a file.
-    The ids worth looking up are found by one job over the narrow columns;
-    everything after it is lazy.
+
+    Rows are checked once and written to a scratch table, from which the ids
+    worth looking up are found and every result is derived: text is parsed a
+    single time, and what runs over the table is simple enough to be compiled
+    as one piece.
     """
-    checked = check_rows(rows, as_of, rules)
+    staged = materialise(check_rows(rows, as_of, rules), "staged")
+    checked = staged.df
     ids = notable_ids(
         checked,
         scope,
@@ -228,4 +233,4 @@ def validate_batch(
         wanted=wanted_id(),
     )
     judged = judge(checked, ids, scope, **limits)
-    return ValidatedBatch(judged, as_of, rules, ids, list(scope))
+    return ValidatedBatch(judged, as_of, rules, ids, staged, list(scope))

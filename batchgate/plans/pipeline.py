@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from batchgate import schema as S
 from batchgate.operators import gate as G
-from batchgate.operators.batch import COUNTS, ValidatedBatch, count_columns, judge, wanted_id
-from batchgate.operators.ids import notable_ids
+from batchgate.operators.batch import COUNTS, count_columns, validate_batch
 from batchgate.operators.lookups import fits_broadcast, lookup
-from batchgate.operators.rows import ROW_RULES, RowRule, check_rows
+from batchgate.operators.rows import ROW_RULES, RowRule
 from batchgate.session import Table, materialise, release
 from batchgate.sinks.batches import (
     EXCEPTIONS_IN_SUMMARY,
@@ -188,13 +187,8 @@ def process_incoming(
         )
     scratch.append(layouts.table.path)
 
-    staged = keep(check_rows(rows, as_of, rules), "staged")
-    ids = notable_ids(
-        staged.df, ["source_key"], F.col("transaction_id"), F.col("ok"), wanted_id()
-    )
-    scratch.extend(ids.paths)
-    judged = judge(staged.df, ids, **limits)
-    batch = ValidatedBatch(judged, as_of, rules, ids)
+    batch = validate_batch(rows, as_of, rules, **limits)
+    judged, ids = batch.rows, batch.ids
 
     counts = keep(_file_counts(judged), "counts")
     settled = _settle(gated.df, profile.df, counts.df, layouts)
@@ -238,5 +232,6 @@ def process_incoming(
     )
     write_alerts(result.df, f"{root}/alerts", run_id)
     write_dead_letters(result.df, f"{root}/dead_letters", run_id)
+    batch.release()
     release(spark, *scratch)
     return RunResult(result.df, processed, run_id)
