@@ -27,7 +27,7 @@ def generate_benchmark(
 ) -> DataFrame:
     """``n`` clean transactions of one batch, refunds linked."""
     clean = clean_rows(row_numbers(spark, n), batch_id, batch_day or date.today(), seed)
-    return link_refunds(clean, seed)
+    return link_refunds(materialise(clean, "clean").df, seed)
 
 
 def generate_seeded(
@@ -39,9 +39,10 @@ def generate_seeded(
     batch_day: date | str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """A shuffled batch with known defects, and the manifest of them."""
-    clean = materialise(generate_benchmark(spark, n, seed, batch_id, batch_day), "clean")
-    rows, manifest = inject_defects(clean.df, defect_rate, seed)
-    return shuffle_rows(relink(rows, seed), seed), manifest
+    linked = materialise(generate_benchmark(spark, n, seed, batch_id, batch_day), "linked")
+    rows, manifest = inject_defects(linked.df, defect_rate, seed)
+    defective = materialise(rows, "defective").df
+    return shuffle_rows(relink(defective, seed), seed), manifest
 
 
 def relink(rows: DataFrame, seed: int) -> DataFrame:

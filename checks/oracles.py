@@ -513,6 +513,15 @@ docs AS (
 SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
        to_json({_DOC})::VARCHAR AS document
 FROM counts LEFT JOIN docs USING (source_key)""",
+        "file_profile": f"""WITH {T}
+SELECT source_key, true AS utf8_ok, '{COLUMNS.replace(", ", ",")}' AS header,
+       count(*) + 1 AS n_lines FROM t GROUP BY source_key""",
+        "pipeline_files": f"""{VALID}
+SELECT source_key, 'accepted' AS disposition, NULL::VARCHAR AS staleness, {COUNTS}
+FROM judged GROUP BY source_key""",
+        "pipeline_transactions": f"""{VALID}
+SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch, {COLUMNS}
+FROM judged WHERE NOT critical""",
         "csv_roundtrip": f"WITH {T} SELECT "
         + ", ".join(f"nullif({c.strip()}, '') AS {c.strip()}" for c in COLUMNS.split(","))
         + " FROM t",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -18,6 +19,7 @@ from batchgate.operators import workload as W
 from batchgate.operators.ids import id_counts, raw_ids
 from batchgate.operators.linkage import link_refunds
 from batchgate.operators.reconcile import manifest_reconcile
+from batchgate.plans import process_incoming
 from batchgate.session import materialise, scratch_root
 from batchgate.sinks import (
     expired_batches,
@@ -27,7 +29,7 @@ from batchgate.sinks import (
     write_transactions,
 )
 from batchgate.sinks.batches import EXCEPTIONS_IN_SUMMARY
-from batchgate.sources import explode_events, read_all_strings, read_manifest
+from batchgate.sources import explode_events, profile_files, read_all_strings, read_manifest
 from batchgate.synth import clean_rows, inject_defects
 from batchgate.synth.datasets import relink
 
@@ -229,7 +231,7 @@ def _clean(spark, sf_dir):
 
 
 def _linked(spark, sf_dir):
-    return link_refunds(_clean(spark, sf_dir), SEED)
+    return link_refunds(materialise(_clean(spark, sf_dir), "clean").df, SEED)
 
 
 def _defective(spark, sf_dir):
@@ -239,7 +241,7 @@ def _defective(spark, sf_dir):
 
 def _seeded(spark, sf_dir):
     rows, manifest = _defective(spark, sf_dir)
-    return relink(rows, SEED), manifest
+    return relink(materialise(rows, "defective").df, SEED), manifest
 
 
 def _plain(df: DataFrame, *extra: str) -> DataFrame:
@@ -248,7 +250,7 @@ def _plain(df: DataFrame, *extra: str) -> DataFrame:
 
 def defect_manifest(spark, sf_dir):
     """Written as the generator leaves it, and read back."""
-    path = f"{scratch_root(spark)}/manifest-{abs(hash(sf_dir))}"
+    path = f"{scratch_root(spark)}/manifest-{uuid.uuid4().hex}"
     write_manifest(_defective(spark, sf_dir)[1], path)
     return read_manifest(spark, path)
 
@@ -270,7 +272,7 @@ def _counted_files(validated: B.ValidatedBatch) -> DataFrame:
 
 def processed_transactions(spark, sf_dir):
     validated = _validated(spark, sf_dir)
-    out = f"{scratch_root(spark)}/processed-rows-{abs(hash(sf_dir))}"
+    out = f"{scratch_root(spark)}/processed-rows-{uuid.uuid4().hex}"
     write_transactions(validated.valid_rows(), _counted_files(validated), out)
     back = read_all_strings(spark, out, _partitioned_schema())
     return back.where(F.col("object") == "transactions.csv").select(
@@ -284,7 +286,7 @@ def _partitioned_schema() -> str:
 
 def processed_summaries(spark, sf_dir):
     validated = _validated(spark, sf_dir)
-    out = f"{scratch_root(spark)}/processed-docs-{abs(hash(sf_dir))}"
+    out = f"{scratch_root(spark)}/processed-docs-{uuid.uuid4().hex}"
     files = _counted_files(validated)
     n = F.col("rejected_critical") + F.col("flagged_warning_only")
     long_files = materialise(
@@ -313,8 +315,48 @@ def processed_summaries(spark, sf_dir):
     )
 
 
+def _landed_bucket(spark, sf_dir) -> str:
+    """The transactions as arriving CSV files, one per ``source_key``."""
+    root = f"{scratch_root(spark)}/bucket-{uuid.uuid4().hex}"
+    rows = _rows(spark, sf_dir).withColumn("key", G.file_name(F.col("source_key")))
+    (
+        rows.repartition("key")
+        .sortWithinPartitions("key", "row_seq")
+        .select("key", *S.TRANSACTION_COLUMNS)
+        .write.partitionBy("key")
+        .options(header="true", emptyValue="")
+        .csv(f"{root}/written")
+    )
+    # Spark names its own files; give each the name it should arrive under.
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{root}/incoming"))
+    for status in fs.globStatus(path(f"{root}/written/key=*/part-*")):
+        key = status.getPath().getParent().getName().removeprefix("key=")
+        fs.rename(status.getPath(), path(f"{root}/incoming/{key}"))
+    return root
+
+
+def pipeline_files(spark, sf_dir):
+    run = process_incoming(spark, _landed_bucket(spark, sf_dir), as_of=AS_OF)
+    return run.files.select("source_key", "disposition", "staleness", *B.COUNTS)
+
+
+def pipeline_transactions(spark, sf_dir):
+    run = process_incoming(spark, _landed_bucket(spark, sf_dir), as_of=AS_OF)
+    back = read_all_strings(spark, run.processed, _partitioned_schema())
+    return back.where(F.col("object") == "transactions.csv").select(
+        "batch", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in S.TRANSACTION_COLUMNS]
+    )
+
+
+def profiled_files(spark, sf_dir):
+    root = _landed_bucket(spark, sf_dir)
+    return profile_files(spark, root).select("source_key", "utf8_ok", "header", "n_lines")
+
+
 def csv_roundtrip(spark, sf_dir):
-    path = f"{scratch_root(spark)}/sample-{abs(hash(sf_dir))}"
+    path = f"{scratch_root(spark)}/sample-{uuid.uuid4().hex}"
     write_csv(_rows(spark, sf_dir), path)
     return read_all_strings(spark, path)
 
@@ -360,4 +402,7 @@ def queries() -> dict[str, Query]:
         "processed_transactions": processed_transactions,
         "processed_summaries": processed_summaries,
         "csv_roundtrip": csv_roundtrip,
+        "file_profile": profiled_files,
+        "pipeline_files": pipeline_files,
+        "pipeline_transactions": pipeline_transactions,
     }
