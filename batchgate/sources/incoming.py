@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate import schema as S
 
 
-def folder_path(spark: SparkSession, root: str) -> str:
-    """The path part of ``root`` as the file system spells it."""
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
+def _folder(spark: SparkSession, root: str) -> str:
+    """``root`` as the file system spells it, without scheme and outer slashes."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.makeQualified(path).toUri().getPath().rstrip("/")
+    return re.sub(_SCHEME, "", system.makeQualified(path).toString()).strip("/")
 
 
 def relative_key(spark: SparkSession, root: str) -> Column:
     """Path of a scanned file below ``root``, which names the file everywhere."""
     encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    path = F.url_decode(encoded)
-    base = folder_path(spark, root) + "/"
-    return F.substr(path, F.locate(base, path) + F.lit(len(base)))
+    path = F.regexp_replace(F.url_decode(encoded), _SCHEME, "")
+    return F.substr(path, F.lit(len(_folder(spark, root)) + 2))
 
 
 def list_incoming(

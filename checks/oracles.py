@@ -516,6 +516,9 @@ FROM counts LEFT JOIN docs USING (source_key)""",
         "file_profile": f"""WITH {T}
 SELECT source_key, true AS utf8_ok, '{COLUMNS.replace(", ", ",")}' AS header,
        count(*) + 1 AS n_lines FROM t GROUP BY source_key""",
+        "utf8_gate": """SELECT DISTINCT
+  'incoming/transactions_2024-02-14_D' || (doc_id % 50) || '.csv' AS source_key
+FROM documents WHERE doc_id % 7 = 3 AND contains(text, 'é')""",
         "pipeline_files": f"""{VALID}
 SELECT source_key, 'accepted' AS disposition, NULL::VARCHAR AS staleness, {COUNTS}
 FROM judged GROUP BY source_key""",

@@ -30,6 +30,7 @@ from batchgate.sinks import (
 )
 from batchgate.sinks.batches import EXCEPTIONS_IN_SUMMARY
 from batchgate.sources import explode_events, profile_files, read_all_strings, read_manifest
+from batchgate.sources.csv_files import utf8_gate
 from batchgate.synth import clean_rows, inject_defects
 from batchgate.synth.datasets import relink
 
@@ -315,18 +316,10 @@ def processed_summaries(spark, sf_dir):
     )
 
 
-def _landed_bucket(spark, sf_dir) -> str:
-    """The transactions as arriving CSV files, one per ``source_key``."""
+def _bucket(spark, keyed: DataFrame, fmt: str, **options) -> str:
+    """A bucket folder with one arriving file per ``key`` of ``keyed``."""
     root = f"{scratch_root(spark)}/bucket-{uuid.uuid4().hex}"
-    rows = _rows(spark, sf_dir).withColumn("key", G.file_name(F.col("source_key")))
-    (
-        rows.repartition("key")
-        .sortWithinPartitions("key", "row_seq")
-        .select("key", *S.TRANSACTION_COLUMNS)
-        .write.partitionBy("key")
-        .options(header="true", emptyValue="")
-        .csv(f"{root}/written")
-    )
+    keyed.write.partitionBy("key").options(**options).format(fmt).save(f"{root}/written")
     # Spark names its own files; give each the name it should arrive under.
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -337,6 +330,25 @@ def _landed_bucket(spark, sf_dir) -> str:
     return root
 
 
+def _landed_bucket(spark, sf_dir) -> str:
+    rows = _rows(spark, sf_dir).withColumn("key", G.file_name(F.col("source_key")))
+    keyed = rows.repartition("key").sortWithinPartitions("key", "row_seq")
+    keyed = keyed.select("key", *S.TRANSACTION_COLUMNS)
+    return _bucket(spark, keyed, "csv", header="true", emptyValue="")
+
+
+def utf8_rejects(spark, sf_dir):
+    """Document texts as 50 files, some texts with a byte that is not UTF-8."""
+    d = F.col("doc_id")
+    stray = F.unhex(F.lit("E9")).cast("string")
+    text = F.when(d % 7 == 3, F.replace(F.col("text"), F.lit("é"), stray)).otherwise(F.col("text"))
+    name = F.concat(F.lit("transactions_2024-02-14_D"), (d % 50).cast("string"), F.lit(".csv"))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    keyed = documents.select(name.alias("key"), text.alias("value")).repartition("key")
+    root = _bucket(spark, keyed, "text")
+    return utf8_gate(profile_files(spark, root))
+
+
 def pipeline_files(spark, sf_dir):
     run = process_incoming(spark, _landed_bucket(spark, sf_dir), as_of=AS_OF)
     return run.files.select("source_key", "disposition", "staleness", *B.COUNTS)
@@ -403,6 +415,7 @@ def queries() -> dict[str, Query]:
         "processed_summaries": processed_summaries,
         "csv_roundtrip": csv_roundtrip,
         "file_profile": profiled_files,
+        "utf8_gate": utf8_rejects,
         "pipeline_files": pipeline_files,
         "pipeline_transactions": pipeline_transactions,
     }
