@@ -91,6 +91,6 @@ def materialise(
 def release(spark: SparkSession, *paths: str) -> None:
     """Delete scratch tables once nothing reads them any more."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
+    for path in filter(None, paths):
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop).delete(target, True)

@@ -98,10 +98,11 @@ class Layouts:
     width: int
 
 
-def column_layouts(profile: DataFrame, columns: list[str] = S.TRANSACTION_COLUMNS) -> DataFrame:
-    """Add ``layout``: per column its field index, -1 where the file lacks it."""
-    n_fields = F.size(F.split("header", ","))
-    widest = profile.agg(F.max(n_fields)).first()[0] or len(columns)
+def column_layouts(profile: DataFrame, columns: list[str], widest: int) -> DataFrame:
+    """Add ``layout``: per column its field index, -1 where the file lacks it.
+
+    ``widest`` is the largest number of fields in any header.
+    """
     fields = [f"h{i}" for i in range(widest)]
     header = F.from_csv("header", ",".join(f"{f} string" for f in fields), dict(CSV_OPTIONS))
     named = profile.withColumn("__h", header)
@@ -111,20 +112,20 @@ def column_layouts(profile: DataFrame, columns: list[str] = S.TRANSACTION_COLUMN
     layout = F.array(
         *[F.when(p > 0, F.lit(widest) - p).otherwise(F.lit(-1)).cast("int") for p in found]
     )
-    return (
-        named.withColumn("__b", backwards).withColumn("layout", layout).drop("__h", "__b")
-    )
+    return named.withColumn("__b", backwards).withColumn("layout", layout).drop("__h", "__b")
 
 
 def find_layouts(profile: DataFrame, columns: list[str] = S.TRANSACTION_COLUMNS) -> Layouts:
-    usual = F.array(*[F.lit(i) for i in range(len(columns))])
-    other = (
-        column_layouts(profile, columns)
-        .where(F.col("layout") != usual)
-        .select("source_key", "layout", "n_lines")
-    )
+    """Layouts of the files whose header is not simply ``columns``."""
+    odd = profile.where(F.col("header") != ",".join(columns))
+    widest = odd.agg(F.max(F.size(F.split("header", ",")))).first()[0]
+    if widest is None:
+        none = profile.sparkSession.createDataFrame(
+            [], "source_key string, layout array<int>, n_lines bigint"
+        )
+        return Layouts(Table(none, 0, 0, "", {}), len(columns))
     table = materialise(
-        other,
+        column_layouts(odd, columns, widest).select("source_key", "layout", "n_lines"),
         "layouts",
         F.octet_length("source_key") + F.lit(4 * len(columns)),
         {"last": F.max(F.array_max("layout"))},
