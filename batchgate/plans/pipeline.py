@@ -174,14 +174,14 @@ def process_incoming(
         ).withColumn("row_seq", F.lit(0).cast("bigint"))
         profile = keep(
             spark.createDataFrame(
-                [], "source_key string, utf8_ok boolean, header string, n_lines bigint"
+                [], "source_key string, utf8_ok boolean, usual_header boolean, n_lines bigint"
             ),
             "profile",
         )
-        layouts = find_layouts(profile.df)
+        layouts = find_layouts(spark, root, profile.df)
     else:
         profile = keep(profile_files(spark, root, max_bytes, keys=keys), "profile")
-        layouts = find_layouts(profile.df.where("utf8_ok"))
+        layouts = find_layouts(spark, root, profile.df.where("utf8_ok"), max_bytes, keys=keys)
         rows = read_batch_csv(
             spark, root, layouts, max_bytes, keys=keys, multi_line=multi_line
         )

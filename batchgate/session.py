@@ -15,6 +15,8 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What the JVM would not compile is better left to smaller pieces of code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

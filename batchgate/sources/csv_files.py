@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchgate import schema as S
-from batchgate.functions import parse_iso_date
-from batchgate.operators.gate import parse_filename, too_large
+from batchgate.operators.gate import FILENAME_PATTERN, too_large
 from batchgate.operators.lookups import lookup
-from batchgate.session import Table, materialise
+from batchgate.session import Table, materialise, release
 from batchgate.sources.incoming import relative_key
 
 CSV_OPTIONS = {
@@ -23,6 +22,9 @@ CSV_OPTIONS = {
 }
 _CORRUPT = "__raw_line"
 
+# Up to so many files are named to a scan one by one.
+MAX_NAMED_FILES = 1000
+
 # row_seq = file offset of the split, in 4 KiB units, over 28 bits of row index.
 _INDEX_BITS = 28
 _OFFSET_UNIT_BITS = 12
@@ -40,11 +42,13 @@ def _paths(root: str, prefix: str, keys: list[str] | None) -> list[str]:
 
 
 def _readable(max_bytes: int) -> Column:
-    """File gate over file metadata: files that fail it are dropped at listing."""
-    file_date, _ = parse_filename(F.col("_metadata.file_name"))
-    return ~too_large(F.col("_metadata.file_size"), max_bytes) & (
-        parse_iso_date(file_date).isNotNull()
-    )
+    """File gate over file metadata: files that fail it are dropped at listing.
+
+    Spark evaluates it for every row once more, hence one cheap pattern here;
+    the few files with a conventional name but no real date are left out later.
+    """
+    name = F.col("_metadata.file_name")
+    return ~too_large(F.col("_metadata.file_size"), max_bytes) & name.rlike(FILENAME_PATTERN)
 
 
 def _reader(spark: SparkSession, **options):
@@ -53,34 +57,68 @@ def _reader(spark: SparkSession, **options):
     )
 
 
+def _lines(
+    spark: SparkSession, root: str, max_bytes: int, prefix: str, keys: list[str] | None
+) -> DataFrame:
+    """Raw lines; ``n`` orders those of one split, ``leads`` marks the first split."""
+    lines = _reader(spark).text(_paths(root, prefix, keys)).where(_readable(max_bytes))
+    return lines.select(
+        "value",
+        relative_key(spark, root).alias("source_key"),
+        (F.col("_metadata.file_block_start") == 0).alias("leads"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+
+
 def profile_files(
     spark: SparkSession,
     root: str,
     max_bytes: int = S.MAX_FILE_BYTES,
     prefix: str = S.INCOMING_PREFIX,
     keys: list[str] | None = None,
+    columns: list[str] = S.TRANSACTION_COLUMNS,
 ) -> DataFrame:
-    """(source_key, utf8_ok, header, n_lines) per file, from its raw lines.
+    """(source_key, utf8_ok, usual_header, n_lines) per file, from its raw lines.
 
     The text source keeps bytes as they are, so an undecodable line shows up
-    here; the CSV source would replace it silently. The scan is splittable and
-    each task sends on one record per file.
+    here; the CSV source would replace it silently. The scan is splittable,
+    each task sends on one record per file, and no text is kept in between.
     """
-    lines = _reader(spark).text(_paths(root, prefix, keys)).where(_readable(max_bytes))
-    lines = lines.select(
-        "value",
-        relative_key(spark, root).alias("source_key"),
-        (F.col("_metadata.file_block_start") == 0).alias("leads"),
-        F.monotonically_increasing_id().alias("n"),
-    )
     first = F.when(F.col("leads"), F.col("n"))
-    return lines.groupBy("source_key").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"),
-        F.min_by("value", first).alias("header"),
-        F.count(F.lit(1)).alias("n_lines"),
+    return (
+        _lines(spark, root, max_bytes, prefix, keys)
+        .groupBy("source_key")
+        .agg(
+            F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"),
+            F.min_by(F.col("value") == ",".join(columns), first).alias("usual_header"),
+            F.count(F.lit(1)).alias("n_lines"),
+        )
     )
 
 
+def read_headers(
+    spark: SparkSession,
+    root: str,
+    files: Table,
+    max_bytes: int = S.MAX_FILE_BYTES,
+    prefix: str = S.INCOMING_PREFIX,
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """(source_key, header) of ``files`` (source_key, n_lines).
+
+    A moderate number of files is named to the scan, which then opens no other.
+    """
+    lines = _lines(spark, root, max_bytes, prefix, keys)
+    if files.rows <= MAX_NAMED_FILES:
+        found = files.df.select("source_key").collect()  # at most MAX_NAMED_FILES
+        lines = _lines(spark, root, max_bytes, prefix, [r.source_key for r in found])
+    else:
+        marked = Table(files.df.withColumn("odd", F.lit(True)), files.rows, files.bytes, "", {})
+        key = {"source_key": F.col("source_key")}
+        lines = lookup(lines, marked, key, ["odd"], "n_lines", F.col("n")).where("odd")
+    return lines.where("leads").groupBy("source_key").agg(F.min_by("value", "n").alias("header"))
+
+
 def utf8_gate(profile: DataFrame) -> DataFrame:
     """Files with an undecodable line: rejected whole."""
     return profile.where(~F.col("utf8_ok")).select("source_key")
@@ -115,21 +153,36 @@ def column_layouts(profile: DataFrame, columns: list[str], widest: int) -> DataF
     return named.withColumn("__b", backwards).withColumn("layout", layout).drop("__h", "__b")
 
 
-def find_layouts(profile: DataFrame, columns: list[str] = S.TRANSACTION_COLUMNS) -> Layouts:
+def find_layouts(
+    spark: SparkSession,
+    root: str,
+    profile: DataFrame,
+    max_bytes: int = S.MAX_FILE_BYTES,
+    prefix: str = S.INCOMING_PREFIX,
+    keys: list[str] | None = None,
+    columns: list[str] = S.TRANSACTION_COLUMNS,
+) -> Layouts:
     """Layouts of the files whose header is not simply ``columns``."""
-    odd = profile.where(F.col("header") != ",".join(columns))
-    widest = odd.agg(F.max(F.size(F.split("header", ",")))).first()[0]
-    if widest is None:
-        none = profile.sparkSession.createDataFrame(
-            [], "source_key string, layout array<int>, n_lines bigint"
-        )
+    width = F.octet_length("source_key")
+    odd = materialise(
+        profile.where(~F.col("usual_header")).select("source_key", "n_lines"), "odd", width
+    )
+    if not odd.rows:
+        none = spark.createDataFrame([], "source_key string, layout array<int>, n_lines bigint")
         return Layouts(Table(none, 0, 0, "", {}), len(columns))
+    headers = materialise(
+        read_headers(spark, root, odd, max_bytes, prefix, keys).join(odd.df, "source_key"),
+        "headers",
+        metrics={"widest": F.max(F.size(F.split("header", ",")))},
+    )
+    laid_out = column_layouts(headers.df, columns, headers.metrics["widest"])
     table = materialise(
-        column_layouts(odd, columns, widest).select("source_key", "layout", "n_lines"),
+        laid_out.select("source_key", "layout", "n_lines"),
         "layouts",
-        F.octet_length("source_key") + F.lit(4 * len(columns)),
+        width + F.lit(4 * len(columns)),
         {"last": F.max(F.array_max("layout"))},
     )
+    release(spark, odd.path, headers.path)
     return Layouts(table, max(len(columns), (table.metrics["last"] or 0) + 1))
 
 
@@ -186,7 +239,7 @@ def read_batch_csv(
         text = F.col(names[i])
         if multi_line:
             text = F.regexp_replace(text, r"\r\n|\r|\n", "")
-        return F.coalesce(text, F.when(F.col("__held") > i, F.lit("")))
+        return F.when(F.col("__held") > i, F.coalesce(text, F.lit("")))
 
     values = [field_value(i) for i in range(width)]
     if layouts is None or layouts.table.rows == 0:

@@ -22,9 +22,14 @@ def _folder(spark: SparkSession, root: str) -> str:
 
 def relative_key(spark: SparkSession, root: str) -> Column:
     """Path of a scanned file below ``root``, which names the file everywhere."""
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    path = F.regexp_replace(F.url_decode(encoded), _SCHEME, "")
-    return F.substr(path, F.lit(len(_folder(spark, root)) + 2))
+    base = _folder(spark, root)
+    path = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    below = F.substr(F.regexp_replace(decoded, _SCHEME, ""), F.lit(len(base) + 2))
+    # Evaluated per row, so a path with nothing to decode is merely cut.
+    start = F.locate(f"/{base}/", path)
+    plain = F.substr(path, start + F.lit(len(base) + 2))
+    return F.when(path.contains("%") | (start == 0), below).otherwise(plain)
 
 
 def list_incoming(

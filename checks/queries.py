@@ -364,7 +364,7 @@ def pipeline_transactions(spark, sf_dir):
 
 def profiled_files(spark, sf_dir):
     root = _landed_bucket(spark, sf_dir)
-    return profile_files(spark, root).select("source_key", "utf8_ok", "header", "n_lines")
+    return profile_files(spark, root).select("source_key", "utf8_ok", "usual_header", "n_lines")
 
 
 def csv_roundtrip(spark, sf_dir):
