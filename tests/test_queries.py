@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as registered
+from checks import oracles
+from checks import queries as own
 from checks.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,14 +15,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", own.queries())
 def test_query(spark, con, name):
     ok, note = compare(spark, con, SF, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(own.queries()) == set(oracles.oracle_sql())
 
 
 def test_entry(spark):
