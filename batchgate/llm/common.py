@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate.session import Table, materialise, release, scratch_root
@@ -187,18 +187,18 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> Table:
             both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "lowest"
         )
         large = materialise(
-            both.where("v > u").join(low.df, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u != v").distinct(),
+            both.where("v > u").join(bounded(low), "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
             "large",
         )
         least = materialise(large.df.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.df.join(least.df, "u").select("u", "v", "m")
         nxt = materialise(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large.df.join(bounded(least), "u").where("v != m")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.df.select("u", F.col("m").alias("v")))
-            .where("u != v").distinct(),
+            .distinct(),
             "edges",
-            metrics={"mark": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))},
+            metrics={"mark": F.bit_xor(F.xxhash64("u", "v"))},
         )
         release(spark, now.path, low.path, large.path, least.path)
         if (nxt.rows, nxt.metrics["mark"]) == mark:
@@ -208,7 +208,3 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> Table:
     return materialise(
         nxt.df.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots), "components"
     )
-
-
-def nulls_last(column: str) -> list[Column]:
-    return [F.col(column).isNull(), F.col(column)]
