@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from batchgate.llm import exact_dedup, packing, token_store
+from batchgate.llm import (
+    exact_dedup,
+    hnsw,
+    language_mixture,
+    license_scan,
+    lm_scoring,
+    ngram_join,
+    packing,
+    prefix_table,
+    token_store,
+    warc,
+)
 from batchgate.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +29,33 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), good)
+
+
+def op2_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_zip_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.write_packages(table(spark, sf_dir, "pages"))
+    return warc.read_packages(spark, packages).drop("url")
+
+
+def op4_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"), size=3, part=90, whole=100)
+
+
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_perfect_hash_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_store.write_store(
         table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")
@@ -33,6 +71,58 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+),
+d AS (
+  SELECT page_id, octet_length(b) AS n, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS best FROM p
+)
+SELECT page_id,
+       n AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + (((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (5 * (3 - i % 4))) & 31)), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to
+FROM d
+"""
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id,
+         list_filter(
+           regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x20\x09-\x0D]+'),
+           lambda x: x <> '') AS ws
+  FROM documents
+),
+s AS (
+  SELECT doc_id,
+         CASE WHEN len(ws) = 0 THEN []
+              WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(ws) - 1),
+                     lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
+  FROM w
+),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM s
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT s.doc_id, len(s.sh) AS n_shingles, min(r.y) AS component_id
+FROM s JOIN reach r ON s.doc_id = r.x GROUP BY s.doc_id, len(s.sh)
+"""
+
 OP9_SQL = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -46,13 +136,28 @@ FROM n
 """
 
 
+def op10_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_table.round_trip(
+        table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_cross_entropy_difference": op1_cross_entropy_difference,
+        "op2_license_index": op2_license_index,
+        "op3_zip_packages": op3_zip_packages,
+        "op4_signature_tree_join": op4_signature_tree_join,
+        "op5_hnsw": op5_hnsw,
+        "op6_language_mixture": op6_language_mixture,
         "op7_perfect_hash_store": op7_perfect_hash_store,
         "op8_histogram_packing": op8_histogram_packing,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_prefix_table": op10_prefix_table,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    templates = license_scan.TEMPLATES
+    op2_sql = license_scan.scan_sql(templates, license_scan.listed_postings(templates))
+    return {"op2_license_index": op2_sql, "op3_zip_packages": OP3_SQL, "op4_signature_tree_join": OP4_SQL, "op9_exact_dedup": OP9_SQL}
