@@ -3,10 +3,11 @@
 A store is a folder of pairs of files:
 
 ``NNNNN-*.ids``
-    ids of all texts of the shard end to end, little-endian unsigned 32-bit.
+    ids of all texts of the shard end to end, little-endian unsigned; 16-bit if
+    the vocabulary has at most 65,536 entries, else 32-bit.
 ``NNNNN-*.idx``
     eight little-endian 64-bit numbers (magic, version, texts, ids, levels, bytes
-    of the hash, null keys, 0), then the hash (level sizes, bits), then per slot
+    of the hash, null keys, bytes of an id), then the hash (level sizes, bits), then per slot
     fingerprint (u32) and rank (u32), then per rank key (i64), occurrence (u32)
     and, for one rank more, the offset of its first id (u64).
 
@@ -31,7 +32,7 @@ from pyspark.sql.window import Window
 
 from batchgate.llm.common import Table, materialise, mix, new_folder, open_input, open_output
 from batchgate.llm.perfect_hash import PerfectHash, fingerprints
-from batchgate.llm.word_bpe import encoded
+from batchgate.llm.word_bpe import encoded, id_bytes
 
 MAGIC, VERSION = 0x58444954, 1
 HEAD = struct.Struct("<8q")
@@ -66,14 +67,14 @@ class _Keys:
         return keys, np.arange(len(keys)) - start, null
 
 
-def _index(keys: _Keys, bounds: np.ndarray) -> bytes:
+def _index(keys: _Keys, bounds: np.ndarray, width: int) -> bytes:
     key, occurrence, null = keys.all()
     hashed = key_hash(key, occurrence, null)
     mph = PerfectHash.build(hashed)
     slot = mph.slots(hashed)
     marks, rank = np.empty(len(key), "<u4"), np.empty(len(key), "<u4")
     marks[slot], rank[slot] = fingerprints(hashed), np.arange(len(key))
-    head = (MAGIC, VERSION, len(key), int(bounds[-1]), len(mph.sizes), len(mph.bits), keys.nulls, 0)
+    head = (MAGIC, VERSION, len(key), int(bounds[-1]), len(mph.sizes), len(mph.bits), keys.nulls, width)
     parts = (mph.sizes, mph.bits, marks, rank, key.astype("<i8"), occurrence.astype("<u4"), bounds.astype("<u8"))
     return HEAD.pack(*head) + b"".join(x.tobytes() for x in parts)
 
@@ -84,7 +85,7 @@ class Shard:
     def __init__(self, path: str):
         with open_input(f"{path}.idx") as f:
             raw = f.read()
-        magic, version, n, _, levels, size, nulls, _ = HEAD.unpack_from(raw)
+        magic, version, n, _, levels, size, nulls, self.width = HEAD.unpack_from(raw)
         if (magic, version) != (MAGIC, VERSION):
             raise ValueError(f"{path} is no token index")
         at = HEAD.size
@@ -113,10 +114,12 @@ class Shard:
         known[known] = self.marks[slot[known]] == fingerprints(hashed[known])
         return np.where(known, self.rank[np.where(known, slot, 0)], -1) if len(self.rank) else slot
 
-    def read(self, rank: int) -> np.ndarray:
-        a, b = self.bounds[rank], self.bounds[rank + 1]
-        self.payload.seek(4 * int(a))
-        return np.frombuffer(self.payload.read(4 * int(b - a)), "<u4")
+    def read(self, first: int, last: int | None = None) -> np.ndarray:
+        """The ids of the texts ranked ``first`` to ``last`` (exclusive), or of one."""
+        a, b = self.bounds[first], self.bounds[first + 1 if last is None else last]
+        self.payload.seek(self.width * int(a))
+        raw = self.payload.read(self.width * int(b - a))
+        return np.frombuffer(raw, f"<u{self.width}").astype("<u4", copy=False)
 
 
 def write_store(
@@ -147,6 +150,7 @@ def write_store(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, keys, bounds, total, out, path = TaskContext.get().partitionId(), _Keys(), [np.zeros(1, np.int64)], 0, None, None
+        width = id_bytes(tokenizer)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -155,14 +159,14 @@ def write_store(
                 out = open_output(f"{path}.ids")
             keys.add(batch.column(0))
             for _, _, ids, at in encoded(batch.column(1), tokenizer):
-                out.write(ids.tobytes())
+                out.write(ids.astype(f"<u{width}", copy=False).tobytes())
                 bounds.append(at[1:] + total)
                 total += len(ids)
         if out is None:
             return
         out.close()
         with open_output(f"{path}.idx") as f:
-            f.write(_index(keys, np.concatenate(bounds)))
+            f.write(_index(keys, np.concatenate(bounds), width))
         key, _, null = keys.all()
         yield pa.RecordBatch.from_pydict(
             {
@@ -206,8 +210,7 @@ def read_store(spark: SparkSession, store: Table) -> DataFrame:
                 at = 0
                 while at < len(rank):
                     to = max(at + 1, int(np.searchsorted(b, b[at] + _READ // 4, "right")) - 1)
-                    shard.payload.seek(4 * int(b[at]))
-                    raw = memoryview(shard.payload.read(4 * int(b[to] - b[at])))
+                    raw = memoryview(shard.read(at, to)).cast("B")
                     cut = ((b[at : to + 1] - b[at]) * 4).tolist()
                     crc = [zlib.crc32(raw[x:y]) for x, y in zip(cut, cut[1:], strict=False)]
                     yield pa.RecordBatch.from_pydict(

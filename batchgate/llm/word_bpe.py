@@ -104,6 +104,11 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def id_bytes(path: str) -> int:
+    """Bytes that hold any id of the vocabulary."""
+    return 2 if encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else 4
+
+
 def encoded(
     column: pa.Array, path: str, most: int = 1 << 20
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
