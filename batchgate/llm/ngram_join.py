@@ -32,7 +32,7 @@ from batchgate.llm.common import (
     text_runs,
     word_hashes,
 )
-from batchgate.llm.signature_tree import BITS, Components, build, join, signature
+from batchgate.llm.signature_tree import Components, link, signature
 
 # Frequent shingles that are put last. Only the order depends on them, never a result.
 FREQUENT = 1 << 18
@@ -160,10 +160,6 @@ def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
     )
 
 
-def _signatures(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, BITS // 64)
-
-
 def _edges(rows: list[int], known: Components) -> dict[str, pa.Array]:
     root = known.roots()
     own = np.array(rows, np.int64)
@@ -188,11 +184,10 @@ def _possible(part: int, whole: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, 1):
             ids = [r["row"] for r in rows]
-            bits = _signatures([r["signature"] for r in rows])
             sizes = np.array([r["n"] for r in rows], np.int64)
-            known = Components(np.arange(len(ids)))
-            tree = build(bits, sizes, np.arange(len(ids)))
-            join(tree, tree, bits, sizes, part, whole, known, lambda p, q: True)
+            every = np.arange(len(ids))
+            known = Components(every)
+            link([r["signature"] for r in rows], sizes, every, every, part, whole, known, lambda p, q: True)
             yield pa.RecordBatch.from_pydict(_edges(ids, known))
 
     return run
@@ -209,7 +204,7 @@ def _verified(part: int, whole: int) -> Callable:
         for rows in _grouped(batches, 3):
             ids = [r["row"] for r in rows]
             sets = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
-            bits = _signatures([signature(s) for s in sets])
+            bits = [signature(s) for s in sets]
             sizes = np.array([len(s) for s in sets], np.int64)
             side = np.array([r["side"] for r in rows])
             known = Components(np.array([r["label"] for r in rows], np.int64))
@@ -220,10 +215,10 @@ def _verified(part: int, whole: int) -> Callable:
                 both = int((b[at] == a).sum())
                 return whole * both >= part * (len(a) + len(b) - both)
 
-            trees = [build(bits, sizes, np.flatnonzero(side == s)) if (side == s).any() else None for s in range(3)]
+            sides = [np.flatnonzero(side == s) for s in range(3)]
             for x, y in ((0, 0), (0, 2), (1, 2)):
-                if trees[x] and trees[y]:
-                    join(trees[x], trees[y], bits, sizes, part, whole, known, linked)
+                if len(sides[x]) and len(sides[y]):
+                    link(bits, sizes, sides[x], sides[y], part, whole, known, linked)
             yield pa.RecordBatch.from_pydict(_edges(ids, known))
 
     return run

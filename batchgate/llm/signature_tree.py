@@ -14,17 +14,28 @@ from collections.abc import Callable
 
 import numpy as np
 
-BITS = 1024
 LEAF = 16
 FAN = 4
+# A signature has two to four bits for a token; one of 2^k bits folds to any smaller power.
+LEAST_BITS, MOST_BITS = 9, 20
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(tokens & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    exponent = min(max(int(2 * len(tokens) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+    bits = np.zeros(1 << exponent, np.uint8)
+    bits[(tokens & np.uint64((1 << exponent) - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def _folded(signatures: list[bytes], size: int) -> np.ndarray:
+    """Signatures of one length as rows of 64-bit words, folded to ``size`` bytes."""
+    rows = np.frombuffer(b"".join(signatures), np.uint64).reshape(len(signatures), -1)
+    while rows.shape[1] * 8 > size:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] | rows[:, half:]
+    return rows
+
+
 class Components:
     """Union-find over the sets of one task."""
 
@@ -49,53 +60,71 @@ class Components:
 
 
 class Node:
-    __slots__ = ("all", "any", "children", "members", "most", "least")
-
-    def __init__(self, members: np.ndarray, any_: np.ndarray, all_: np.ndarray, least, most, children=()):
-        self.members, self.any, self.all = members, any_, all_
-        self.least, self.most, self.children = least, most, children
-
-
-def build(signatures: np.ndarray, sizes: np.ndarray, members: np.ndarray) -> Node:
-    """A tree over ``members``, sorted by size and bulk-loaded."""
-    order = members[np.argsort(sizes[members], kind="stable")]
-    level = []
-    for at in range(0, len(order), LEAF):
-        own = order[at : at + LEAF]
-        bits = signatures[own]
-        level.append(
-            Node(own, np.bitwise_or.reduce(bits), np.bitwise_and.reduce(bits), sizes[own[0]], sizes[own[-1]])
-        )
+    __slots__ = ("all", "any", "bits", "children", "least", "members", "most", "sizes")
+
+    def __init__(self, members, bits, sizes, children=()):
+        self.members, self.children = members, children
+        if children:
+            self.any = np.bitwise_or.reduce([c.any for c in children])
+            self.all = np.bitwise_and.reduce([c.all for c in children])
+            self.least, self.most = children[0].least, children[-1].most
+        else:
+            self.bits, self.sizes = bits, sizes
+            self.any, self.all = np.bitwise_or.reduce(bits), np.bitwise_and.reduce(bits)
+            self.least, self.most = int(sizes[0]), int(sizes[-1])
+
+
+def build(bits: np.ndarray, sizes: np.ndarray, members: np.ndarray) -> Node:
+    """A tree over ``members`` with their signatures and sizes, bulk-loaded by size."""
+    order = np.argsort(sizes, kind="stable")
+    level = [
+        Node(members[own], bits[own], sizes[own])
+        for own in (order[at : at + LEAF] for at in range(0, len(order), LEAF))
+    ]
     while len(level) > 1:
-        level = [
-            Node(
-                np.concatenate([c.members for c in some]),
-                np.bitwise_or.reduce([c.any for c in some]),
-                np.bitwise_and.reduce([c.all for c in some]),
-                some[0].least,
-                some[-1].most,
-                tuple(some),
-            )
-            for some in (level[at : at + FAN] for at in range(0, len(level), FAN))
-        ]
+        groups = [tuple(level[at : at + FAN]) for at in range(0, len(level), FAN)]
+        level = [Node(np.concatenate([c.members for c in g]), None, None, g) for g in groups]
     return level[0]
 
 
-def join(
-    a: Node,
-    b: Node,
-    signatures: np.ndarray,
+def link(
+    signatures: list[bytes],
     sizes: np.ndarray,
+    left: np.ndarray,
+    right: np.ndarray,
     part: int,
     whole: int,
     known: Components,
     linked: Callable[[int, int], bool],
 ) -> None:
-    """Unite in ``known`` all sets of ``a`` and ``b`` with similarity part/whole or more.
+    """Unite in ``known`` all sets of ``left`` and ``right`` with similarity part/whole or more.
 
-    ``linked`` decides on a pair that the signatures allow; it is asked only
-    while the two are in different components. ``a`` and ``b`` may be one node.
+    ``left`` and ``right`` are the same sets or have none in common. ``linked``
+    decides on a pair that the signatures allow; it is asked only while the two
+    are in different components. Sets of one length of signature are one tree;
+    where two lengths meet, the longer signatures are folded.
     """
+    lengths = np.array([len(x) for x in signatures])
+    same = left is right
+
+    def tree(own: np.ndarray, size: int) -> Node:
+        return build(_folded([signatures[i] for i in own], size), sizes[own], own)
+
+    kinds = [{int(n): some[lengths[some] == n] for n in np.unique(lengths[some])} for some in (left, right)]
+    for n, own in kinds[0].items():
+        for m, other in kinds[1].items():
+            if same and m < n:
+                continue
+            if part * sizes[own].min() > whole * sizes[other].max():
+                continue
+            if part * sizes[other].min() > whole * sizes[own].max():
+                continue
+            a = tree(own, min(n, m))
+            b = a if same and n == m else tree(other, min(n, m))
+            _join(a, b, part, whole, known, linked)
+
+
+def _join(a: Node, b: Node, part: int, whole: int, known: Components, linked) -> None:
     stack = [(a, b)]
     while stack:
         x, y = stack.pop()
@@ -115,7 +144,7 @@ def join(
         ):
             continue
         if not x.children and not y.children:
-            _leaves(x, y, signatures, sizes, part, whole, known, linked)
+            _leaves(x, y, part, whole, known, linked)
         elif x is y:
             kids = x.children
             stack += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids))]
@@ -125,9 +154,9 @@ def join(
             stack += [(x, c) for c in y.children]
 
 
-def _leaves(x, y, signatures, sizes, part, whole, known, linked) -> None:
-    left, right = signatures[x.members][:, None, :], signatures[y.members][None, :, :]
-    n, m = sizes[x.members][:, None], sizes[y.members][None, :]
+def _leaves(x: Node, y: Node, part: int, whole: int, known: Components, linked) -> None:
+    left, right = x.bits[:, None, :], y.bits[None, :, :]
+    n, m = x.sizes[:, None], y.sizes[None, :]
     shared = np.minimum(
         n - np.bitwise_count(left & ~right).sum(-1, dtype=np.int64),
         m - np.bitwise_count(right & ~left).sum(-1, dtype=np.int64),
