@@ -97,7 +97,7 @@ class Shard:
             return found
 
         self.hash = PerfectHash(take("<i8", levels), take("u1", size))
-        self.marks, self.rank = take("<u4", n), take("<u4", n)
+        self.marks, self.rank = take("<u4", n), take("<u4", n).astype(np.int64)
         self.keys, self.occurrences = take("<i8", n), take("<u4", n)
         self.bounds = take("<u8", n + 1).astype(np.int64)
         self.null = np.arange(n) >= n - nulls
