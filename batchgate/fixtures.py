@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate.session import materialise
+from batchgate.synth.clean import padded
 
 AS_OF = "2024-02-15"
 FILE_DAY = "2024-02-14"
@@ -37,10 +38,10 @@ def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
     )
     k = F.col("row_seq")
-    batch = F.concat(F.lit("BATCH-"), F.lpad(F.col("b").cast("string"), 4, "0"))
+    batch = F.concat(F.lit("BATCH-"), padded(F.col("b"), 4))
 
     def txn(n: Column) -> Column:
-        return F.concat(F.lit("TXN-"), F.lpad(n.cast("string"), 8, "0"))
+        return F.concat(F.lit("TXN-"), padded(n, 8))
 
     kind = _when(
         (F.col("event_type") == "purchase", "purchase"),
@@ -63,7 +64,7 @@ def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         txn(F.when(k % 97 == 5, k - 1).otherwise(k)).alias("transaction_id"),
         batch.alias("partner_batch_id"),
         F.when(k % 101 == 7, "")
-        .otherwise(F.concat(F.lit("ACCT-"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
+        .otherwise(F.concat(F.lit("ACCT-"), padded(F.col("user_id"), 6)))
         .alias("account_id"),
         _when(
             (k % 103 == 9, ""),

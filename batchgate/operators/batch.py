@@ -30,10 +30,6 @@ from batchgate.session import Table, materialise, release
 
 SCOPE = ["source_key"]
 
-# Up to this many rows of one id list each other's orphan entries inline.
-# Beyond it the entries of an id are listed once, in shared_violations().
-INLINE_ROWS_PER_ID = 256
-
 COUNTS = ["total_rows", "passed", "rejected_critical", "flagged_warning_only"]
 
 
@@ -91,47 +87,23 @@ class ValidatedBatch:
         """Every row with a violation, with its ordered violation list.
 
         Within a file structural failures come first, then the others, each in
-        row order: sort by (``ok``, ``row_seq``).
+        row order: sort by (``ok``, ``row_seq``). A row lists its own violations;
+        ``shared`` marks rows whose id is repeated, to which the id's entries in
+        ``shared_violations()`` apply as well.
         """
-        flagged = self.rows.where("flagged")
-        entry = F.struct("row_seq", "related_transaction_id")
-        few = F.col("same_id").between(2, INLINE_ROWS_PER_ID)
-        if self.ids.repeated.rows == 0:
-            flagged = flagged.withColumn("__mates", F.lit(None).cast(f"array<{_ENTRY_DDL}>"))
-        else:
-            # At most INLINE_ROWS_PER_ID entries per id are ever gathered.
-            mates = (
-                self.rows.where(few & F.col("orphan"))
-                .groupBy(*self.scope, F.col("transaction_id").alias("__id"))
-                .agg(F.sort_array(F.collect_list(entry)).alias("__mates"))
-            )
-            own = F.concat(F.lit("\x00"), F.col("row_seq").cast("string"))
-            flagged = (
-                flagged.withColumn("__id", F.when(few, F.col("transaction_id")).otherwise(own))
-                .join(mates, [*self.scope, "__id"], "left")
-                .drop("__id")
-            )
-        orphans = F.when(
-            few,
-            F.transform(
-                F.coalesce(F.col("__mates"), F.array().cast(f"array<{_ENTRY_DDL}>")),
-                lambda m: _orphan_entry(m["related_transaction_id"]),
-            ),
-        ).otherwise(
-            present(F.when(F.col("orphan"), _orphan_entry(F.col("related_transaction_id"))))
-        )
+        orphan = F.when(F.col("orphan"), _orphan_entry(F.col("related_transaction_id")))
         whole_file = F.concat(
             present(violation("duplicate_transaction", S.CRITICAL, duplicate_detail())),
-            orphans.cast(S.VIOLATIONS_DDL),
+            present(orphan).cast(S.VIOLATIONS_DDL),
         )
         sound = F.concat(rule_violations(self.as_of, self.rules), whole_file)
-        return flagged.select(
+        return self.rows.where("flagged").select(
             *self.scope,
             "row_seq",
             "ok",
             result_id().alias("transaction_id"),
             F.when(F.col("ok"), sound).otherwise(structural_violations()).alias("violations"),
-            (F.col("same_id") > INLINE_ROWS_PER_ID).alias("shared"),
+            (F.col("same_id") > 1).alias("shared"),
         )
 
     def exceptions_long(self) -> DataFrame:
@@ -144,15 +116,13 @@ class ValidatedBatch:
         ).select(*self.scope, "row_seq", "pos", "transaction_id", "v.rule", "v.severity", "v.detail")
 
     def shared_violations(self) -> DataFrame:
-        """Orphan entries that hold for all rows of a heavily repeated id.
+        """Orphan entries that hold for all rows of a repeated id.
 
         The rows concerned are those marked ``shared`` in ``exceptions()``;
         an id's entries, in ``row_seq`` order, apply to each of them. Listing
         them per row would grow with the square of the repetition.
         """
-        return self.rows.where(
-            (F.col("same_id") > INLINE_ROWS_PER_ID) & F.col("orphan")
-        ).select(
+        return self.rows.where((F.col("same_id") > 1) & F.col("orphan")).select(
             *self.scope,
             "transaction_id",
             "row_seq",
@@ -176,9 +146,6 @@ class ValidatedBatch:
         release(self.rows.sparkSession, self.staged.path, *self.ids.paths)
 
 
-_ENTRY_DDL = "struct<row_seq:bigint,related_transaction_id:string>"
-
-
 @cache
 def count_columns() -> list[Column]:
     return [

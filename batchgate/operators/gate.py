@@ -48,6 +48,9 @@ REASON_FILENAME = "filename does not match the expected convention"
 REASON_SIZE = "file size (%s bytes) exceeds the %s-byte limit for a daily file"
 REASON_ENCODING = "file could not be decoded as UTF-8"
 
+REASON_NO_KEY = "notification names no object"
+REASON_GONE = "object is missing or cannot be read"
+
 
 def file_name(key: Column) -> Column:
     return F.substring_index(key, "/", -1)
@@ -91,7 +94,8 @@ def gate_files(
     """Judge each file by ``source_key`` and ``size_bytes``.
 
     Adds ``file_date``, ``partner_batch_id``, ``disposition`` (the first of
-    name, size and calendar date that fails, or accepted), ``reason``,
+    name, size and calendar date that fails, or accepted; a record without a
+    key is a failure of its own), ``reason``,
     ``admitted`` (the file goes on to be read) and, for those, ``staleness``.
     """
     day = as_of_column(as_of)
@@ -99,9 +103,11 @@ def gate_files(
     named = files.withColumns({"file_date": file_date, "partner_batch_id": batch})
     large = too_large(F.col("size_bytes"), max_bytes)
     no_day = parse_iso_date(F.col("file_date")).isNull()
+    no_key = F.col("source_key").isNull()
     judged = named.withColumn(
         "disposition",
-        F.when(F.col("partner_batch_id").isNull(), REJECTED_FILENAME)
+        F.when(no_key, FAILED)
+        .when(F.col("partner_batch_id").isNull(), REJECTED_FILENAME)
         .when(large, REJECTED_SIZE)
         .when(no_day, FAILED)
         .otherwise(ACCEPTED),
@@ -109,7 +115,8 @@ def gate_files(
     disposition = F.col("disposition")
     return judged.withColumns(
         {
-            "reason": F.when(disposition == REJECTED_FILENAME, REASON_FILENAME)
+            "reason": F.when(no_key, REASON_NO_KEY)
+            .when(disposition == REJECTED_FILENAME, REASON_FILENAME)
             .when(
                 disposition == REJECTED_SIZE,
                 F.format_string(REASON_SIZE, "size_bytes", F.lit(str(max_bytes))),
@@ -151,21 +158,23 @@ def mark_within_run(files: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """Tell apart several files of one batch in one run.
 
     ``reprocessing``: output of the batch exists when this file arrives, be it
-    from an earlier run or from an earlier accepted file of this run.
+    from an earlier run or from an earlier accepted file of this run. It holds
+    for every file that passed the gate, whatever its content turns out to be.
     ``superseded``: a later accepted file of the run replaces this one's output.
     First and last arrival per batch are a partial aggregation; no batch is
     gathered or ordered as a whole.
     """
     accepted = F.col("disposition") == ACCEPTED
+    arrived = F.when(accepted, F.col(order))
     spans = (
-        files.where(accepted)
+        files.where("admitted")
         .groupBy("partner_batch_id")
         .agg(
-            F.min(order).alias("first_seq"),
-            F.max(order).alias("last_seq"),
+            F.min(arrived).alias("first_seq"),
+            F.max(arrived).alias("last_seq"),
             F.count(F.lit(1)).alias("n_files"),
         )
-        .where(F.col("n_files") > 1)
+        .where((F.col("n_files") > 1) & F.col("first_seq").isNotNull())
     )
     table = materialise(spans, "spans", F.octet_length("partner_batch_id"))
     out = lookup(

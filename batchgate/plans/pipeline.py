@@ -22,19 +22,11 @@ from batchgate.operators.batch import COUNTS, count_columns, validate_batch
 from batchgate.operators.lookups import fits_broadcast, lookup
 from batchgate.operators.rows import ROW_RULES, RowRule
 from batchgate.session import Table, materialise, release
-from batchgate.sinks.batches import (
-    EXCEPTIONS_IN_SUMMARY,
-    processed_batches,
-    write_summaries,
-    write_transactions,
-)
+from batchgate.sinks.batches import processed_batches, write_summaries, write_transactions
 from batchgate.sinks.logs import write_alerts, write_dead_letters
 from batchgate.sources.csv_files import Layouts, find_layouts, profile_files, read_batch_csv
 from batchgate.sources.incoming import list_incoming
 
-# Fixed value: longest field the CSV reader of the data model takes, in characters.
-MAX_FIELD_CHARS = 131_072
-
 # Columns a rule reads without a default: (column, count that must be zero).
 _NEEDED = [
     ("transaction_type", "n_ok"),
@@ -70,21 +62,12 @@ def _gate(
     return G.mark_already_processed(gated, processed_batches(spark, processed))
 
 
-def _has_overlong_field() -> Column:
-    def longest(measure) -> Column:
-        return F.greatest(*[F.coalesce(measure(c), F.lit(0)) for c in S.TRANSACTION_COLUMNS])
-
-    # Bytes are known without a look at the text; characters are counted only then.
-    return (longest(F.octet_length) > MAX_FIELD_CHARS) & (longest(F.length) > MAX_FIELD_CHARS)
-
-
 def _file_counts(rows: DataFrame) -> DataFrame:
     known = F.coalesce(F.col("status").isin(list(S.STATUSES)), F.lit(False))
     return rows.groupBy("source_key").agg(
         *count_columns(),
         F.count_if("ok").alias("n_ok"),
         F.count_if(F.col("ok") & known).alias("n_known_status"),
-        F.bool_or(_has_overlong_field()).alias("too_long"),
     )
 
 
@@ -103,13 +86,13 @@ def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: La
         bad = lacks[name] & (F.col(needed_by) > 0)
         text = F.lit(f"no column '{name}'")
         error = F.when(bad, text) if error is None else error.when(bad, text)
-    error = error.when(
-        F.col("too_long"), F.lit(f"field longer than {MAX_FIELD_CHARS} characters")
-    )
+    # A file that holds bytes has a line; without one the scan did not find it.
+    gone = F.col("n_lines").isNull() & (F.col("size_bytes") > 0)
+    error = error.when(gone, F.lit(G.REASON_GONE))
     admitted = F.col("admitted")
-    undecodable = admitted & (~F.col("utf8_ok"))
+    undecodable = admitted & F.coalesce(~F.col("utf8_ok"), F.lit(False))
     settled = joined.withColumn("__error", F.when(admitted & ~undecodable, error)).withColumn(
-        "__bad_text", F.coalesce(undecodable, F.lit(False))
+        "__bad_text", undecodable
     ).withColumns(
         {
             "disposition": F.when(F.col("__bad_text"), G.REJECTED_ENCODING)
@@ -123,7 +106,7 @@ def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: La
     accepted = F.col("disposition") == G.ACCEPTED
     counted = {c: F.when(accepted, F.coalesce(F.col(c), F.lit(0))) for c in COUNTS}
     return settled.withColumns(counted).drop(
-        "__error", "__bad_text", "layout", "utf8_ok", "n_ok", "n_known_status", "too_long"
+        "__error", "__bad_text", "layout", "utf8_ok", "n_ok", "n_known_status"
     )
 
 
@@ -196,31 +179,25 @@ def process_incoming(
     written = (F.col("disposition") == G.ACCEPTED) & ~F.col("superseded")
     winners = result.df.where(written)
 
+    # Only what the gate admitted is published: the scan may also meet files that
+    # are in no listing, or that arrived after it.
     size = F.octet_length("source_key")
-    left_out = keep(
-        result.df.where(F.col("n_lines").isNotNull() & ~written).select(
-            "source_key", "n_lines", F.lit(True).alias("left_out")
+    published = keep(
+        winners.where(F.col("n_lines").isNotNull()).select(
+            "source_key", "n_lines", F.lit(True).alias("published")
         ),
-        "left_out",
-        size,
-    )
-    n_exceptions = F.col("rejected_critical") + F.col("flagged_warning_only")
-    long_files = keep(
-        winners.select(
-            "source_key", n_exceptions.alias("n_exceptions"), F.lit(True).alias("long")
-        ).where(F.col("n_exceptions") > EXCEPTIONS_IN_SUMMARY),
-        "long_files",
+        "published",
         size,
     )
 
     def of_winners(df: DataFrame) -> DataFrame:
         key = {"source_key": F.col("source_key")}
-        marked = lookup(df, left_out, key, ["left_out"], "n_lines", F.col("row_seq"))
-        return marked.where(F.col("left_out").isNull()).drop("left_out")
+        marked = lookup(df, published, key, ["published"], "n_lines", F.col("row_seq"))
+        return marked.where("published").drop("published")
 
     shuffled = not all(
         fits_broadcast(t, **limits) for t in (ids.repeated, ids.lost)
-    ) or not fits_broadcast(left_out)
+    ) or not fits_broadcast(published)
     write_transactions(of_winners(batch.valid_rows()), winners, processed, shuffled)
     write_summaries(
         winners,
@@ -228,7 +205,6 @@ def process_incoming(
         of_winners(batch.shared_violations()),
         processed,
         F.lit(run_at.isoformat()),
-        long_files,
     )
     write_alerts(result.df, f"{root}/alerts", run_id)
     write_dead_letters(result.df, f"{root}/dead_letters", run_id)

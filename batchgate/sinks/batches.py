@@ -10,14 +10,12 @@ is complete.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchgate import schema as S
 from batchgate.operators.batch import COUNTS
 from batchgate.operators.gate import parse_filename
-from batchgate.operators.lookups import lookup
-from batchgate.session import Table
 
 CSV_OUT = {
     "quote": '"',
@@ -30,11 +28,9 @@ CSV_OUT = {
 }
 TRANSACTIONS = "transactions.csv"
 SUMMARY = "summary.json"
-EXCEPTIONS = "exceptions.json"
 
-# A summary lists up to this many exceptions itself. Those of a larger batch
-# go, one per line, into an object of their own, which the summary names.
-EXCEPTIONS_IN_SUMMARY = 20_000
+# Parts of a summary, in order.
+_HEAD, _EXCEPTIONS, _BETWEEN, _SHARED, _END = range(5)
 
 
 def _batch_of(key: Column) -> Column:
@@ -80,51 +76,51 @@ def write_transactions(
     _replace(empty, processed, TRANSACTIONS, "csv", header="false", **CSV_OUT)
 
 
-def summary_documents(
-    files: DataFrame, exceptions: DataFrame, processed_at: Column, long_files: Table | None = None
+def summary_lines(
+    files: DataFrame, exceptions: DataFrame, shared: DataFrame, processed_at: Column
 ) -> DataFrame:
-    """(source_key, batch, document): the summary of each file as a struct.
+    """(batch, value): the lines of each file's summary, a JSON document, in order.
 
-    ``files`` has ``source_key`` and the counts. Files in ``long_files`` get no
-    inline exceptions. At most EXCEPTIONS_IN_SUMMARY entries are gathered per
-    file.
+    ``files`` has ``source_key`` and the counts. Each exception is a line, and so is
+    each entry that the rows of a repeated id share. The lines of a batch are
+    numbered by a window, which spills; nothing is gathered into one value.
     """
-    entry = F.struct("ok", "row_seq", "transaction_id", "violations")
-    short = _split_long(exceptions, long_files, False)
-    listed = short.groupBy("source_key").agg(F.sort_array(F.collect_list(entry)).alias("found"))
-    found = F.coalesce(F.col("found"), F.array().cast(f"array<{_ENTRY_DDL}>"))
-    named = _split_long(files.select("source_key", *COUNTS), long_files, None)
-    document = F.struct(
-        _batch_of(F.col("source_key")).alias("partner_batch_id"),
-        F.col("source_key"),
-        processed_at.alias("processed_at"),
-        F.struct(*COUNTS).alias("counts"),
-        F.transform(
-            found,
-            lambda e: F.struct(
-                e["transaction_id"].alias("transaction_id"), e["violations"].alias("violations")
-            ),
-        ).alias("exceptions"),
-        F.when(F.col("long"), F.lit(EXCEPTIONS)).alias("exceptions_in"),
-    )
-    return named.join(listed, "source_key", "left").select(
-        "source_key", _batch_of(F.col("source_key")).alias("batch"), document.alias("document")
+    head = F.to_json(
+        F.struct(
+            _batch_of(F.col("source_key")).alias("partner_batch_id"),
+            "source_key",
+            processed_at.alias("processed_at"),
+            F.struct(*COUNTS).alias("counts"),
+        )
     )
+    found = F.struct("transaction_id", "violations", F.when(F.col("shared"), True).alias("shared"))
+    common = F.struct("transaction_id", "row_seq", "rule", "severity", "detail")
+    none = F.lit(None)
 
+    def lines(df: DataFrame, part: int, value: Column, ok: Column, row_seq: Column) -> DataFrame:
+        return df.select(
+            _batch_of(F.col("source_key")).alias("batch"),
+            F.lit(part).alias("part"),
+            ok.cast("boolean").alias("ok"),
+            row_seq.cast("bigint").alias("row_seq"),
+            value.alias("value"),
+        )
 
-_ENTRY_DDL = f"struct<ok:boolean,row_seq:bigint,transaction_id:string,violations:{S.VIOLATIONS_DDL}>"
-
-
-def _split_long(df: DataFrame, long_files: Table | None, want: bool | None) -> DataFrame:
-    """Mark rows of long files; with ``want``, keep only those that are (not)."""
-    if long_files is None:
-        marked = df.withColumn("long", F.lit(None).cast("boolean"))
-    else:
-        spread = F.col("row_seq") if "row_seq" in df.columns else F.col("source_key")
-        key = {"source_key": F.col("source_key")}
-        marked = lookup(df, long_files, key, ["long"], "n_exceptions", spread)
-    marked = marked.withColumn("long", F.coalesce(F.col("long"), F.lit(False)))
-    return marked if want is None else marked.where(F.col("long") == F.lit(want))
+    opened = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"exceptions":['))
+    every = (
+        lines(files, _HEAD, opened, none, none)
+        .union(lines(exceptions, _EXCEPTIONS, F.to_json(found), F.col("ok"), F.col("row_seq")))
+        .union(lines(files, _BETWEEN, F.lit('],"shared_violations":['), none, none))
+        .union(lines(shared, _SHARED, F.to_json(common), none, F.col("row_seq")))
+        .union(lines(files, _END, F.lit("]}"), none, none))
+    )
+    order = Window.partitionBy("batch").orderBy("part", "ok", "row_seq")
+    follows = F.lag("part").over(order) == F.col("part")
+    return every.select(
+        "batch",
+        F.row_number().over(order).alias("n"),
+        F.when(follows, F.concat(F.lit(","), "value")).otherwise(F.col("value")).alias("value"),
+    ).sortWithinPartitions("batch", "n").select("batch", "value")
 
 
 def write_summaries(
@@ -133,42 +129,10 @@ def write_summaries(
     shared: DataFrame,
     processed: str,
     processed_at: Column,
-    long_files: Table,
 ) -> None:
-    """Summaries of all files, after whatever they refer to.
-
-    ``long_files`` holds (source_key, n_exceptions, long) of the files whose
-    exceptions do not go into the document. For ids so often repeated that
-    their rows share one list of orphan entries, that list goes there as well.
-    """
-    if long_files.rows:
-        lines = _split_long(exceptions, long_files, True).select(
-            _batch_of(F.col("source_key")).alias("batch"),
-            F.col("ok"),
-            "row_seq",
-            F.to_json(F.struct("transaction_id", "violations", "shared")).alias("value"),
-        )
-        common = _split_long(shared, long_files, True).select(
-            _batch_of(F.col("source_key")).alias("batch"),
-            F.lit(None).cast("boolean").alias("ok"),
-            "row_seq",
-            F.to_json(
-                F.struct(
-                    "transaction_id",
-                    F.struct("rule", "severity", "detail").alias("shared_violation"),
-                )
-            ).alias("value"),
-        )
-        ordered = (
-            lines.unionByName(common)
-            .repartitionByRange("batch", "ok", "row_seq")
-            .sortWithinPartitions("batch", "ok", "row_seq")
-            .select("batch", "value")
-        )
-        _replace(ordered, processed, EXCEPTIONS, "text")
-    documents = summary_documents(files, exceptions, processed_at, long_files)
-    text = F.to_json("document", {"pretty": "true"}).alias("value")
-    _replace(documents.select("batch", text), processed, SUMMARY, "text")
+    """Summaries of all files, one document per batch whatever its size."""
+    lines = summary_lines(files, exceptions, shared, processed_at)
+    _replace(lines, processed, SUMMARY, "text")
 
 
 def processed_batches(spark: SparkSession, processed: str) -> DataFrame:

@@ -187,8 +187,12 @@ def find_layouts(
 
 
 def _fields_in(line: Column) -> Column:
-    """Number of fields of a raw line; commas inside quoted fields do not count."""
-    bare = F.regexp_replace(line, r'(?<=^|,)"(?:[^"]|"")*"', "")
+    """Number of fields of a raw line; commas inside quoted fields do not count.
+
+    The quantifiers are possessive: Java matches them in a loop, without a stack
+    that grows with the length of the field.
+    """
+    bare = F.regexp_replace(line, r'(?<=^|,)"(?:[^"]++|"")*+"', "")
     return F.size(F.split(bare, ","))
 
 

@@ -75,8 +75,8 @@ def clean_rows(
     )
     amount = amount_column(seed, F.col("transaction_type"), F.col("status"))
     values = {
-        "transaction_id": F.concat(F.lit("TXN-"), _padded(key, 8)),
-        "account_id": F.concat(F.lit("ACCT-"), _padded(F.col("account"), 6)),
+        "transaction_id": F.concat(F.lit("TXN-"), padded(key, 8)),
+        "account_id": F.concat(F.lit("ACCT-"), padded(F.col("account"), 6)),
         "transaction_date": F.col("txn_day").cast("string"),
         "posted_date": F.date_add("txn_day", F.col("lag")).cast("string"),
         "amount": F.format_string("%.2f", amount),
@@ -89,5 +89,6 @@ def clean_rows(
     )
 
 
-def _padded(number: Column, width: int) -> Column:
+def padded(number: Column, width: int) -> Column:
+    """Digits with leading zeros; a number with more digits keeps them all."""
     return F.format_string(f"%0{width}d", number)

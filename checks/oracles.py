@@ -6,6 +6,8 @@ as a direct (and unscaled) query. Views are inlined as CTEs.
 
 from __future__ import annotations
 
+from batchgate import schema as S
+
 AS_OF = "DATE '2024-02-15'"
 SEED = 42
 
@@ -17,13 +19,13 @@ base AS (
               WHEN 'view' THEN 'transfer' WHEN 'signup' THEN 'adjustment' ELSE 'fee' END AS kind
   FROM events),
 t AS (
-  SELECT 'incoming/transactions_2024-02-14_BATCH-' || lpad(b::VARCHAR, 4, '0') || '.csv'
+  SELECT printf('incoming/transactions_2024-02-14_BATCH-%04d.csv', b)
            AS source_key,
          k AS row_seq,
-         'TXN-' || lpad((CASE WHEN k % 97 = 5 THEN k - 1 ELSE k END)::VARCHAR, 8, '0')
+         printf('TXN-%08d', CASE WHEN k % 97 = 5 THEN k - 1 ELSE k END)
            AS transaction_id,
-         'BATCH-' || lpad(b::VARCHAR, 4, '0') AS partner_batch_id,
-         CASE WHEN k % 101 = 7 THEN '' ELSE 'ACCT-' || lpad(user_id::VARCHAR, 6, '0') END
+         printf('BATCH-%04d', b) AS partner_batch_id,
+         CASE WHEN k % 101 = 7 THEN '' ELSE printf('ACCT-%06d', user_id) END
            AS account_id,
          CASE WHEN k % 103 = 9 THEN '' WHEN k % 107 = 11 THEN 'not-a-date'
               WHEN k % 109 = 13 THEN '2999-01-01' ELSE day END AS transaction_date,
@@ -44,7 +46,7 @@ t AS (
          'Merchant ' || (k % 12)::VARCHAR AS merchant_name,
          CASE WHEN kind <> 'refund' THEN '' WHEN k % 73 = 8 THEN ''
               WHEN k % 71 = 6 THEN 'TXN-99999999'
-              ELSE 'TXN-' || lpad((b * 500 + (k * 7 + 1) % 500)::VARCHAR, 8, '0') END
+              ELSE printf('TXN-%08d', b * 500 + (k * 7 + 1) % 500) END
            AS related_transaction_id,
          'SYS-' || (k % 4)::VARCHAR AS source_system
   FROM base)"""
@@ -136,9 +138,8 @@ raw_v AS (
          'transaction_id appears ' || n::VARCHAR || ' times in the file.'
   FROM c JOIN dups USING (source_key, transaction_id) WHERE ok
   UNION ALL
-  SELECT c.source_key, c.row_seq, c.transaction_id, 12, o.row_seq, 'orphaned_refund', 'critical',
-         o.detail
-  FROM c JOIN orphans o USING (source_key, transaction_id) WHERE ok),
+  SELECT source_key, row_seq, transaction_id, 12, 0, 'orphaned_refund', 'critical', detail
+  FROM orphans),
 v AS (
   SELECT source_key, row_seq,
          (row_number() OVER (PARTITION BY source_key, row_seq ORDER BY ord, sub) - 1)::INT AS pos,
@@ -282,13 +283,6 @@ _STATUS = _weighted(
     "u_status",
     [(0.9, "'completed'"), (0.95, "'pending'"), (0.98, "'failed'"), (None, "'reversed'")],
 )
-_MERCHANTS = [
-    "Northwind Traders", "Contoso Retail", "Fabrikam Supply", "Globex Corp", "Initech Services",
-    "Umbrella Logistics", "Wayne Hardware", "Stark Utilities", "Wonka Confections",
-    "Acme Wholesale", "Pied Piper Software", "Hooli Cloud",
-]
-_SYSTEMS = ["POS-EAST", "POS-WEST", "ONLINE-CHECKOUT", "ACH-BATCH"]
-
 # One clean transaction per order; 5000 orders to a file.
 CLEAN = f"""
 drawn AS (
@@ -314,7 +308,7 @@ shaped AS (
   FROM drawn),
 clean AS (
   SELECT 'incoming/transactions_2024-02-14_' || batch || '.csv' AS source_key, k AS row_seq,
-         'TXN-' || lpad(k::VARCHAR, 8, '0') AS transaction_id, batch AS partner_batch_id,
+         printf('TXN-%08d', k) AS transaction_id, batch AS partner_batch_id,
          'ACCT-' || lpad((d_account % 5000 + 1)::VARCHAR, 6, '0') AS account_id,
          strftime(txn_day, '%Y-%m-%d') AS transaction_date,
          strftime(txn_day + lag, '%Y-%m-%d') AS posted_date,
@@ -324,8 +318,8 @@ clean AS (
            THEN -size ELSE size END)::DOUBLE) AS amount,
          {_weighted('u_currency', [(0.85, "'USD'"), (0.95, "'CAD'"), (None, "'EUR'")])}
            AS currency,
-         st AS status, {_even('u_merchant', _MERCHANTS)} AS merchant_name,
-         '' AS related_transaction_id, {_even('u_system', _SYSTEMS)} AS source_system
+         st AS status, {_even('u_merchant', S.MERCHANTS)} AS merchant_name,
+         '' AS related_transaction_id, {_even('u_system', S.SOURCE_SYSTEMS)} AS source_system
   FROM shaped)"""
 
 
@@ -429,6 +423,10 @@ FROM v WHERE rule = 'missing_required_field'""",
         "rule_duplicate": _row_rule("duplicate_transaction"),
         "rule_orphaned_refund": f"""{VALID}
 SELECT source_key, row_seq, transaction_id, 'critical' AS severity, detail FROM orphans""",
+        "shared_violations": f"""{VALID}
+SELECT o.source_key, o.transaction_id, o.row_seq, 'orphaned_refund' AS rule,
+       'critical' AS severity, o.detail
+FROM orphans o JOIN dups USING (source_key, transaction_id)""",
         "exceptions_long": f"""{VALID}
 SELECT source_key, row_seq, pos, transaction_id, rule, severity, detail FROM v""",
         "row_dispositions": f"""{VALID}
@@ -459,9 +457,10 @@ SELECT arrival_seq, source_key, file_date, partner_batch_id, disposition, reason
 SELECT arrival_seq, partner_batch_id, already_processed, reprocessing, superseded FROM files
 WHERE reprocessing OR superseded""",
         "file_dispositions": f"""{FILES}
-SELECT disposition, CASE WHEN age > 3 THEN 'past' WHEN age < -3 THEN 'future' ELSE 'fresh' END
+SELECT disposition, CASE WHEN disposition <> 'accepted' THEN NULL WHEN age > 3 THEN 'past'
+         WHEN age < -3 THEN 'future' ELSE 'fresh' END
          AS freshness, already_processed, count(*) AS files
-FROM files WHERE disposition = 'accepted' GROUP BY ALL""",
+FROM files GROUP BY ALL""",
         "file_alerts": f"""{FILES}
 SELECT source_key, 'Transaction Pipeline: Rejected File' AS subject,
        'A file was rejected: ' || reason || chr(10) || chr(10) || 'Bucket: bucket' || chr(10)
@@ -516,7 +515,7 @@ FROM counts LEFT JOIN docs USING (source_key)""",
         "file_profile": f"""WITH {T}
 SELECT source_key, true AS utf8_ok, true AS usual_header, count(*) + 1 AS n_lines FROM t GROUP BY source_key""",
         "utf8_gate": """SELECT DISTINCT
-  'incoming/transactions_2024-02-14_D' || (doc_id % 50) || '.csv' AS source_key
+  'incoming/transactions_2024-02-14_D' || (doc_id // 20) || '.csv' AS source_key
 FROM documents WHERE doc_id % 7 = 3 AND contains(text, 'é')""",
         "pipeline_files": f"""{VALID}
 SELECT source_key, 'accepted' AS disposition, NULL::VARCHAR AS staleness, {COUNTS}

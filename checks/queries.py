@@ -28,7 +28,6 @@ from batchgate.sinks import (
     write_summaries,
     write_transactions,
 )
-from batchgate.sinks.batches import EXCEPTIONS_IN_SUMMARY
 from batchgate.sources import explode_events, profile_files, read_all_strings, read_manifest
 from batchgate.sources.csv_files import utf8_gate
 from batchgate.synth import clean_rows, inject_defects
@@ -161,9 +160,10 @@ def file_reprocessing(spark, sf_dir):
 
 
 def file_dispositions(spark, sf_dir):
-    files = _gated(spark, sf_dir).where(F.col("admitted"))
+    files = _gated(spark, sf_dir)
     side = (
-        F.when(F.col("staleness").endswith("past"), "past")
+        F.when(~F.col("admitted"), None)
+        .when(F.col("staleness").endswith("past"), "past")
         .when(F.col("staleness").endswith("future"), "future")
         .otherwise("fresh")
     )
@@ -288,21 +288,12 @@ def _partitioned_schema() -> str:
 def processed_summaries(spark, sf_dir):
     validated = _validated(spark, sf_dir)
     out = f"{scratch_root(spark)}/processed-docs-{uuid.uuid4().hex}"
-    files = _counted_files(validated)
-    n = F.col("rejected_critical") + F.col("flagged_warning_only")
-    long_files = materialise(
-        files.select("source_key", n.alias("n_exceptions"), F.lit(True).alias("long")).where(
-            F.col("n_exceptions") > EXCEPTIONS_IN_SUMMARY
-        ),
-        "long",
-    )
     write_summaries(
-        files,
+        _counted_files(validated),
         validated.exceptions(),
         validated.shared_violations(),
         out,
         F.lit("2024-02-15T00:00:00+00:00"),
-        long_files,
     )
     document = (
         "partner_batch_id string, source_key string, processed_at string, "
@@ -338,11 +329,12 @@ def _landed_bucket(spark, sf_dir) -> str:
 
 
 def utf8_rejects(spark, sf_dir):
-    """Document texts as 50 files, some texts with a byte that is not UTF-8."""
+    """Document texts, 20 to a file, some with a byte that is not UTF-8."""
     d = F.col("doc_id")
     stray = F.unhex(F.lit("E9")).cast("string")
     text = F.when(d % 7 == 3, F.replace(F.col("text"), F.lit("é"), stray)).otherwise(F.col("text"))
-    name = F.concat(F.lit("transactions_2024-02-14_D"), (d % 50).cast("string"), F.lit(".csv"))
+    file = F.floor(d / 20).cast("string")
+    name = F.concat(F.lit("transactions_2024-02-14_D"), file, F.lit(".csv"))
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     keyed = documents.select(name.alias("key"), text.alias("value")).repartition("key")
     root = _bucket(spark, keyed, "text")
@@ -384,6 +376,7 @@ def queries() -> dict[str, Query]:
         "rule_duplicate": rule_duplicate,
         "rule_orphaned_refund": rule_orphaned_refund,
         "exceptions_long": lambda s, d: _validated(s, d).exceptions_long(),
+        "shared_violations": lambda s, d: _validated(s, d).shared_violations(),
         "row_dispositions": row_dispositions,
         "valid_transactions": lambda s, d: _validated(s, d).valid_rows(),
         "batch_summary": lambda s, d: _validated(s, d).summary(),

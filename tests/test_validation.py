@@ -26,7 +26,7 @@ CASES = {
     "both_unknown": ([row(status="s", currency="XXX")], [("invalid_enum_value",)]),
     "status_case": ([row(status="Completed")], [("invalid_enum_value",)]),
     "absent_status": ([row(status=None)], [("invalid_enum_value",)]),
-    "early_posting": ([row(posted_date="2024-02-14")], [("date_logic_violation",)]),
+    "early_posting": ([row(posted_date="2024-02-09")], [("date_logic_violation",)]),
     "future": (
         [row(transaction_date="2024-02-16", posted_date="2024-02-16")],
         [("date_logic_violation",)],
@@ -73,11 +73,11 @@ CASES = {
     "one_of_two_unsound": ([row(), row(amount="")], [(), ("missing_required_field",)]),
     "two_lost_twins": (
         [row(related_transaction_id="NOPE", **REFUND)] * 2,
-        [("duplicate_transaction", "orphaned_refund", "orphaned_refund")] * 2,
+        [("duplicate_transaction", "orphaned_refund")] * 2,
     ),
     "purchase_and_lost_twin": (
         [row(), row(related_transaction_id="NOPE", **REFUND)],
-        [("duplicate_transaction", "orphaned_refund")] * 2,
+        [("duplicate_transaction",), ("duplicate_transaction", "orphaned_refund")],
     ),
     "blank_ids": (
         [row(transaction_id=""), row(transaction_id="")],
@@ -172,7 +172,8 @@ def test_details(judged, name, want):
 
 def test_valid_rows_keep_their_text(judged):
     kept = judged[3][("clean", 0)]
-    assert kept.amount == "25.00" and kept.transaction_date == AS_OF
+    assert kept.amount == BASE["amount"]
+    assert kept.transaction_date == BASE["transaction_date"]
 
 
 def test_structural_failures_come_first(batch):
@@ -211,8 +212,7 @@ def test_absent_columns_are_null(batch):
     assert [r.rule for r in result.exceptions_long().collect()] == ["date_logic_violation"]
 
 
-def test_heavily_repeated_id_lists_its_orphans_once(spark, batch, monkeypatch):
-    monkeypatch.setattr(B, "INLINE_ROWS_PER_ID", 3)
+def test_a_repeated_id_lists_its_orphans_once(batch):
     lost = [row(related_transaction_id=f"NOPE-{i}", **REFUND) for i in range(5)]
     result = B.validate_batch(batch(*lost, row(transaction_id="T2")), AS_OF)
     rows = result.exceptions().orderBy("row_seq").collect()
