@@ -44,6 +44,43 @@ def test_cross_entropy_equals_plain_counts(spark):
         assert got[i]["score"] == pytest.approx(losses[0] - losses[1], abs=1e-5)
 
 
+@pytest.mark.parametrize("share", [1.0, 0.1, 0.0])
+def test_all_words_are_scored(spark, monkeypatch, share):
+    monkeypatch.setattr(lm_scoring, "HOT_SHARE", share)
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 500)
+    rnd = np.random.default_rng(3)
+    # Some 2,500 words, most of them once or twice; texts 0 and 1 differ in one rare word.
+    draw = [[f"w{int(x)}" for x in rnd.zipf(1.3, n) % 100_000] for n in rnd.integers(0, 60, 200)]
+    texts = dict(enumerate([["the", "zebra"], ["the", "quark"], ["zebra", "zebra", "the"], *draw]))
+    texts |= {1000 + i: [f"r{i}", f"r{i + 1}"] for i in range(2500)}
+    targets = [i for i in texts if i % 2 == 0]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    got = {r["doc_id"]: r for r in lm_scoring.score(docs.repartition(3), ids, strength=2.0).collect()}
+    kinds = len({w for t in texts.values() for w in t}) + 1
+    assert kinds > 2500 and len(got) == len(texts)
+
+    def model(ids):
+        pairs, single, after = Counter(), Counter(), Counter()
+        for i in ids:
+            for h, w in zip(["<s>", *texts[i]], texts[i], strict=False):
+                pairs[h, w] += 1
+                single[w] += 1
+                after[h] += 1
+        total = sum(single.values()) + kinds
+        return lambda h, w: -math.log2((pairs[h, w] + 2 * (single[w] + 1) / total) / (after[h] + 2))
+
+    models = model(targets), model(texts)
+    for i, words in texts.items():
+        if not words:
+            assert got[i]["n_tokens"] == 0 and got[i]["score"] is None
+            continue
+        losses = [np.mean([m(h, w) for h, w in zip(["<s>", *words], words, strict=False)]) for m in models]
+        assert got[i]["target_loss"] == pytest.approx(losses[0], abs=1e-5)
+        assert got[i]["score"] == pytest.approx(losses[0] - losses[1], abs=1e-5)
+    assert got[0]["score"] != got[1]["score"]
+
+
 def test_scoring_odd(spark, odd, nothing):
     target = spark.createDataFrame([(4,)], "doc_id long")
     assert lm_scoring.score(odd, target).count() == odd.count()
