@@ -20,6 +20,14 @@ REMEMBERED = 1_000_000
 STOPS = (b",", b".")
 
 
+def _words(text: bytes) -> list[bytes]:
+    if b"<|" in text:
+        return text.split()
+    if text.isascii():
+        return text.lower().split()
+    return [w.lower() if w.isascii() else w for w in text.split()]
+
+
 class WordEncoder:
     """Encodes runs of UTF-8 texts; remembers the ids of a bounded number of words."""
 
@@ -79,8 +87,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each followed by the end id, and the texts' bounds."""
-        # Text is lowered anyway; names of special tokens are matched before that.
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        # ASCII is lowered anyway; names of special tokens are matched before that. Other
+        # words are composed first, and a lower-case letter may compose where its capital does not.
+        words = [_words(t) for t in texts]
         flat = list(chain.from_iterable(words))
         if len(self.index) > self.remembered:
             self._forget()

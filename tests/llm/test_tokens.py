@@ -36,6 +36,16 @@ def test_encoder_equals_library(word_bpe, documents, remembered):
         assert got == reference(word_bpe, texts[at : at + 5])
 
 
+# Capitals that only their lower case composes with the mark.
+COMPOSED_LOWER = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"]
+
+
+def test_decomposed_capitals_equal_library(word_bpe):
+    texts = [*COMPOSED_LOWER, " ".join(COMPOSED_LOWER), "THE J\u030cAR, J\u030c. The \u030c x", "j\u030c J\u030c"]
+    ids, bounds = WordEncoder(word_bpe).encode([t.encode() for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == reference(word_bpe, texts)
+
+
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000, np.uint64))
     mph = PerfectHash.build(keys)
