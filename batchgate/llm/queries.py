@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from batchgate.llm import (
     exact_dedup,
+    hadamard_codes,
     hnsw,
     language_mixture,
     license_scan,
@@ -15,6 +16,8 @@ from batchgate.llm import (
     ngram_join,
     packing,
     prefix_table,
+    simhash,
+    span_alignment,
     token_store,
     warc,
 )
@@ -136,12 +139,77 @@ FROM n
 """
 
 
+# One round of the codebooks: parts take their nearest entry, entries become floored means.
+_OP11_NEAREST = """
+nearest{r} AS (
+  SELECT vec_id, n.p, any_value(n.x) AS x,
+         min({{'d': list_sum(list_transform(list_zip(n.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'k': b.k}}) AS m
+  FROM parts n JOIN book{r} b ON n.p = b.p
+  GROUP BY vec_id, n.p
+)"""
+_OP11_ROUND = _OP11_NEAREST + """,
+sums{r} AS (
+  SELECT p, k, list(CAST(floor(s / c) AS BIGINT) ORDER BY i) AS x
+  FROM (SELECT p, m.k AS k, i, sum(x[i])::DOUBLE AS s, count(*) AS c
+        FROM nearest{r}, width, range(1, 1 + w) t(i) GROUP BY p, m.k, i)
+  GROUP BY p, k
+),
+book{n} AS (
+  SELECT b.p, b.k, coalesce(s.x, b.x) AS x FROM book{r} b LEFT JOIN sums{r} s ON b.p = s.p AND b.k = s.k
+)"""
+OP11_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+width AS (SELECT max(len(v)) // 16 AS w FROM kept),
+parts AS (
+  SELECT vec_id, p, v[p * w + 1 : p * w + w] AS x FROM kept, width, range(16) r(p)
+),
+book0 AS (
+  SELECT p, k, x
+  FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM kept ORDER BY vec_id LIMIT 64)
+  USING (vec_id)
+),
+{_OP11_ROUND.format(r=0, n=1)},
+{_OP11_ROUND.format(r=1, n=2)},
+{_OP11_NEAREST.format(r=2)},
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', m.k), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM nearest2 GROUP BY vec_id
+),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), digest
+"""
+
+
 def op10_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_table.round_trip(
         table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")
     )
 
 
+def op11_hadamard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hadamard_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op12_span_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_alignment.align(
+        table(spark, sf_dir, "documents"),
+        tokenizer_file("byte_bpe_50k.json"),
+        tokenizer_file("piece_bpe_32k.model"),
+    )
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"), size=3, radius=2)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_cross_entropy_difference": op1_cross_entropy_difference,
@@ -154,10 +222,19 @@ def queries() -> dict[str, Query]:
         "op8_histogram_packing": op8_histogram_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_prefix_table": op10_prefix_table,
+        "op11_hadamard_codes": op11_hadamard_codes,
+        "op12_span_alignment": op12_span_alignment,
+        "op13_simhash": op13_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     templates = license_scan.TEMPLATES
     op2_sql = license_scan.scan_sql(templates, license_scan.listed_postings(templates))
-    return {"op2_license_index": op2_sql, "op3_zip_packages": OP3_SQL, "op4_signature_tree_join": OP4_SQL, "op9_exact_dedup": OP9_SQL}
+    return {
+        "op2_license_index": op2_sql,
+        "op3_zip_packages": OP3_SQL,
+        "op4_signature_tree_join": OP4_SQL,
+        "op9_exact_dedup": OP9_SQL,
+        "op11_hadamard_codes": OP11_SQL,
+    }

@@ -24,7 +24,7 @@ def test_sql(spark, con, name):
 def test_registered():
     names = set(registered.queries())
     assert set(own.queries()) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in own.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in own.queries()} == set(range(1, 14))
 
 
 def test_index_as_in_sql(spark):
