@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from batchgate import schema as S
 from batchgate.functions import shown
 from batchgate.operators.ids import NotableIds, attach_ids, notable_ids
+from batchgate.operators.linkage import dense_index
+from batchgate.operators.lookups import lookup
 from batchgate.operators.rows import (
     ROW_RULES,
     RowRule,
@@ -131,6 +133,79 @@ class ValidatedBatch:
             orphan_detail(F.col("related_transaction_id")).alias("detail"),
         )
 
+    def exceptions_full(self, rows_at_once: int = 4096, entries_at_once: int = 1024) -> DataFrame:
+        """One line per violation, with every entry that an id's rows share on each of them.
+
+        A row of a repeated id lists its own violations, the duplicate entry, and the
+        orphan entries of all rows of its id in ``row_seq`` order. That output grows
+        with the square of the repetition, so it is made in pieces: up to
+        ``rows_at_once`` rows of an id (about) meet up to ``entries_at_once`` of its
+        entries in one task, however often the id occurs.
+        """
+        scope, key = self.scope, [*self.scope, "transaction_id"]
+        exceptions = self.exceptions()
+        own = exceptions.select(
+            *scope, "row_seq", "transaction_id", "shared", F.posexplode("violations").alias("pos", "v")
+        ).where(~(F.col("shared") & (F.col("v.rule") == "orphaned_refund")))
+
+        # Entries, numbered within their id, in blocks.
+        entries = dense_index(
+            self.rows.where((F.col("same_id") > 1) & F.col("orphan")).select(
+                *key, "row_seq", "same_id", "related_transaction_id"
+            ),
+            key,
+            "row_seq",
+            "rank",
+        )
+        listed = materialise(entries.withColumn("k", F.col("rank") - 1), "entries")
+        pieces = F.ceil(F.col("same_id") / rows_at_once).cast("bigint")
+        blocks = listed.df.select(
+            *key,
+            F.floor(F.col("k") / entries_at_once).alias("block"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)).alias("piece"),
+            "k",
+            orphan_detail(F.col("related_transaction_id")).alias("detail"),
+        )
+        width = F.lit(48) + F.octet_length("transaction_id")
+        many = materialise(
+            listed.df.groupBy(*key).agg(F.count(F.lit(1)).alias("many"), F.max("same_id").alias("n")),
+            "entry-counts",
+            width,
+        )
+        # A shared row's own entries: all but the orphan one, which is among the id's.
+        before = F.size(F.filter("violations", lambda v: v["rule"] != "orphaned_refund"))
+        members = lookup(
+            exceptions.where("shared").select(*key, "row_seq", before.alias("before")),
+            many,
+            {c: F.col(c) for c in key},
+            ["many", "n"],
+            "n",
+            F.col("row_seq"),
+        ).where(F.col("many").isNotNull())
+        asked = members.select(
+            *key,
+            "row_seq",
+            "before",
+            F.pmod(F.xxhash64("row_seq"), F.ceil(F.col("n") / rows_at_once).cast("bigint")).alias("piece"),
+            F.explode(
+                F.sequence(
+                    F.lit(0).cast("bigint"), F.ceil(F.col("many") / entries_at_once).cast("bigint") - 1
+                )
+            ).alias("block"),
+        )
+        common = asked.join(blocks, [*key, "block", "piece"]).select(
+            *scope,
+            "row_seq",
+            (F.col("before") + F.col("k")).cast("int").alias("pos"),
+            "transaction_id",
+            F.lit("orphaned_refund").alias("rule"),
+            F.lit(S.CRITICAL).alias("severity"),
+            "detail",
+        )
+        return own.select(
+            *scope, "row_seq", "pos", "transaction_id", "v.rule", "v.severity", "v.detail"
+        ).unionByName(common)
+
     def summary(self, files: DataFrame | None = None) -> DataFrame:
         """Row counts per file. ``files`` adds zero counts for files without rows."""
         counts = self.rows.groupBy(*self.scope).agg(*count_columns())

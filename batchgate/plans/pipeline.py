@@ -22,10 +22,16 @@ from batchgate.operators.batch import COUNTS, count_columns, validate_batch
 from batchgate.operators.lookups import fits_broadcast, lookup
 from batchgate.operators.rows import ROW_RULES, RowRule
 from batchgate.session import Table, materialise, release
-from batchgate.sinks.batches import processed_batches, write_summaries, write_transactions
+from batchgate.sinks.batches import (
+    clear_summaries,
+    processed_batches,
+    write_summaries,
+    write_transactions,
+)
+from batchgate.sinks import versions
 from batchgate.sinks.logs import write_alerts, write_dead_letters
 from batchgate.sources.csv_files import Layouts, find_layouts, profile_files, read_batch_csv
-from batchgate.sources.incoming import list_incoming
+from batchgate.sources.incoming import list_incoming, mark_found
 
 # Columns a rule reads without a default: (column, count that must be zero).
 _NEEDED = [
@@ -57,9 +63,13 @@ def _gate(
     as_of: date | str | None,
     max_bytes: int,
     stale_days: int,
+    versioned: bool,
 ) -> DataFrame:
     gated = G.gate_files(files, as_of, max_bytes, stale_days)
-    return G.mark_already_processed(gated, processed_batches(spark, processed))
+    earlier = (
+        versions.current(spark, processed, gated) if versioned else processed_batches(spark, processed)
+    )
+    return G.mark_already_processed(gated, earlier)
 
 
 def _file_counts(rows: DataFrame) -> DataFrame:
@@ -86,8 +96,9 @@ def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: La
         bad = lacks[name] & (F.col(needed_by) > 0)
         text = F.lit(f"no column '{name}'")
         error = F.when(bad, text) if error is None else error.when(bad, text)
-    # A file that holds bytes has a line; without one the scan did not find it.
-    gone = F.col("n_lines").isNull() & (F.col("size_bytes") > 0)
+    # A file that holds bytes has a line; without one the scan did not find it. An object
+    # announced without a size is gone if it is not in the listing.
+    gone = F.col("n_lines").isNull() & ((F.col("size_bytes") > 0) | ~F.col("found"))
     error = error.when(gone, F.lit(G.REASON_GONE))
     admitted = F.col("admitted")
     undecodable = admitted & F.coalesce(~F.col("utf8_ok"), F.lit(False))
@@ -106,10 +117,25 @@ def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: La
     accepted = F.col("disposition") == G.ACCEPTED
     counted = {c: F.when(accepted, F.coalesce(F.col(c), F.lit(0))) for c in COUNTS}
     return settled.withColumns(counted).drop(
-        "__error", "__bad_text", "layout", "utf8_ok", "n_ok", "n_known_status"
+        "__error", "__bad_text", "layout", "utf8_ok", "n_ok", "n_known_status", "found"
     )
 
 
+def _replace_output(
+    processed: str,
+    winners: DataFrame,
+    valid: DataFrame,
+    exceptions: DataFrame,
+    shared: DataFrame,
+    processed_at: Column,
+    spread_out: bool,
+) -> None:
+    """A batch without a summary is not complete: the old one goes before rows are replaced."""
+    clear_summaries(winners, processed)
+    write_transactions(valid, winners, processed, spread_out)
+    write_summaries(winners, exceptions, shared, processed, processed_at)
+
+
 def process_incoming(
     spark: SparkSession,
     root: str,
@@ -122,13 +148,19 @@ def process_incoming(
     run_at: datetime | None = None,
     rules: tuple[RowRule, ...] = ROW_RULES,
     multi_line: bool = False,
+    versioned: bool = False,
     **limits,
 ) -> RunResult:
     """Process the files under ``root``/incoming/ into ``root``/processed/.
 
     ``files`` replaces the listing: (bucket, source_key, size_bytes,
-    arrival_seq), from notification events say. ``keys`` restricts the run to
-    these files; without it all of incoming/ is read.
+    arrival_seq), from notification events say; a size of 0 may also mean that the
+    notification had none. ``keys`` restricts the run to these files; without it
+    all of incoming/ is read.
+
+    ``versioned`` output is committed as a whole (see ``sinks.versions``), and batches
+    processed before are looked up in its index. Otherwise output replaces what the
+    batches had: summaries go first and are written last.
     """
     root = root.rstrip("/")
     processed = f"{root}/{S.PROCESSED_PREFIX.rstrip('/')}"
@@ -142,14 +174,21 @@ def process_incoming(
         return table
 
     if files is None:
-        listed = list_incoming(spark, root, keys=keys)
+        listed = list_incoming(spark, root, keys=keys).withColumn("found", F.lit(True))
+        if keys is not None:
+            named = spark.createDataFrame([(k,) for k in keys], "source_key string").distinct()
+            listed = named.join(listed, "source_key", "left").fillna({"size_bytes": 0, "found": False})
+            listed = listed.withColumn("bucket", F.lit(root))
         files = listed.withColumn("arrival_seq", F.struct("modified_at", "source_key"))
-    gated = keep(_gate(spark, files, processed, as_of, max_bytes, stale_days), "gated")
+    else:
+        files = mark_found(spark, root, files)
+    gated = keep(_gate(spark, files, processed, as_of, max_bytes, stale_days, versioned), "gated")
     admitted = gated.df.where("admitted")
 
     # Nothing after this point opens a file that failed the gate.
     if gated.rows and keys is not None:
-        wanted = {r.source_key for r in admitted.select("source_key").toLocalIterator()}
+        there = admitted.where("found")
+        wanted = {r.source_key for r in there.select("source_key").toLocalIterator()}
         keys = [k for k in keys if k in wanted]
     if keys is not None and not keys:
         rows = spark.createDataFrame(
@@ -198,14 +237,17 @@ def process_incoming(
     shuffled = not all(
         fits_broadcast(t, **limits) for t in (ids.repeated, ids.lost)
     ) or not fits_broadcast(published)
-    write_transactions(of_winners(batch.valid_rows()), winners, processed, shuffled)
-    write_summaries(
+    output = (
         winners,
+        of_winners(batch.valid_rows()),
         of_winners(batch.exceptions()),
         of_winners(batch.shared_violations()),
-        processed,
         F.lit(run_at.isoformat()),
     )
+    if versioned:
+        versions.publish(spark, processed, run_id, *output, spread_out=shuffled)
+    else:
+        _replace_output(processed, *output, spread_out=shuffled)
     write_alerts(result.df, f"{root}/alerts", run_id)
     write_dead_letters(result.df, f"{root}/dead_letters", run_id)
     batch.release()

@@ -135,10 +135,16 @@ def write_summaries(
     _replace(lines, processed, SUMMARY, "text")
 
 
+def clear_summaries(files: DataFrame, processed: str) -> None:
+    """Empty the summaries of the batches of ``files``, so that none stands for other rows."""
+    blank = files.select(_batch_of(F.col("source_key")).alias("batch"), F.lit("").alias("value"))
+    _replace(blank.distinct(), processed, SUMMARY, "text", lineSep=" ")
+
+
 def processed_batches(spark: SparkSession, processed: str) -> DataFrame:
     """(partner_batch_id, finished_at) of every batch with output, from the listing.
 
-    ``finished_at`` is null while a batch has rows but no summary yet.
+    ``finished_at`` is null while a batch has rows but no summary yet, or a blank one.
     """
     schema = "partner_batch_id string, finished_at timestamp"
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
@@ -149,7 +155,10 @@ def processed_batches(spark: SparkSession, processed: str) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(processed)
     ).select(
         F.regexp_extract("path", "/batch=([^/]+)/object=", 1).alias("partner_batch_id"),
-        F.when(F.col("path").contains(f"/object={SUMMARY}/"), F.col("modificationTime")).alias("at"),
+        F.when(
+            F.col("path").contains(f"/object={SUMMARY}/") & (F.col("length") > 1),
+            F.col("modificationTime"),
+        ).alias("at"),
     )
     return (
         objects.where(F.col("partner_batch_id") != "")

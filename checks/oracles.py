@@ -7,6 +7,7 @@ as a direct (and unscaled) query. Views are inlined as CTEs.
 from __future__ import annotations
 
 from batchgate import schema as S
+from batchgate.operators.gate import REASON_GONE
 
 AS_OF = "DATE '2024-02-15'"
 SEED = 42
@@ -407,7 +408,7 @@ _DOC = """{'partner_batch_id': regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.cs
   'counts': {'total_rows': total_rows, 'passed': passed,
              'rejected_critical': rejected_critical,
              'flagged_warning_only': flagged_warning_only},
-  'exceptions': coalesce(found, [])}"""
+  'exceptions': coalesce(found, []), 'shared_violations': coalesce(common, [])}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -427,6 +428,23 @@ SELECT source_key, row_seq, transaction_id, 'critical' AS severity, detail FROM
 SELECT o.source_key, o.transaction_id, o.row_seq, 'orphaned_refund' AS rule,
        'critical' AS severity, o.detail
 FROM orphans o JOIN dups USING (source_key, transaction_id)""",
+        "exceptions_full": f"""{VALID},
+own AS (
+  SELECT v.* FROM v LEFT JOIN dups USING (source_key, transaction_id)
+  LEFT JOIN c ON c.source_key = v.source_key AND c.row_seq = v.row_seq
+  WHERE NOT (rule = 'orphaned_refund' AND dups.n IS NOT NULL AND c.ok)),
+entries AS (
+  SELECT source_key, transaction_id, detail,
+         row_number() OVER (PARTITION BY source_key, transaction_id ORDER BY row_seq) - 1 AS k
+  FROM orphans JOIN dups USING (source_key, transaction_id)),
+shared_rows AS (
+  SELECT c.source_key, c.row_seq, transaction_id,
+         (SELECT count(*) FROM own WHERE own.source_key = c.source_key AND own.row_seq = c.row_seq) AS before
+  FROM c JOIN dups USING (source_key, transaction_id) WHERE ok)
+SELECT source_key, row_seq, pos, transaction_id, rule, severity, detail FROM own
+UNION ALL
+SELECT source_key, row_seq, (before + k)::INT, transaction_id, 'orphaned_refund', 'critical', detail
+FROM shared_rows JOIN entries USING (source_key, transaction_id)""",
         "exceptions_long": f"""{VALID}
 SELECT source_key, row_seq, pos, transaction_id, rule, severity, detail FROM v""",
         "row_dispositions": f"""{VALID}
@@ -507,11 +525,17 @@ lists AS (
   FROM v JOIN (SELECT source_key, row_seq, ok FROM c) USING (source_key, row_seq) GROUP BY ALL),
 docs AS (
   SELECT source_key,
-         list({{'transaction_id': transaction_id, 'violations': violations}} ORDER BY ok, row_seq)
-           AS found FROM lists GROUP BY source_key)
+         list({{'transaction_id': transaction_id, 'violations': violations,
+                'shared': CASE WHEN ok AND n > 1 THEN true END}} ORDER BY ok, row_seq) AS found
+  FROM lists LEFT JOIN dups USING (source_key, transaction_id) GROUP BY source_key),
+commons AS (
+  SELECT source_key,
+         list({{'transaction_id': transaction_id, 'row_seq': row_seq, 'rule': 'orphaned_refund',
+                'severity': 'critical', 'detail': detail}} ORDER BY row_seq) AS common
+  FROM orphans JOIN dups USING (source_key, transaction_id) GROUP BY source_key)
 SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
        to_json({_DOC})::VARCHAR AS document
-FROM counts LEFT JOIN docs USING (source_key)""",
+FROM counts LEFT JOIN docs USING (source_key) LEFT JOIN commons USING (source_key)""",
         "file_profile": f"""WITH {T}
 SELECT source_key, true AS utf8_ok, true AS usual_header, count(*) + 1 AS n_lines FROM t GROUP BY source_key""",
         "utf8_gate": """SELECT DISTINCT
@@ -523,6 +547,46 @@ FROM judged GROUP BY source_key""",
         "pipeline_transactions": f"""{VALID}
 SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch, {COLUMNS}
 FROM judged WHERE NOT critical""",
+        "versioned_transactions": f"""{VALID}
+SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
+       CASE WHEN row_seq // 500 % 3 = 1 THEN 'second' ELSE 'first' END AS run,
+       {COLUMNS.replace('merchant_name', "CASE WHEN row_seq // 500 % 3 = 1 THEN 'Second ' ELSE '' END || merchant_name AS merchant_name")}
+FROM judged WHERE NOT critical""",
+        "versioned_summaries": f"""{VALID}
+SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
+       CASE WHEN row_seq // 500 % 3 = 1 THEN 'second' ELSE 'first' END AS run,
+       count(*) AS total_rows, count(*) FILTER (NOT critical) AS passed
+FROM judged GROUP BY ALL""",
+        "reprocessing_by_index": f"""{FILES}
+SELECT arrival_seq, nullif(partner_batch_id, '') AS partner_batch_id,
+       coalesce(partner_batch_id IN (
+         SELECT partner_batch_id FROM files WHERE arrival_seq % 17 = 2 AND partner_batch_id IS NOT NULL), false)
+         AS already_processed
+FROM files""",
+        "retired_batches": f"""WITH {T}
+SELECT DISTINCT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
+       CASE WHEN row_seq // 500 % 3 = 1 THEN 'second' ELSE 'first' END AS run
+FROM t WHERE (row_seq // 500) % 5 <> 0""",
+        "workload_counts": f"""{BENCH}, counts AS (SELECT {BENCH_COUNTS} FROM b3)
+SELECT 'type ' || transaction_type AS name, count(*) AS n FROM b3 GROUP BY transaction_type
+UNION ALL SELECT 'total_rows', total_rows FROM counts
+UNION ALL SELECT 'passed', passed FROM counts
+UNION ALL SELECT 'rejected_critical', rejected_critical FROM counts
+UNION ALL SELECT 'flagged_warning_only', flagged_warning_only FROM counts""",
+        "pipeline_dispositions": f"""{VALID},
+counts AS (SELECT source_key, row_seq // 500 AS b, {COUNTS} FROM judged GROUP BY ALL),
+others AS (
+  SELECT replace(source_key, 'BATCH-', 'GONE-') AS source_key, 'failed' AS disposition,
+         '{REASON_GONE}' AS reason FROM counts WHERE b % 3 = 0
+  UNION ALL SELECT replace(source_key, 'BATCH-', 'LOST-'), 'failed', '{REASON_GONE}' FROM counts WHERE b % 3 = 1
+  UNION ALL SELECT 'incoming/no_date_' || b || '.csv', 'rejected_filename',
+         'filename does not match the expected convention' FROM counts WHERE b % 5 = 2
+  UNION ALL SELECT replace(source_key, 'BATCH-', 'HUGE-'), 'rejected_size',
+         'file size (1099511627776 bytes) exceeds the {S.MAX_FILE_BYTES}-byte limit for a daily file'
+  FROM counts WHERE b % 5 = 3)
+SELECT source_key, 'accepted' AS disposition, NULL::VARCHAR AS reason,
+       total_rows, passed, rejected_critical, flagged_warning_only FROM counts
+UNION ALL SELECT *, NULL, NULL, NULL, NULL FROM others""",
         "csv_roundtrip": f"WITH {T} SELECT "
         + ", ".join(f"nullif({c.strip()}, '') AS {c.strip()}" for c in COLUMNS.split(","))
         + " FROM t",

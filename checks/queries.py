@@ -19,7 +19,7 @@ from batchgate.operators import workload as W
 from batchgate.operators.ids import id_counts, raw_ids
 from batchgate.operators.linkage import link_refunds
 from batchgate.operators.reconcile import manifest_reconcile
-from batchgate.plans import process_incoming
+from batchgate.plans import bench_workload, process_incoming
 from batchgate.session import materialise, scratch_root
 from batchgate.sinks import (
     expired_batches,
@@ -28,6 +28,7 @@ from batchgate.sinks import (
     write_summaries,
     write_transactions,
 )
+from batchgate.sinks import versions as V
 from batchgate.sources import explode_events, profile_files, read_all_strings, read_manifest
 from batchgate.sources.csv_files import utf8_gate
 from batchgate.synth import clean_rows, inject_defects
@@ -299,14 +300,93 @@ def processed_summaries(spark, sf_dir):
         "partner_batch_id string, source_key string, processed_at string, "
         "counts struct<total_rows:bigint,passed:bigint,rejected_critical:bigint,"
         "flagged_warning_only:bigint>, "
-        f"exceptions array<struct<transaction_id:string,violations:{S.VIOLATIONS_DDL}>>"
+        f"exceptions array<struct<transaction_id:string,violations:{S.VIOLATIONS_DDL},shared:boolean>>, "
+        "shared_violations array<struct<transaction_id:string,row_seq:bigint,rule:string,"
+        "severity:string,detail:string>>"
     )
     text = spark.read.text(out, wholetext=True)
     return text.where(F.col("object") == "summary.json").select(
-        "batch", F.to_json(F.from_json("value", document)).alias("document")
+        "batch",
+        F.to_json(F.from_json("value", document), {"ignoreNullFields": "false"}).alias("document"),
     )
 
 
+AGAIN = 3  # Files whose number leaves 1 over this arrive a second time.
+
+
+def _published(spark, sf_dir) -> str:
+    """Every file published once, then a third of them again with other merchants."""
+    out = f"{scratch_root(spark)}/versions-{uuid.uuid4().hex}"
+    rows = _rows(spark, sf_dir)
+    number = F.floor(F.col("row_seq") / fixtures.ROWS_PER_FILE)
+    second = rows.where(number % AGAIN == 1).withColumn(
+        "merchant_name", F.concat(F.lit("Second "), "merchant_name")
+    )
+    for run_id, some in (("first", rows), ("second", second)):
+        checked = B.validate_batch(some, AS_OF)
+        files = checked.summary().withColumn("partner_batch_id", G.parse_filename(F.col("source_key"))[1])
+        V.publish(
+            spark, out, run_id, materialise(files, "counts").df, checked.valid_rows(),
+            checked.exceptions(), checked.shared_violations(), F.lit("2024-02-15T00:00:00+00:00"),
+        )
+    return out
+
+
+def versioned_transactions(spark, sf_dir):
+    back = V.read_transactions(spark, _published(spark, sf_dir), S.TRANSACTION_COLUMNS)
+    run = F.element_at(F.split("version", "-"), 1).alias("run")
+    return back.select(
+        "batch", run, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in S.TRANSACTION_COLUMNS]
+    )
+
+
+def versioned_summaries(spark, sf_dir):
+    back = V.read_summaries(spark, _published(spark, sf_dir))
+    head = "partner_batch_id string, counts struct<total_rows:bigint,passed:bigint>"
+    said = back.select("batch", "version", F.from_json("value", head).alias("d"))
+    return said.select(
+        "batch", F.element_at(F.split("version", "-"), 1).alias("run"),
+        F.col("d.counts.total_rows").alias("total_rows"), F.col("d.counts.passed").alias("passed"),
+    )
+
+
+def reprocessing_by_index(spark, sf_dir):
+    """The listing against an index of the batches of some of its files."""
+    out = f"{scratch_root(spark)}/index-{uuid.uuid4().hex}"
+    files = _gated(spark, sf_dir).drop("already_processed")
+    early = files.where("arrival_seq % 17 = 2 AND partner_batch_id IS NOT NULL")
+    for run_id, some in (("odd", early.where("arrival_seq % 2 = 1")), ("even", early.where("arrival_seq % 2 = 0"))):
+        pointers = some.select(
+            "partner_batch_id", F.lit(run_id).alias("version"), "source_key",
+            F.lit(AS_OF).cast("timestamp").alias("finished_at"),
+        )
+        V.commit(spark, out, run_id, pointers, compact_after=1)
+    marked = G.mark_already_processed(files, V.current(spark, out, files))
+    return marked.select("arrival_seq", "partner_batch_id", "already_processed")
+
+
+def retired_batches(spark, sf_dir):
+    """What is left of the published batches once a fifth are retired and swept."""
+    out = _published(spark, sf_dir)
+    number = F.regexp_extract("partner_batch_id", r"(\d+)$", 1).cast("int")
+    V.retire(spark, out, "retire", V.current(spark, out).where(number % 5 == 0))
+    V.sweep(spark, out)
+    kept = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{out}/data")
+    return kept.select(
+        F.regexp_extract("path", "/version=(first|second)-", 1).alias("run"),
+        F.regexp_extract("path", "/batch=([^/]+)/", 1).alias("batch"),
+    ).where("batch <> ''").distinct()
+
+
+def workload_counts(spark, sf_dir):
+    """The four-stage workload over files, as it reports: one line per type and one for all."""
+    path = f"{scratch_root(spark)}/workload-{uuid.uuid4().hex}"
+    write_csv(_rows(spark, sf_dir), path)
+    found = bench_workload(spark, path, AS_OF)
+    lines = [("type " + k, n) for k, n in found.pop("by_transaction_type").items()]
+    return spark.createDataFrame([*lines, *found.items()], "name string, n bigint")
+
+
 def _bucket(spark, keyed: DataFrame, fmt: str, **options) -> str:
     """A bucket folder with one arriving file per ``key`` of ``keyed``."""
     root = f"{scratch_root(spark)}/bucket-{uuid.uuid4().hex}"
@@ -341,6 +421,35 @@ def utf8_rejects(spark, sf_dir):
     return utf8_gate(profile_files(spark, root))
 
 
+def _announced(spark, sf_dir):
+    """Notifications of every landed file, of misnamed and huge ones, and of objects that are gone."""
+    keys = _rows(spark, sf_dir).groupBy("source_key").agg((F.min("row_seq") / 500).cast("bigint").alias("b"))
+    b, key = F.col("b"), F.col("source_key")
+    batch = F.regexp_replace(key, "BATCH-", "GONE-")
+    def announced(condition, name, size: int):
+        return F.when(condition, F.struct(name.alias("k"), F.lit(size).cast("bigint").alias("size")))
+
+    some = F.array(
+        announced(F.lit(True), key, 100),
+        announced(b % 3 == 0, batch, 0),
+        announced(b % 3 == 1, F.regexp_replace(key, "BATCH-", "LOST-"), 7),
+        announced(b % 5 == 2, F.concat(F.lit("incoming/no_date_"), b.cast("string"), F.lit(".csv")), 7),
+        announced(b % 5 == 3, F.regexp_replace(key, "BATCH-", "HUGE-"), 1 << 40),
+    )
+    found = keys.select(F.explode(F.array_compact(some)).alias("f")).select(
+        F.lit("bucket").alias("bucket"), F.col("f.k").alias("source_key"), F.col("f.size").alias("size_bytes")
+    )
+    return found.withColumn("arrival_seq", F.col("source_key"))
+
+
+def pipeline_dispositions(spark, sf_dir):
+    root = _landed_bucket(spark, sf_dir)
+    run = process_incoming(
+        spark, root, as_of=AS_OF, files=_announced(spark, sf_dir), versioned=True
+    )
+    return run.files.select("source_key", "disposition", "reason", *B.COUNTS)
+
+
 def pipeline_files(spark, sf_dir):
     run = process_incoming(spark, _landed_bucket(spark, sf_dir), as_of=AS_OF)
     return run.files.select("source_key", "disposition", "staleness", *B.COUNTS)
@@ -376,6 +485,7 @@ def queries() -> dict[str, Query]:
         "rule_duplicate": rule_duplicate,
         "rule_orphaned_refund": rule_orphaned_refund,
         "exceptions_long": lambda s, d: _validated(s, d).exceptions_long(),
+        "exceptions_full": lambda s, d: _validated(s, d).exceptions_full(),
         "shared_violations": lambda s, d: _validated(s, d).shared_violations(),
         "row_dispositions": row_dispositions,
         "valid_transactions": lambda s, d: _validated(s, d).valid_rows(),
@@ -406,9 +516,15 @@ def queries() -> dict[str, Query]:
         "manifest_reconcile": reconcile,
         "processed_transactions": processed_transactions,
         "processed_summaries": processed_summaries,
+        "versioned_transactions": versioned_transactions,
+        "versioned_summaries": versioned_summaries,
+        "reprocessing_by_index": reprocessing_by_index,
+        "retired_batches": retired_batches,
+        "workload_counts": workload_counts,
         "csv_roundtrip": csv_roundtrip,
         "file_profile": profiled_files,
         "utf8_gate": utf8_rejects,
+        "pipeline_dispositions": pipeline_dispositions,
         "pipeline_files": pipeline_files,
         "pipeline_transactions": pipeline_transactions,
     }
