@@ -50,6 +50,7 @@ REASON_ENCODING = "file could not be decoded as UTF-8"
 
 REASON_NO_KEY = "notification names no object"
 REASON_GONE = "object is missing or cannot be read"
+REASON_FIELD = "field larger than field limit (131072)"
 
 
 def file_name(key: Column) -> Column:

@@ -30,7 +30,14 @@ from batchgate.sinks.batches import (
 )
 from batchgate.sinks import versions
 from batchgate.sinks.logs import write_alerts, write_dead_letters
-from batchgate.sources.csv_files import Layouts, find_layouts, profile_files, read_batch_csv
+from batchgate.sources.csv_files import (
+    Layouts,
+    find_layouts,
+    overlong_files,
+    profile_files,
+    read_batch_csv,
+    read_records,
+)
 from batchgate.sources.incoming import list_incoming, mark_found
 
 # Columns a rule reads without a default: (column, count that must be zero).
@@ -81,7 +88,13 @@ def _file_counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: Layouts) -> DataFrame:
+def _settle(
+    files: DataFrame,
+    profile: DataFrame,
+    counts: DataFrame,
+    layouts: Layouts,
+    overlong: DataFrame | None,
+) -> DataFrame:
     """Dispositions that depend on what the files hold."""
     lacks = {
         name: F.col("layout")[S.TRANSACTION_COLUMNS.index(name)] == -1 for name, _ in _NEEDED
@@ -92,6 +105,9 @@ def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: La
         .join(counts, "source_key", "left")
     )
     error = None
+    if overlong is not None:
+        joined = joined.join(overlong.withColumn("__long", F.lit(True)), "source_key", "left")
+        error = F.when(F.col("__long"), F.lit(G.REASON_FIELD))
     for name, needed_by in _NEEDED:
         bad = lacks[name] & (F.col(needed_by) > 0)
         text = F.lit(f"no column '{name}'")
@@ -117,7 +133,7 @@ def _settle(files: DataFrame, profile: DataFrame, counts: DataFrame, layouts: La
     accepted = F.col("disposition") == G.ACCEPTED
     counted = {c: F.when(accepted, F.coalesce(F.col(c), F.lit(0))) for c in COUNTS}
     return settled.withColumns(counted).drop(
-        "__error", "__bad_text", "layout", "utf8_ok", "n_ok", "n_known_status", "found"
+        "__error", "__bad_text", "__long", "layout", "utf8_ok", "n_ok", "n_known_status", "found"
     )
 
 
@@ -196,24 +212,30 @@ def process_incoming(
         ).withColumn("row_seq", F.lit(0).cast("bigint"))
         profile = keep(
             spark.createDataFrame(
-                [], "source_key string, utf8_ok boolean, usual_header boolean, n_lines bigint"
+                [], "source_key string, utf8_ok boolean, usual_header boolean, "
+                "n_lines bigint, quoted_breaks boolean"
             ),
             "profile",
         )
-        layouts = find_layouts(spark, root, profile.df)
+        layouts, records = find_layouts(spark, root, profile.df), None
     else:
         profile = keep(profile_files(spark, root, max_bytes, keys=keys), "profile")
-        layouts = find_layouts(spark, root, profile.df.where("utf8_ok"), max_bytes, keys=keys)
+        records = None if multi_line else read_records(spark, root, profile.df, max_bytes, keys=keys)
+        layouts = find_layouts(
+            spark, root, profile.df.where("utf8_ok"), max_bytes, keys=keys, records=records
+        )
         rows = read_batch_csv(
-            spark, root, layouts, max_bytes, keys=keys, multi_line=multi_line
+            spark, root, layouts, max_bytes, keys=keys, multi_line=multi_line, records=records
         )
     scratch.append(layouts.table.path)
+    scratch.extend(records.paths if records else [])
 
     batch = validate_batch(rows, as_of, rules, **limits)
     judged, ids = batch.rows, batch.ids
 
     counts = keep(_file_counts(judged), "counts")
-    settled = _settle(gated.df, profile.df, counts.df, layouts)
+    overlong = overlong_files(records) if records else None
+    settled = _settle(gated.df, profile.df, counts.df, layouts, overlong)
     result = materialise(G.mark_within_run(settled), "files")
     written = (F.col("disposition") == G.ACCEPTED) & ~F.col("superseded")
     winners = result.df.where(written)

@@ -13,6 +13,7 @@ from batchgate.operators.gate import FILENAME_PATTERN, too_large
 from batchgate.operators.lookups import lookup
 from batchgate.session import Table, materialise, release
 from batchgate.sources.incoming import relative_key
+from batchgate.sources.quoted import FIELD_LIMIT, Records, find_records, opens
 
 CSV_OPTIONS = {
     "quote": '"',
@@ -67,6 +68,8 @@ def _lines(
         relative_key(spark, root).alias("source_key"),
         (F.col("_metadata.file_block_start") == 0).alias("leads"),
         F.monotonically_increasing_id().alias("n"),
+        F.col("_metadata.file_block_start").alias("block"),
+        row_sequence(F.col("_metadata.file_block_start")).alias("row_seq"),
     )
 
 
@@ -78,7 +81,9 @@ def profile_files(
     keys: list[str] | None = None,
     columns: list[str] = S.TRANSACTION_COLUMNS,
 ) -> DataFrame:
-    """(source_key, utf8_ok, usual_header, n_lines) per file, from its raw lines.
+    """(source_key, utf8_ok, usual_header, n_lines, quoted_breaks) per file, from its raw lines.
+
+    ``quoted_breaks``: a line leaves a quoted field open, so lines are not records.
 
     The text source keeps bytes as they are, so an undecodable line shows up
     here; the CSV source would replace it silently. The scan is splittable,
@@ -92,10 +97,34 @@ def profile_files(
             F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"),
             F.min_by(F.col("value") == ",".join(columns), first).alias("usual_header"),
             F.count(F.lit(1)).alias("n_lines"),
+            F.bool_or(opens(F.col("value"))).alias("quoted_breaks"),
         )
     )
 
 
+def read_records(
+    spark: SparkSession,
+    root: str,
+    profile: DataFrame,
+    max_bytes: int = S.MAX_FILE_BYTES,
+    prefix: str = S.INCOMING_PREFIX,
+    keys: list[str] | None = None,
+) -> Records | None:
+    """Records of the files with line breaks in quoted fields; None if there is no such file."""
+    broken = materialise(
+        profile.where("utf8_ok AND quoted_breaks").select("source_key", "n_lines", F.lit(True).alias("broken")),
+        "broken",
+        F.octet_length("source_key"),
+    )
+    if not broken.rows:
+        release(spark, broken.path)
+        return None
+    lines = _lines(spark, root, max_bytes, prefix, keys)
+    key = {"source_key": F.col("source_key")}
+    lines = lookup(lines, broken, key, ["broken"], "n_lines", F.col("n")).where("broken")
+    return find_records(lines.select("source_key", "block", "row_seq", "value"), broken)
+
+
 def read_headers(
     spark: SparkSession,
     root: str,
@@ -161,17 +190,28 @@ def find_layouts(
     prefix: str = S.INCOMING_PREFIX,
     keys: list[str] | None = None,
     columns: list[str] = S.TRANSACTION_COLUMNS,
+    records: Records | None = None,
 ) -> Layouts:
-    """Layouts of the files whose header is not simply ``columns``."""
+    """Layouts of the files whose header is not simply ``columns``.
+
+    Headers of files in ``records`` are records themselves.
+    """
     width = F.octet_length("source_key")
-    odd = materialise(
-        profile.where(~F.col("usual_header")).select("source_key", "n_lines"), "odd", width
-    )
+    unusual = profile.where(~F.col("usual_header")).select("source_key", "n_lines")
+    if records:
+        unusual = unusual.join(records.files.df.select("source_key"), "source_key", "left_anti")
+        own = records.headers.df.where(F.col("header") != ",".join(columns))
+        unusual = unusual.union(own.select("source_key", "n_lines"))
+    odd = materialise(unusual, "odd", width)
     if not odd.rows:
         none = spark.createDataFrame([], "source_key string, layout array<int>, n_lines bigint")
         return Layouts(Table(none, 0, 0, "", {}), len(columns))
+    said = read_headers(spark, root, odd, max_bytes, prefix, keys)
+    if records:
+        said = said.join(records.files.df.select("source_key"), "source_key", "left_anti")
+        said = said.unionByName(records.headers.df.select("source_key", "header"))
     headers = materialise(
-        read_headers(spark, root, odd, max_bytes, prefix, keys).join(odd.df, "source_key"),
+        said.join(odd.df, "source_key"),
         "headers",
         metrics={"widest": F.max(F.size(F.split("header", ",")))},
     )
@@ -196,6 +236,27 @@ def _fields_in(line: Column) -> Column:
     return F.size(F.split(bare, ","))
 
 
+def _record_fields(records: Records, schema: T.StructType) -> DataFrame:
+    """Records but the headers, parsed like lines; blank ones are no records."""
+    key = {"source_key": F.col("source_key")}
+    rows = lookup(records.table.df, records.headers, key, ["first"], "n_lines", F.col("row_seq"))
+    options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    blank = F.trim("value") == ""
+    return rows.where((F.col("row_seq") > F.col("first")) & ~blank).select(
+        F.from_csv("value", ddl, options).alias("f"), "source_key", "row_seq"
+    ).select("f.*", "source_key", "row_seq")
+
+
+def overlong_files(records: Records) -> DataFrame:
+    """(source_key): files with a field beyond the limit, which no reader accepts."""
+    # Shorter records hold no longer field.
+    long = records.table.df.where(F.length("value") > FIELD_LIMIT).select(
+        "source_key", F.explode(F.regexp_extract_all("value", F.lit(r'(?<=^|,)("(?:[^"]++|"")*+"|[^,]*+)'), 1)).alias("field")
+    ).where(F.length("field") > FIELD_LIMIT + 2).select("source_key")
+    return long.union(records.overlong.df).distinct()
+
+
 def read_batch_csv(
     spark: SparkSession,
     root: str,
@@ -205,14 +266,15 @@ def read_batch_csv(
     keys: list[str] | None = None,
     columns: list[str] = S.TRANSACTION_COLUMNS,
     multi_line: bool = False,
+    records: Records | None = None,
 ) -> DataFrame:
     """``columns`` as text, plus ``source_key`` and ``row_seq``.
 
     Columns are matched by each file's own header. Within a row an empty field
     is ``''`` and a field the row is too short for is null. Files that fail the
-    name or size gate are not opened. ``multi_line`` also accepts line breaks
-    inside quoted fields (they are dropped, joining the pieces), at the price
-    of one task per file.
+    name or size gate are not opened. Files with line breaks inside quoted fields
+    are read from ``records`` (breaks are dropped, joining the pieces);
+    ``multi_line`` reads all files that way, at the price of one task per file.
     """
     width = layouts.width if layouts else len(columns)
     names = [columns[i] if i < len(columns) else f"__f{i}" for i in range(width)]
@@ -235,6 +297,11 @@ def read_batch_csv(
         relative_key(spark, root).alias("source_key"),
         row_sequence(F.col("_metadata.file_block_start")).alias("row_seq"),
     )
+    if records:
+        key = {"source_key": F.col("source_key")}
+        marked = lookup(positioned, records.files, key, ["broken"], "n_lines", F.col("row_seq"))
+        whole = marked.where(F.col("broken").isNull()).drop("broken")
+        positioned = whole.unionByName(_record_fields(records, read_schema))
     # The raw line is only there when the number of fields is not as expected.
     held = F.when(F.col(_CORRUPT).isNull(), F.lit(width)).otherwise(_fields_in(F.col(_CORRUPT)))
     positioned = positioned.withColumn("__held", held)

@@ -573,6 +573,10 @@ UNION ALL SELECT 'total_rows', total_rows FROM counts
 UNION ALL SELECT 'passed', passed FROM counts
 UNION ALL SELECT 'rejected_critical', rejected_critical FROM counts
 UNION ALL SELECT 'flagged_warning_only', flagged_warning_only FROM counts""",
+        "quoted_records": """SELECT
+  'incoming/transactions_2024-02-14_Q' || (doc_id // 100) || '.csv' AS source_key,
+  doc_id::VARCHAR AS transaction_id,
+  regexp_replace(coalesce(text, ''), '[\r\n]', '', 'g') AS merchant_name FROM documents""",
         "pipeline_dispositions": f"""{VALID},
 counts AS (SELECT source_key, row_seq // 500 AS b, {COUNTS} FROM judged GROUP BY ALL),
 others AS (

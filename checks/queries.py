@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +30,16 @@ from batchgate.sinks import (
     write_transactions,
 )
 from batchgate.sinks import versions as V
-from batchgate.sources import explode_events, profile_files, read_all_strings, read_manifest
+from batchgate.sources import (
+    explode_events,
+    list_incoming,
+    profile_files,
+    read_all_strings,
+    read_manifest,
+)
+from batchgate.sources import csv_files as C
 from batchgate.sources.csv_files import utf8_gate
+from batchgate.sources.incoming import qualified_uri
 from batchgate.synth import clean_rows, inject_defects
 from batchgate.synth.datasets import relink
 
@@ -391,13 +400,23 @@ def _bucket(spark, keyed: DataFrame, fmt: str, **options) -> str:
     """A bucket folder with one arriving file per ``key`` of ``keyed``."""
     root = f"{scratch_root(spark)}/bucket-{uuid.uuid4().hex}"
     keyed.write.partitionBy("key").options(**options).format(fmt).save(f"{root}/written")
-    # Spark names its own files; give each the name it should arrive under.
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path(f"{root}/incoming"))
-    for status in fs.globStatus(path(f"{root}/written/key=*/part-*")):
-        key = status.getPath().getParent().getName().removeprefix("key=")
-        fs.rename(status.getPath(), path(f"{root}/incoming/{key}"))
+    # Spark names its own files; tasks give each the name it should arrive under.
+    uri = qualified_uri(spark, root)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(uri)
+        files.create_dir(f"{base}/incoming")
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                name = key.split("/")[1].removeprefix("key=")
+                files.move(f"{base}/{key}", f"{base}/incoming/{name}")
+            yield pa.RecordBatch.from_pydict({"moved": pa.array([batch.num_rows], pa.int64())})
+
+    parts = list_incoming(spark, root, prefix="written/", suffix="").select("source_key")
+    parts = parts.where(F.col("source_key").rlike("^written/key=[^/]+/part-")).repartition("source_key")
+    parts.mapInArrow(move, "moved long").agg(F.sum("moved")).collect()
     return root
 
 
@@ -421,6 +440,25 @@ def utf8_rejects(spark, sf_dir):
     return utf8_gate(profile_files(spark, root))
 
 
+def quoted_records(spark, sf_dir):
+    """Document texts as quoted fields with line breaks, 100 to a file."""
+    d = F.col("doc_id")
+    name = F.concat(F.lit("transactions_2024-02-14_Q"), F.floor(d / 100).cast("string"), F.lit(".csv"))
+    values = {c: F.lit("") for c in S.TRANSACTION_COLUMNS}
+    values |= {"transaction_id": d.cast("string"), "merchant_name": F.col("text")}
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    keyed = documents.select(name.alias("key"), *[v.alias(c) for c, v in values.items()])
+    root = _bucket(
+        spark, keyed.repartition("key"), "csv", header="true", escape='"', emptyValue="", nullValue="",
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+    )
+    profile = materialise(profile_files(spark, root, max_bytes=1 << 40), "profile").df
+    records = C.read_records(spark, root, profile, max_bytes=1 << 40)
+    layouts = C.find_layouts(spark, root, profile, max_bytes=1 << 40, records=records)
+    rows = C.read_batch_csv(spark, root, layouts, max_bytes=1 << 40, records=records)
+    return rows.select("source_key", "transaction_id", "merchant_name")
+
+
 def _announced(spark, sf_dir):
     """Notifications of every landed file, of misnamed and huge ones, and of objects that are gone."""
     keys = _rows(spark, sf_dir).groupBy("source_key").agg((F.min("row_seq") / 500).cast("bigint").alias("b"))
@@ -524,6 +562,7 @@ def queries() -> dict[str, Query]:
         "csv_roundtrip": csv_roundtrip,
         "file_profile": profiled_files,
         "utf8_gate": utf8_rejects,
+        "quoted_records": quoted_records,
         "pipeline_dispositions": pipeline_dispositions,
         "pipeline_files": pipeline_files,
         "pipeline_transactions": pipeline_transactions,
