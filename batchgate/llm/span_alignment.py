@@ -27,8 +27,13 @@ from pyspark.sql import functions as F
 from batchgate.llm.common import Table, bounded, materialise, release
 
 # Units remembered by a worker, none longer than this; beyond the number all are forgotten.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 LONGEST = 64
+# Units that are encoded at a time, and units of texts whose groups are put together at a time.
+LEARNED = 4096
+# Plain units that are encoded as one text: joined by spaces they fall into units again.
+JOINED = 64
+UNITS_AT_ONCE = 1 << 17
 # Links that a task counts before it sends their sums on.
 COUNTED = 1 << 21
 # Frequent pairs whose counts every task looks up; others are joined by shuffle.
@@ -36,6 +41,7 @@ FREQUENT = 1 << 20
 
 # Bytes that begin a visible character (of C2 and E1 to E3, some begin white space).
 _VISIBLE = rb"[!-~\xc3-\xe0\xe4-\xf4]"
+_PLAIN = re.compile(_VISIBLE + rb"[^ ]*", re.DOTALL)
 _UNIT = re.compile(rb"(?<! ) (?=" + _VISIBLE + rb")")
 _ODD = re.compile(rb"  | (?!" + _VISIBLE + rb")")
 
@@ -57,20 +63,33 @@ def units(text: bytes) -> list[bytes]:
     return [text[a + 1 : b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
 
 
-def refined(raw: bytes, spans: list[tuple[int, int]], tokens: list[bytes]) -> list[int] | None:
-    """Byte end of each token; None if the tokens' bytes are not ``raw``.
+def refined(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Byte end of every token; tokens lie end to end, ``owner`` is the unit of each.
 
-    A span that is as long as its token's bytes and begins where the last one
-    ended is taken as it is, any other is refined by the token's bytes.
+    ``begin`` and ``end`` are the spans, which leave out the places of tokens within a
+    character. ``sizes`` are the decoded bytes of the tokens. A span that is as
+    long as its token's bytes is taken as it is; tokens between two such spans
+    end where their bytes do.
     """
-    ends, at = [], 0
-    for (begin, end), token in zip(spans, tokens, strict=True):
-        at = end if begin == at and end - begin == len(token) else at + len(token)
-        ends.append(at)
-    return ends if b"".join(tokens) == raw else None
+    whole = end - begin == sizes
+    total = np.cumsum(sizes)
+    # How far the spans are ahead of the bytes at the last token whose span is whole.
+    last = np.maximum.accumulate(np.where(whole, np.arange(len(sizes)), -1))
+    known = last >= 0
+    known[known] = owner[last[known]] == owner[known]
+    ends = total.copy()
+    ends[known] += (end - total)[last[known]]
+    return ends
 
 
 class Aligner:
+    """Groups and links of texts; remembers units as scripts.
+
+    A unit's script is its tokens in the order of its groups, each as four times its
+    id plus what follows it: 0 a comma in A, 1 the bar, 2 a comma in B, 3 the end of
+    a group.
+    """
+
     def __init__(self, path_a: str, path_b: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -80,11 +99,14 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = byte_level()
-        self.bytes_a = {
-            i: bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
-            for entry, i in self.a.get_vocab(with_added_tokens=False).items()
-        }
-        self.bytes_b = [self._piece(i) for i in range(self.b.vocab_size())]
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        # Decoded bytes of A's entries and B's pieces, end to end, and where each begins.
+        self.bytes_a = _end_to_end(
+            {i: bytes(byte_of.get(c, 0) for c in entry) for entry, i in vocabulary.items()}
+        )
+        self.bytes_b = _end_to_end({i: self._piece(i) for i in range(self.b.vocab_size())})
+        self.entries_a, self.entries_b = len(self.bytes_a[1]) - 1, len(self.bytes_b[1]) - 1
+        self.digits = _digits(max(self.entries_a, self.entries_b))
         self.remembered = remembered
         self._forget()
 
@@ -96,100 +118,203 @@ class Aligner:
 
     def _forget(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.said: list[bytes] = []
-        # Per unit: whether its bytes agree, tokens of A and of B, groups, first link.
-        self.shape = np.zeros((1024, 5), np.int64)
-        self.links, self.used = np.zeros(4096, np.int64), 0
-
-    def _unit(self, raw: bytes, text: str, a, b):
-        """Links as A's and B's ids, groups, numbers of tokens; None if the bytes differ."""
-        at = range(len(raw) + 1) if len(text) == len(raw) else np.cumsum([0, *(len(c.encode("utf-8")) for c in text)]).tolist()
-        ids_a, ids_b = a.ids, [p.id for p in b.pieces]
-        ends_a = refined(raw, [(at[x], at[y]) for x, y in a.offsets], [self.bytes_a[i] for i in ids_a])
-        # B's spans leave out the space it puts before the text.
-        spans_b = [(p.begin + 1 if p.begin else 0, p.end + 1) for p in b.pieces]
-        ends_b = refined(raw, spans_b, [self.bytes_b[i] for i in ids_b])
-        if ends_a is None or ends_b is None:
-            return None
-        links_a, links_b, groups, i, j = [], [], [], 0, 0
-        shared = set(ends_a).intersection(ends_b)
-        for end in sorted(shared):
-            k = ends_a.index(end, i) + 1
-            m = ends_b.index(end, j) + 1
-            links_a.append(ids_a[k - 1])
-            links_b.append(ids_b[m - 1])
-            groups.append(b"%s|%s" % (_joined(ids_a[i:k]), _joined(ids_b[j:m])))
-            i, j = k, m
-        return links_a, links_b, groups, (len(ids_a), len(ids_b))
+        # Unit k is script[starts[k] : starts[k] + lengths[k]]; without tokens its bytes differ.
+        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.script, self.used = np.zeros(4096, np.uint32), 0
 
     def _learn(self, unknown: list[bytes]) -> None:
-        texts = [u.decode("utf-8") for u in unknown]
-        coded_a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        coded_b = self.b.encode(texts, return_type="proto", num_threads=1)
-        n = len(self.said)
-        if n + len(unknown) > len(self.shape):
-            self.shape = np.resize(self.shape, (2 * (n + len(unknown)), 5))
-        pairs: list[int] = []
-        for k, (unit, text, a, b) in enumerate(zip(unknown, texts, coded_a, coded_b, strict=True), n):
-            found = self._unit(b" " + unit, " " + text, a, b)
-            self.index[unit] = k
-            if found is None:
-                self.said.append(b"")
-                self.shape[k] = 0, 0, 0, 0, self.used + len(pairs)
-                continue
-            links_a, links_b, groups, (n_a, n_b) = found
-            self.said.append(b";".join(groups))
-            self.shape[k] = 1, n_a, n_b, len(groups), self.used + len(pairs)
-            pairs += [x * len(self.bytes_b) + y for x, y in zip(links_a, links_b, strict=True)]
-        if self.used + len(pairs) > len(self.links):
-            self.links = np.resize(self.links, 2 * (self.used + len(pairs)))
-        self.links[self.used : self.used + len(pairs)] = pairs
-        self.used += len(pairs)
+        """Plain units are encoded many at a time, as one text that falls into them again."""
+        plain = [u for u in unknown if _PLAIN.fullmatch(u)]
+        single = list(set(unknown).difference(plain))
+        for some in ([plain[i : i + JOINED] for i in range(0, len(plain), JOINED)], [[u] for u in single]):
+            again = self._encode(some) if some else []
+            if again:
+                self._encode([[u] for u in again], last=True)
+
+    def _encode(self, runs: list[list[bytes]], last: bool = False) -> list[bytes]:
+        """Learn the units of all runs; returns those of runs whose bytes differ, to be told apart."""
+        strings = [b" ".join(r) for r in runs]
+        texts = [s.decode("utf-8") for s in strings]
+        raw = np.frombuffer(b" " + b" ".join(strings), np.uint8)
+        sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
+        base = np.cumsum(sizes) - sizes
+        # A: offsets count the string's characters, its space included.
+        coded = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        some = [e.ids for e in coded]
+        many_a = np.fromiter(map(len, some), np.int64, len(some))
+        ids_a = np.fromiter(chain.from_iterable(some), np.int64, int(many_a.sum()))
+        spans = chain.from_iterable(chain.from_iterable([e.offsets for e in coded]))
+        spans = np.fromiter(spans, np.int64, 2 * len(ids_a)).reshape(-1, 2)
+        chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        own_a = np.repeat(np.arange(len(runs)), many_a)
+        spans = chars[spans + np.searchsorted(chars, base)[own_a][:, None]]
+        ends_a, sound_a = self._ends(spans[:, 0], spans[:, 1], ids_a, own_a, self.bytes_a, raw, base, sizes)
+        # B: spans count bytes and leave out the space, which B puts before the text itself.
+        coded = self.b.encode(texts, return_type="proto", num_threads=1)
+        some = [[(p.id, p.begin, p.end) for p in e.pieces] for e in coded]
+        many_b = np.fromiter(map(len, some), np.int64, len(some))
+        spans = chain.from_iterable(chain.from_iterable(some))
+        spans = np.fromiter(spans, np.int64, 3 * int(many_b.sum())).reshape(-1, 3)
+        ids_b, own_b = spans[:, 0], np.repeat(np.arange(len(runs)), many_b)
+        begin = base[own_b] + spans[:, 1] + 1
+        begin[(np.cumsum(many_b) - many_b)[many_b > 0]] -= 1
+        ends_b, sound_b = self._ends(begin, base[own_b] + spans[:, 2] + 1, ids_b, own_b, self.bytes_b, raw, base, sizes)
+        # Tokens belong to the units whose bytes they have.
+        units = list(chain.from_iterable(runs))
+        many = np.fromiter(map(len, runs), np.int64, len(runs))
+        size = np.fromiter(map(len, units), np.int64, len(units)) + 1
+        starts = np.cumsum(size) - size
+        sound = sound_a & sound_b
+        sides = []
+        for ids, owner, ends in ((ids_a, own_a, ends_a), (ids_b, own_b, ends_b)):
+            kept = sound[owner]
+            sides.append((ids[kept], np.searchsorted(starts, ends[kept] - 1, "right") - 1, ends[kept]))
+        kept = np.repeat(sound | last | (many == 1), many)
+        place = np.cumsum(kept) - 1
+        known = [u for u, k in zip(units, kept.tolist(), strict=True) if k]
+        self._store(known, *[(ids, place[owner], ends) for ids, owner, ends in sides])
+        return [u for u, k in zip(units, kept.tolist(), strict=True) if not k]
+
+    def _ends(self, begin, end, ids, owner, entries, raw, base, sizes):
+        """Byte ends of all tokens, and of which units the tokens' bytes are the unit's."""
+        data, cut = entries
+        length = cut[ids + 1] - cut[ids]
+        # How many bytes the tokens of each unit have; only units of as many can be sound.
+        per_unit = np.zeros(len(sizes), np.int64)
+        np.add.at(per_unit, owner, length)
+        sound = per_unit == sizes
+        kept = sound[owner]
+        ids, owner, length = ids[kept], owner[kept], length[kept]
+        # Places in the bytes of the sound units, laid end to end.
+        moved = np.cumsum(np.where(sound, sizes, 0)) - np.where(sound, sizes, 0)
+        shift = (moved - base)[owner]
+        ends = np.zeros(len(kept), np.int64)
+        ends[kept] = refined(begin[kept] + shift, end[kept] + shift, length, owner) - shift
+        said = data[np.repeat(cut[ids] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))]
+        wanted = raw[np.repeat(sound, sizes)]
+        wrong = np.flatnonzero(said != wanted)
+        if len(wrong):
+            starts = moved[sound]
+            sound[np.flatnonzero(sound)[np.searchsorted(starts, wrong, "right") - 1]] = False
+        return ends, sound
+
+    def _store(self, unknown, a, b) -> None:
+        (ids_a, own_a, ends_a), (ids_b, own_b, ends_b) = a, b
+        # Tokens have bytes, so their ends ascend; groups end where both have an end.
+        last_a, last_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+        group_a = np.cumsum(last_a) - last_a
+        group_b = np.cumsum(last_b) - last_b
+        code = np.r_[4 * ids_a + last_a, 4 * ids_b + 2 + last_b]
+        order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable")
+        script = code[order].astype(np.uint32)
+        lengths = np.bincount(own_a, minlength=len(unknown)) + np.bincount(own_b, minlength=len(unknown))
+        n, k = len(self.index), len(unknown)
+        if n + k > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * (n + k))
+            self.lengths = np.resize(self.lengths, 2 * (n + k))
+        if self.used + len(script) > len(self.script):
+            self.script = np.resize(self.script, 2 * (self.used + len(script)))
+        self.starts[n : n + k] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[n : n + k] = lengths
+        self.script[self.used : self.used + len(script)] = script
+        self.used += len(script)
+        self.index.update(zip(unknown, range(n, n + k), strict=True))
 
     def align(self, texts: list[bytes]):
-        """Per text tokens of A and B, links (as a * |B| + b, end to end), digest of its groups."""
+        """Per text tokens of A and B and groups; links (as a * |B| + b) end to end; digests."""
         words = [units(b" " + t) if t else [] for t in texts]
         flat = list(chain.from_iterable(words))
         if len(self.index) > self.remembered:
             self._forget()
         unknown = set(flat).difference(self.index)
         kept = [u for u in unknown if len(u) <= LONGEST]
-        for at in range(0, len(kept), 4096):
-            self._learn(kept[at : at + 4096])
-        mark, used = len(self.said), self.used
+        for at in range(0, len(kept), LEARNED):
+            self._learn(kept[at : at + LEARNED])
+        mark, used = len(self.index), self.used
         long = [u for u in unknown if len(u) > LONGEST]
         if long:
             self._learn(long)
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         cut = np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int64)
-        shape = self.shape[at]
-        total = np.zeros((len(flat) + 1, 4), np.int64)
-        np.cumsum(shape[:, :4], axis=0, out=total[1:])
-        per_text = total[cut[1:]] - total[cut[:-1]]
-        sound = per_text[:, 0] == np.diff(cut)
-        counts = np.where(sound[:, None], per_text[:, 1:], 0)
-        used_unit = np.repeat(sound, np.diff(cut))
-        links = self._gather(shape[used_unit, 4], shape[used_unit, 3])
-        said, at = self.said, at.tolist()
-        digests = [
-            hashlib.sha256(b";".join([said[i] for i in at[a:b]])).hexdigest() if ok and b > a else ""
-            for a, b, ok in zip(cut.tolist(), cut[1:].tolist(), sound.tolist(), strict=False)
-        ]
+        starts, lengths = self.starts[at], self.lengths[at].astype(np.int64)
+        bad = np.r_[0, np.cumsum(lengths == 0)]
+        sound = bad[cut[1:]] == bad[cut[:-1]]
+        counts, digests = np.zeros((len(texts), 3), np.int64), [""] * len(texts)
+        links = [np.zeros(0, np.int64)]
+        # A step is some texts, or a part of a long one.
+        edges = np.unique(np.r_[cut, np.arange(0, len(flat), UNITS_AT_ONCE)])
+        sums = [hashlib.sha256() if ok else None for ok in sound.tolist()]
+        text, trailing = 0, [b""] * len(texts)
+        for x, y in _steps(edges, UNITS_AT_ONCE):
+            script = self._gather(starts[x:y], lengths[x:y])
+            mark_of = script & 3
+            places = np.r_[0, np.cumsum(lengths[x:y])]
+            is_a = np.r_[0, np.cumsum(mark_of < 2)]
+            ended = np.r_[0, np.cumsum(mark_of == 3)]
+            said, where = self._said(script)
+            linked = (script[mark_of == 1] >> 2).astype(np.int64) * self.entries_b + (script[mark_of == 3] >> 2)
+            while text < len(texts) and cut[text + 1] <= x:
+                text += 1
+            for t in range(text, len(texts)):
+                if cut[t] >= y:
+                    break
+                p, q = places[max(cut[t], x) - x], places[min(cut[t + 1], y) - x]
+                if p == q or not sound[t]:
+                    continue
+                counts[t] += is_a[q] - is_a[p], (q - p) - (is_a[q] - is_a[p]), ended[q] - ended[p]
+                links.append(linked[ended[p] : ended[q]])
+                # The last group of a text has nothing after it.
+                sums[t].update(trailing[t])
+                sums[t].update(said[where[p] : where[q] - 1])
+                trailing[t] = b";"
+        for t, own in enumerate(sums):
+            if own is not None and counts[t, 0]:
+                digests[t] = own.hexdigest()
         # Long units are not remembered.
         for u in long:
             del self.index[u]
-        del self.said[mark:]
         self.used = used
-        return counts, links, digests
+        assert len(self.index) == mark
+        return counts, np.concatenate(links), digests
 
     def _gather(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         ends = np.cumsum(lengths)
         n = int(ends[-1]) if len(ends) else 0
-        return self.links[np.repeat(starts - (ends - lengths), lengths) + np.arange(n)]
+        return self.script[np.repeat(starts - (ends - lengths), lengths) + np.arange(n)]
+
+    def _said(self, script: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The script in decimal, and where each of its tokens begins."""
+        rows = np.empty((len(script), self.digits.shape[1] + 1), np.uint8)
+        rows[:, :-1] = self.digits[script >> 2]
+        rows[:, -1] = _AFTER[script & 3]
+        shown = rows != 0
+        return memoryview(rows[shown]), np.r_[0, np.cumsum(shown.sum(1))]
+
+
+_AFTER = np.frombuffer(b",|,;", np.uint8)
+
+
+def _end_to_end(entries: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    every = [entries.get(i, b"") for i in range(max(entries) + 1)]
+    return np.frombuffer(b"".join(every), np.uint8), np.r_[0, np.cumsum([len(e) for e in every])]
+
+
+def _digits(n: int) -> np.ndarray:
+    """Decimal digits of the numbers below ``n``, zero bytes in front."""
+    width = len(str(n))
+    power = 10 ** np.arange(width)[::-1]
+    ids = np.arange(n)[:, None]
+    shown = (ids >= power) | (power == 1)
+    return np.where(shown, ids // power % 10 + 0x30, 0).astype(np.uint8)
 
 
-def _joined(ids: list[int]) -> bytes:
-    return b",".join([b"%d" % i for i in ids])
+def _steps(edges: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges between the edges, as wide as they can be up to ``most``."""
+    at = 0
+    while at + 1 < len(edges):
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + most, "right")) - 1)
+        yield int(edges[at]), int(edges[to])
+        at = to
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -216,7 +341,7 @@ def _aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(path_a, path_b)
         # Pairs of two vocabularies of some 2^16 entries take 32 bits.
-        width = "<u4" if (max(own.bytes_a) + 1) * len(own.bytes_b) <= 1 << 32 else "<i8"
+        width = "<u4" if own.entries_a * own.entries_b <= 1 << 32 else "<i8"
         for batch in batches:
             for first, texts in _runs(batch.column(1)):
                 counts, links, digests = own.align(texts)
@@ -316,7 +441,7 @@ def align(
     pairs, if there are any, are joined by shuffle, where none is frequent.
     """
     spark = docs.sparkSession
-    entries_b = len(aligner(path_a, path_b).bytes_b)
+    entries_b = aligner(path_a, path_b).entries_b
     aligned = materialise(
         _aligned(docs, path_a, path_b, id_col, text_col)
         .withColumn("row", F.monotonically_increasing_id()),
