@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from batchgate.llm.common import Table, materialise, mix, new_folder, open_input, open_output
+from batchgate.llm.common import Table, materialise, mix, new_folder, open_input, open_output, release
 from batchgate.llm.perfect_hash import PerfectHash, fingerprints
 from batchgate.llm.word_bpe import encoded, id_bytes
 
 MAGIC, VERSION = 0x58444954, 1
 HEAD = struct.Struct("<8q")
-# Texts of about this many bytes make a shard; also what its index may take in memory.
-SHARD_BYTES = 128 << 20
+# Ids of about this many bytes make a shard; its index takes less than that in memory.
+SHARD_BYTES = 64 << 20
 _READ = 1 << 20
 
 
@@ -139,12 +139,32 @@ def write_store(
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "tokens")
-    sizes = docs.agg(F.sum(F.octet_length(text_col)).alias("n"), F.count(F.lit(1)).alias("rows"))
-    size = sizes.first()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = id_bytes(tokenizer)
+        for batch in batches:
+            for first, last, ids, at in encoded(batch.column(2), tokenizer):
+                raw = pa.py_buffer(ids.astype(f"<u{width}", copy=False))
+                packed = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), last - first, [None, pa.py_buffer(at * width), raw]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(i).slice(first, last - first) for i in (0, 1)], packed.cast(pa.binary())],
+                    names=["key", "mark", "ids"],
+                )
+
+    # Ids are smaller than texts, so they are what is moved.
+    coded = materialise(
+        docs.select(
+            F.col(id_col).cast("long").alias("_key"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text")
+        ).mapInArrow(encode, "key long, mark long, ids binary"),
+        "coded",
+        F.octet_length("ids"),
+    )
     # As many tasks as shuffles have at least, more when shards would grow beyond their size.
     tasks = max(
-        min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size["n"] or 0) // (1 << 20))),
-        -(-(size["n"] or 0) // shard_bytes),
+        min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-coded.bytes // (1 << 20))),
+        -(-coded.bytes // shard_bytes),
         1,
     )
 
@@ -158,10 +178,12 @@ def write_store(
                 path = f"{folder}/{part:05d}-{uuid.uuid4().hex}"
                 out = open_output(f"{path}.ids")
             keys.add(batch.column(0))
-            for _, _, ids, at in encoded(batch.column(1), tokenizer):
-                out.write(ids.astype(f"<u{width}", copy=False).tobytes())
-                bounds.append(at[1:] + total)
-                total += len(ids)
+            packed = batch.column(1).cast(pa.large_binary())
+            _, offsets, data = packed.buffers()
+            at = np.frombuffer(offsets, np.int64)[packed.offset : packed.offset + len(packed) + 1]
+            out.write(data[int(at[0]) : int(at[-1])])
+            bounds.append((at[1:] - at[0]) // width + total)
+            total += int(at[-1] - at[0]) // width
         if out is None:
             return
         out.close()
@@ -178,14 +200,13 @@ def write_store(
             }
         )
 
-    order = [F.col("_key").isNull(), F.col("_key"), F.xxhash64("_text")]
+    order = [F.col("key").isNull(), F.col("key"), F.col("mark")]
     written = materialise(
-        docs.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).alias("_text"))
-        .repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
+        coded.df.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("key", "ids")
         .mapInArrow(write, "part long, path string, first_key long, texts long, ids long"),
         "token-shards",
-    )
+    )
+    release(spark, coded.path)
     # One row per shard.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = written.df.withColumn("base", F.coalesce(F.sum("ids").over(earlier), F.lit(0)))

@@ -7,25 +7,40 @@ word alone, so a text's ids are its words' ids in order.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 END_ID = 1
-# Words remembered by a worker; beyond it the older half is forgotten.
+# Words remembered by a worker, none longer than this; beyond the number the older half is forgotten.
 REMEMBERED = 1_000_000
-# After an ASCII letter or digit these are a piece of their own at a word's end.
-STOPS = (b",", b".")
-
-
-def _words(text: bytes) -> list[bytes]:
+LONGEST = 64
+# ASCII signs at a word's end are a piece of their own after an ASCII letter or digit.
+_ENDED = re.compile(rb"([!-&(-~]*[a-z0-9])([!-&(-/:-@\[-`{-~]+)")
+# Lower-case letters alone: such a word is one piece, so its last token has the suffix of word ends.
+_LETTERS = re.compile(b"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+WORD_END = "</w>"
+# Words that are encoded as one string.
+JOINED = 200
+# First bytes of the marks that a letter is composed with (U+0300 to U+036F).
+_MARKS = re.compile(b"[\xcc\xcd]")
+
+
+def _prepared(text: bytes) -> bytes:
+    """The text with its words as they are looked up.
+
+    ASCII is lowered anyway, but names of special tokens are matched before that, and a
+    lower-case letter may be composed with a mark that its capital has no form with.
+    """
     if b"<|" in text:
-        return text.split()
-    if text.isascii():
-        return text.lower().split()
-    return [w.lower() if w.isascii() else w for w in text.split()]
+        return text
+    if _MARKS.search(text) is None:
+        return text.lower()
+    return b" ".join([w.lower() if _MARKS.search(w) is None else w for w in text.split()])
 
 
 class WordEncoder:
@@ -37,6 +52,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
+        entries = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(entries.values()) + 1, bool)
+        self.last[[i for e, i in entries.items() if e.endswith(WORD_END)]] = True
         # Word i has ids[starts[i] : starts[i] + lengths[i]]; arrays have room to grow.
         self.index: dict[bytes, int] = {}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
@@ -62,22 +80,33 @@ class WordEncoder:
         self.index, self.used = {}, 0
         self._add([w for w, _ in keep], lengths, ids)
 
-    def _learn(self, unknown: set[bytes]) -> None:
-        ended = [w for w in unknown if w.endswith(STOPS) and w[-2:-1].isalnum()]
-        stems = {w[:-1] for w in ended} | {w[-1:] for w in ended}
-        plain = list((stems | unknown.difference(ended)).difference(self.index))
+    def _learn(self, unknown: list[bytes]) -> None:
+        ended = [(w, m) for w in unknown if b"<|" not in w and (m := _ENDED.fullmatch(w))]
+        plain = set(unknown).difference([w for w, _ in ended])
+        plain.update(chain.from_iterable([m.groups() for _, m in ended]))
+        plain = list(plain.difference(self.index))
+        letters = [w for w in plain if _LETTERS.fullmatch(w)]
+        flat, _ = self._coded([b" ".join(letters[i : i + JOINED]) for i in range(0, len(letters), JOINED)])
+        ends = np.flatnonzero(self.last[flat]) + 1
+        if len(ends) != len(letters):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        self._add(letters, np.diff(ends, prepend=0), flat)
+        others = list(set(plain).difference(letters))
+        flat, lengths = self._coded(others)
+        self._add(others, lengths, flat)
+        get = self.index.__getitem__
+        both = chain.from_iterable([m.groups() for _, m in ended])
+        pairs = np.fromiter(map(get, both), np.int64, 2 * len(ended))
+        self._add([w for w, _ in ended], self.lengths[pairs].reshape(-1, 2).sum(1), self._gather(pairs))
+
+    def _coded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has."""
         found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8") for w in plain], add_special_tokens=False
+            [t.decode("utf-8") for t in texts], add_special_tokens=False
         )
         ids = [e.ids for e in found]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-        self._add(plain, lengths, flat)
-        get = self.index.__getitem__
-        pairs = np.fromiter(
-            (get(part) for w in ended for part in (w[:-1], w[-1:])), np.int64, 2 * len(ended)
-        )
-        self._add(ended, self.lengths[pairs].reshape(-1, 2).sum(1), self._gather(pairs))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         lengths = self.lengths[at]
@@ -87,20 +116,30 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each followed by the end id, and the texts' bounds."""
-        # ASCII is lowered anyway; names of special tokens are matched before that. Other
-        # words are composed first, and a lower-case letter may compose where its capital does not.
-        words = [_words(t) for t in texts]
-        flat = list(chain.from_iterable(words))
+        prepared = pa.array([_prepared(t) for t in texts], pa.large_binary()).view(pa.large_string())
+        words = pc.ascii_split_whitespace(prepared)
+        per_text = np.diff(words.offsets.to_numpy())
+        # Each distinct word of the run is looked up once; an empty one has no ids.
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
         if len(self.index) > self.remembered:
             self._forget()
-        unknown = set(flat).difference(self.index)
-        if unknown:
-            self._learn(unknown)
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        unknown = [w for w in distinct if w not in self.index]
+        self._learn([w for w in unknown if len(w) <= LONGEST])
+        mark, used = len(self.index), self.used
+        long = [w for w in unknown if len(w) > LONGEST]
+        if long:
+            self._learn(long)
+        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        at = at[coded.indices.to_numpy()] if len(distinct) else at
         ids = self._gather(at)
-        per_text = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.r_[0, np.cumsum(self.lengths[at])][np.cumsum(per_text)]
-        bounds = np.r_[0, ends + np.arange(1, len(words) + 1)]
+        bounds = np.r_[0, ends + np.arange(1, len(texts) + 1)]
+        if long:
+            # Long words, and what they were put together from, are not remembered.
+            for w in list(self.index)[mark:]:
+                del self.index[w]
+            self.used = used
         return np.insert(ids, ends, END_ID).astype("<u4", copy=False), bounds
 
 
