@@ -38,6 +38,8 @@ from batchgate.llm.signature_tree import Components, link, signature
 FREQUENT = 1 << 18
 SEEN_TOGETHER = 3
 OFTEN = 8
+# Hashes that a task counts at a time.
+COUNTED = 1 << 19
 # Groups beyond this size become part of one block without a look at signatures.
 LARGE_GROUP = 128
 # Sets of a block that one task compares; blocks beyond it are dealt out in chunks.
@@ -75,7 +77,9 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
         held, many = [], 0
 
         def flush():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
+            together = np.concatenate(held)
+            held.clear()
+            found, n = np.unique(together, return_counts=True)
             some = n >= SEEN_TOGETHER
             return pa.RecordBatch.from_pydict(
                 {"token": pa.array(found[some].view(np.int64)), "n": pa.array(n[some])}
@@ -85,9 +89,9 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             for _, sets in shingle_sets(batch.column(0), size):
                 held += sets
                 many += sum(map(len, sets))
-                if many > 1 << 22:
+                if many > COUNTED:
                     yield flush()
-                    held, many = [], 0
+                    many = 0
         if many:
             yield flush()
 
@@ -111,7 +115,7 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
-    """Per text: id, hashes of text and set, set size, signature, rarest shingles, carry."""
+    """Per text: id, hashes of text and set, set size, signature, rarest shingles, row."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,14 +153,14 @@ def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64))),
                         batch.column(3).slice(first, len(sets)),
                     ],
-                    names=["id", "text_hash", "n", "class", "signature", "rarest", "carry"],
+                    names=["id", "text_hash", "n", "class", "signature", "rarest", "row"],
                 )
 
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("id", "carry")}
-    return docs.select("id", F.xxhash64("text").alias("text_hash"), "text", "carry").mapInArrow(
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", F.xxhash64("text").alias("text_hash"), "text", "row").mapInArrow(
         describe,
-        f"id {kinds['id']}, text_hash long, n long, class binary, signature binary, "
-        f"rarest array<long>, carry {kinds['carry']}",
+        f"id {kind}, text_hash long, n long, class binary, signature binary, "
+        "rarest array<long>, row long",
     )
 
 
@@ -343,7 +347,7 @@ def components(
     like others; a null id is in a component but never names it unless all its
     ids are null. An empty table gives no row.
     """
-    rows, named = _members(docs, size, part, whole, id_col, text_col, [])
+    rows, named = _members(docs, size, part, whole, id_col, text_col, None)
     return rows.join(named, "class", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -351,17 +355,17 @@ def components(
     )
 
 
-def _members(docs, size, part, whole, id_col, text_col, carry) -> tuple[DataFrame, DataFrame]:
+def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFrame, DataFrame]:
     """Rows with the class of their set, and (class, best row of its component)."""
     texts = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        (F.struct(*[docs[c] for c in carry]) if carry else F.lit(0)).alias("carry"),
+        (F.col(row_col) if row_col else F.lit(0)).cast("long").alias("row"),
     )
-    rows = materialise(
-        _described(texts, size, part, whole).withColumn("row", F.monotonically_increasing_id()),
-        "texts",
-    ).df
+    described = _described(texts, size, part, whole)
+    if not row_col:
+        described = described.withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(described, "texts").df
     order = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("i"), F.col("row").alias("r"))
     classes = materialise(
         rows.where("n > 0").groupBy("class").agg(F.min(order).alias("best"))
@@ -369,7 +373,7 @@ def _members(docs, size, part, whole, id_col, text_col, carry) -> tuple[DataFram
         "classes",
     )
     reps = materialise(
-        rows.drop("carry").join(bounded(classes).select("row"), "row"), "representatives"
+        rows.join(bounded(classes).select("row"), "row"), "representatives"
     ).df
     blocks = _blocks(reps, part, whole)
 
@@ -385,7 +389,7 @@ def _members(docs, size, part, whole, id_col, text_col, carry) -> tuple[DataFram
         .select("row", "id", "text_hash", F.col("root").alias("block"), "members", F.coalesce("hub_rank", F.lit(HUBS + 1)).alias("hub_rank")),
         "wanted",
     )
-    found = texts.withColumn("text_hash", F.xxhash64("text")).alias("t").join(
+    found = texts.drop("row").withColumn("text_hash", F.xxhash64("text")).alias("t").join(
         bounded(wanted).alias("w"),
         (F.col("t.text_hash") == F.col("w.text_hash")) & F.col("t.id").eqNullSafe(F.col("w.id")),
     )
@@ -450,11 +454,20 @@ def drop_near_copies(
 ) -> DataFrame:
     """Of each component the row with the smallest id stays, columns unchanged.
 
-    Of rows that share that id one stays; rows without words all stay.
+    Of rows that share that id one stays; rows without words all stay. Rows are
+    numbered and written once; only id, text and number go through Python.
     """
-    rows, named = _members(docs, size, part, whole, id_col, text_col, docs.columns)
-    stays = (F.col("n") == 0) | (F.col("best.r") == F.col("row"))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("kept"))
+    numbered = materialise(packed.withColumn("row", F.monotonically_increasing_id()), "numbered").df
+    texts = numbered.select(
+        F.col("kept")[id_col].alias("id"), F.col("kept")[text_col].alias("text"), "row"
+    )
+    rows, named = _members(texts, size, part, whole, "id", "text", "row")
+    copies = materialise(
+        rows.where("n > 0").join(named, "class").where(F.col("best.r") != F.col("row")).select("row"),
+        "copies",
+    )
     return (
-        rows.join(named, "class", "left").where(stays)
-        .select(*[F.col("carry")[c].alias(c) for c in docs.columns])
+        numbered.join(bounded(copies), "row", "left_anti")
+        .select(*[F.col("kept")[c].alias(c) for c in docs.columns])
     )
