@@ -24,6 +24,10 @@ SMOOTHING = 0.5
 ROUNDS = 12
 # Each further language has to gain this many times half the logarithm of the words.
 PENALTY = 2.0
+# A text belongs to a language that has this share of its words at least.
+LEAST_SHARE = 0.3
+# Bytes of texts that are inferred at a time.
+RUN = 1 << 18
 
 # ASCII letters in lower case and all bytes of other characters; 0 ends a word.
 _LETTERS = np.zeros(256, np.uint32)
@@ -232,8 +236,33 @@ def drop_unidentified(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """The rows of ``docs`` whose language is determined, columns unchanged."""
+    """The rows of ``docs`` whose language is determined, columns unchanged.
+
+    Rows go whose text is null or has no letter, and those whose foremost language
+    has less than ``least_share`` of the words: a medley of all languages. Where no row
+    has a language to learn from, every row with a letter stays. Repeated rows
+    each get the same verdict; an empty table gives no row. Texts of any length are
+    read whole, and extra columns may have any names. Rows go through Python once.
+    """
     model = train(docs.where(remainder(F.col(id_col)) != 1), text_col, lang_col)
-    found = predict(docs, model, text_col).where(F.col("lang_pred") != UNDETERMINED)
-    return found.select(*[F.col("kept")[c].alias(c) for c in docs.columns])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index(text_col)
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            if not model.languages:
+                yield batch
+                continue
+            for first, last, data, bounds in text_runs(batch.column(at).cast(pa.large_string()), RUN):
+                share = infer(model, data, bounds).max(1)
+                # Letters that no word has (superscripts, say) are no ground to go.
+                yield batch.slice(first, last - first).filter(pa.array((share >= least_share) | (share == 0)))
+
+    lettered = docs.toDF(*names).where(
+        F.coalesce(F.col(names[at]).cast("string"), F.lit("")).rlike(r"\p{L}")
+    )
+    return lettered.mapInArrow(stay, lettered.schema).toDF(*docs.columns)
