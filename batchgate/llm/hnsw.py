@@ -173,11 +173,16 @@ def nearest(
     Returns query_id, rank (from 1), the id, score (double precision on the given
     vectors); ties go to the smaller id, and a query's own id is no candidate.
     Vectors that are null, zero, or hold a null or a number that is not finite
-    take no part, nor do rows without id or vectors of another length than most.
+    take no part, nor do rows without id. Inner products need one length: it is that
+    of most vectors of ``table`` (the shorter of equals), and vectors of others,
+    queries included, take no part either. Other columns may have any names.
     Of equal vectors the k + 1 smallest ids are indexed, as ties allow no other.
     With fewer candidates all are returned; an empty table gives no row.
     """
     valid = _valid(table, id_col, vector_col)
+    most = valid.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    length = F.size("vector") == (most["d"] if most else 0)
+    valid = valid.where(length)
     wide = valid.schema["vector"].dataType.elementType.simpleString() == "double"
     kind = "<f8" if wide else "<f4"
     # Of equal vectors the k + 1 smallest ids, the first of which stands for them.
@@ -195,7 +200,7 @@ def nearest(
         .mapInArrow(_indexed(kind), INDEX_SCHEMA),
         "graphs",
     ).df
-    wanted = _valid(queries, id_col, vector_col)
+    wanted = _valid(queries, id_col, vector_col).where(length)
     blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
     asked = materialise(
         wanted.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "vector")
@@ -220,14 +225,12 @@ def nearest(
 
 def _valid(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) of the rows that take part."""
-    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(
+    return table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(
         F.col("id").isNotNull()
         & (F.size("vector") > 0)
         & F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
-    most = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("vector") == (most["d"] if most else 0))
 
 
 INDEX_SCHEMA = (

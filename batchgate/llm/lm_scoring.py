@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import bounded, materialise, release, text_runs, word_hashes
+from batchgate.llm.common import bounded, materialise, mix, release, text_runs, word_hashes
 
 # Pseudo-counts by which a word's successors lean on single words.
 STRENGTH = 64.0
@@ -202,7 +202,7 @@ def _pack(models: _Models, known, parts: int, batches):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, listed.schema) as out:
             out.write_batch(listed)
-        rows = [(-1 - block % 64, sink.getvalue().to_pybytes(), *[b""] * 5)]
+        rows = [(listing_part(task | block), sink.getvalue().to_pybytes(), *[b""] * 5)]
         before_hash = np.empty_like(hashes)
         before_hash[1:] = hashes[:-1]
         at = np.flatnonzero(~both)
@@ -235,6 +235,11 @@ def _pack(models: _Models, known, parts: int, batches):
         )
 
 
+def listing_part(block: int) -> int:
+    """A part of its own, below 0, for nearly every block's texts, however many tasks there are."""
+    return -1 - int(mix(np.array([block], np.uint64))[0] >> np.uint64(34))
+
+
 def part_of(key: np.ndarray, parts: int) -> np.ndarray:
     """Ascending with the key."""
     return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
