@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs. All but the last return the
 columns of ``documents``. A null text counts as empty and has no language, so
 it goes in the first stage; other columns may be null and are passed on. Repeated
-rows are copies, of which one stays. An empty table gives no sequence. Further
-columns, whatever their names, are passed on until packing.
+rows are copies, of which one stays. Texts of any length are read whole. An empty
+table gives no sequence. Further columns, whatever their names, are passed on
+until packing.
 """
 
 from __future__ import annotations
@@ -23,7 +24,11 @@ SIMILAR = (4, 5)  # 0.8 and more
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose language cannot be determined: without text or any letter."""
+    """Documents go whose language cannot be determined: those without a letter, and medleys.
+
+    A medley's foremost language has less than ``language_mixture.LEAST_SHARE`` of its
+    words. If no document has a language to learn from, all with a letter stay.
+    """
     return language_mixture.drop_unidentified(docs)
 
 
