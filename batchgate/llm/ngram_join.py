@@ -9,7 +9,7 @@
 4. Sets are moved once, to their block. A signature tree per block is joined
    with itself and links are verified on the sets. Larger blocks are dealt out in
    chunks: first each chunk with some hubs of the block; then chunks of sets that
-   are not in the block's main component meet all others.
+   are not in the block's main component meet all others of sizes that can link.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from itertools import groupby
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ from batchgate.llm.common import (
     connected,
     materialise,
     mix,
+    release,
+    settled,
     text_runs,
     word_hashes,
 )
@@ -38,6 +41,8 @@ from batchgate.llm.signature_tree import Components, link, signature
 FREQUENT = 1 << 18
 SEEN_TOGETHER = 3
 OFTEN = 8
+# Bytes of text hashed at a time; arrays of up to 30 times their size stay in a worker's cache.
+RUN = 1 << 18
 # Hashes that a task counts at a time.
 COUNTED = 1 << 19
 # Groups beyond this size become part of one block without a look at signatures.
@@ -46,13 +51,17 @@ LARGE_GROUP = 128
 CHUNK = 64
 MOST_IN_CHUNK = 4096
 HUBS = 8
+# Bytes of the sets of one side of a unit, unless a single set has more.
+UNIT_BYTES = 32 << 20
+# Sizes of linked sets differ by a factor of whole/part at most, which is this many bands.
+BANDS = 2
 _FREQUENT_BITS = 22
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Runs of texts as sorted distinct hashes of their shingles; a short text is one."""
-    for first, last, data, bounds in text_runs(column):
-        hashes, words = word_hashes(data, bounds)
+    for first, last, data, bounds in text_runs(column, RUN):
+        hashes, words = word_hashes(data, bounds, step=RUN)
         rolled = mix(hashes)
         for k in range(1, size):
             rolled = mix(rolled[:-1] + hashes[k:]) if len(rolled) > 1 else rolled[:0]
@@ -96,7 +105,7 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             yield flush()
 
     counts = materialise(
-        docs.select("text").mapInArrow(count, "token long, n long")
+        docs.select("text").mapInArrow(settled(count), "token long, n long")
         .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
         .withColumn("step", F.floor(4 * F.log2("n"))),
         "frequent",
@@ -109,6 +118,7 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             break
         lowest = r["step"]
     top = counts.df.where(F.col("step") >= lowest if lowest is not None else F.lit(False)).toArrow()
+    release(docs.sparkSession, counts.path)
     tokens = top["token"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top["n"].to_numpy()[order]
@@ -158,7 +168,7 @@ def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", F.xxhash64("text").alias("text_hash"), "text", "row").mapInArrow(
-        describe,
+        settled(describe),
         f"id {kind}, text_hash long, n long, class binary, signature binary, "
         "rarest array<long>, row long",
     )
@@ -248,12 +258,19 @@ def _blocks(reps: DataFrame, part: int, whole: int) -> Table:
         .join(reps.select("row", "n", "signature"), "row")
         .select("key", "row", "n", "signature")
         .repartition("key").sortWithinPartitions("key", "row")
-        .mapInArrow(_possible(part, whole), "a long, b long")
+        .mapInArrow(settled(_possible(part, whole)), "a long, b long")
     )
     whole_groups = members.df.where(F.col("c") > LARGE_GROUP).select(
         F.col("hub").alias("a"), F.col("row").alias("b")
     )
-    return connected(screened.union(whole_groups.where("a != b")))
+    blocks = connected(screened.union(whole_groups.where("a != b")))
+    release(reps.sparkSession, groups.path, members.path)
+    return blocks
+
+
+def _band(part: int, whole: int) -> float:
+    """Width of a band of logarithms of sizes, a little over the exact one for rounding."""
+    return max(log(whole / part), 1e-6) * (1 + 1e-9) / BANDS
 
 
 def _linked(sets: Table, part: int, whole: int) -> Table:
@@ -277,57 +294,81 @@ def _linked(sets: Table, part: int, whole: int) -> Table:
     first = materialise(
         placed.select("block", "x", F.lit(0).cast("long").alias("y"), *shape)
         .repartition(*sort).sortWithinPartitions(*sort, "row")
-        .mapInArrow(verify, "a long, b long"),
+        .mapInArrow(settled(verify), "a long, b long"),
         "links",
     )
     if not sets.metrics["largest"] or sets.metrics["largest"] <= CHUNK:
-        return connected(first.df)
+        links = connected(first.df)
+        release(sets.df.sparkSession, first.path)
+        return links
 
     # Second round, in larger blocks only: sets beside the main component meet all others.
     so_far = connected(first.df)
     big = materialise(
         own.where("chunks > 1").select("block", "row", "members", "tokens")
         .join(bounded(so_far), F.col("row") == F.col("node"), "left")
-        .withColumn("label", F.coalesce("root", "row")).drop("node", "root"),
+        .withColumn("label", F.coalesce("root", "row")).drop("node", "root")
+        .withColumn("band", F.floor(F.log(F.octet_length("tokens") / 8) / _band(part, whole))),
         "big-blocks",
     )
+    release(sets.df.sparkSession, so_far.path)
     main = materialise(
         big.df.groupBy("block", "label").count()
         .groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main")),
         "main-components",
     )
-    # Chunks grow with the block up to a size, so that sets are copied to few tasks.
+    # Chunks grow with the block up to a number and a size, so that sets are copied to few
+    # tasks. A chunk lies in one band of sizes, and links join bands near each other only.
     wide = F.least(F.greatest(F.lit(CHUNK), F.ceil(F.col("members") / 40)), F.lit(MOST_IN_CHUNK))
+    fit = F.greatest(F.floor(UNIT_BYTES / F.col("longest")), F.lit(1))
+    bands = materialise(
+        big.df.groupBy("block", "band").agg(
+            F.count(F.lit(1)).alias("held"), F.max("members").alias("members"), F.max(F.octet_length("tokens")).alias("longest")
+        ).select("block", "band", F.ceil(F.col("held") / F.least(wide, fit)).cast("long").alias("chunks")),
+        "bands",
+    )
     dealt = materialise(
-        big.df.join(bounded(main), "block")
+        big.df.join(bounded(main), "block").join(bounded(bands), ["block", "band"])
         .withColumn("beside", F.col("label") != F.col("main"))
-        .withColumn("chunks", F.ceil(F.col("members") / wide).cast("long"))
-        .select("block", "row", "label", "tokens", "beside", "chunks", F.pmod(spread, F.col("chunks")).alias("chunk")),
+        .withColumn("chunk", F.col("band") * F.lit(1 << 32) + F.pmod(spread, F.col("chunks")))
+        .select("block", "band", "chunk", "row", "label", "tokens", "beside"),
         "chunks",
-    ).df
+    )
+    near_by = F.explode(F.sequence(F.col("band") - BANDS, F.col("band") + BANDS))
+    reach = materialise(
+        dealt.df.groupBy("block", "band", "chunk")
+        .agg(F.max("beside").alias("beside"), F.max(~F.col("beside")).alias("main"))
+        .withColumn("band", near_by).groupBy("block", "band").agg(
+            F.collect_list(F.struct("chunk", "main")).alias("every"),
+            F.collect_list(F.when(F.col("beside"), F.col("chunk"))).alias("with_beside"),
+        ),
+        "reach",
+        32 * (F.size("every") + F.size("with_beside")),
+    )
     # Unit (x, y): sets beside the main component of chunk x against those of chunk y.
     # Two sets beside it meet in the unit with x <= y.
-    left = dealt.where("beside").select(
-        "block", F.col("chunk").alias("x"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("y"),
-        "row", "label", "tokens",
-    ).withColumn("side", F.when(F.col("x") == F.col("y"), 0).otherwise(1))
-    with_beside = materialise(
-        dealt.where("beside").select("block", F.col("chunk").alias("x")).distinct(), "units"
-    )
+    placed = dealt.df.join(bounded(reach), ["block", "band"])
+    left = (
+        placed.where("beside").withColumn("to", F.explode("every"))
+        .withColumn("x", F.col("chunk")).withColumn("y", F.col("to.chunk"))
+        .where("x <= y OR to.main")
+        .withColumn("side", F.when(F.col("x") == F.col("y"), 0).otherwise(1))
+    )
     right = (
-        dealt.join(bounded(with_beside), "block")
-        .where("x < chunk OR NOT beside")
-        .withColumn("y", F.col("chunk")).withColumn("side", F.lit(2))
+        placed.withColumn("x", F.explode("with_beside")).withColumn("y", F.col("chunk"))
+        .where("x < y OR NOT beside").withColumn("side", F.lit(2))
     )
     columns = [*sort, "row", "side", "label", "tokens"]
     second = materialise(
         left.select(*columns).union(right.select(*columns))
         .repartition(*sort).sortWithinPartitions(*sort, "row")
-        .mapInArrow(verify, "a long, b long"),
+        .mapInArrow(settled(verify), "a long, b long"),
         "links",
     )
-    return connected(first.df.union(second.df))
+    release(sets.df.sparkSession, big.path, main.path, bands.path, dealt.path, reach.path)
+    links = connected(first.df.union(second.df))
+    release(sets.df.sparkSession, first.path, second.path)
+    return links
 
 
 def components(
@@ -372,9 +413,10 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
         .select("class", "best", F.col("best.r").alias("row")),
         "classes",
     )
-    reps = materialise(
-        rows.join(bounded(classes).select("row"), "row"), "representatives"
-    ).df
+    chosen = materialise(
+        rows.join(bounded(classes).select("row"), "row").drop("class"), "representatives"
+    )
+    reps = chosen.df
     blocks = _blocks(reps, part, whole)
 
     # The sets of classes in blocks are made anew from their texts.
@@ -397,11 +439,12 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
         found.select("w.row", "w.block", "w.members", "w.hub_rank", "t.text")
         .dropDuplicates(["row"])
         .mapInArrow(
-            _tokens(size), "row long, block long, members long, hub_rank int, tokens binary"
+            settled(_tokens(size)), "row long, block long, members long, hub_rank int, tokens binary"
         ),
         "sets",
         metrics={"largest": F.max("members")},
     )
+    release(docs.sparkSession, chosen.path, blocks.path, sizes.path, wanted.path)
     links = _linked(sets, part, whole)
 
     labelled = materialise(
@@ -411,8 +454,12 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
         "labelled-classes",
     )
     best = materialise(labelled.df.groupBy("label").agg(F.min("best").alias("best")), "best-rows")
-    named = labelled.df.select("class", "label").join(best.df, "label").select("class", "best")
-    return rows, materialise(named, "class-components").df
+    named = materialise(
+        labelled.df.select("class", "label").join(best.df, "label").select("class", "best"),
+        "class-components",
+    )
+    release(docs.sparkSession, sets.path, links.path, classes.path, labelled.path, best.path)
+    return rows, named.df
 
 
 def _smallest(hubs: DataFrame) -> DataFrame:
