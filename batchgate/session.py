@@ -58,13 +58,18 @@ class Table:
 
 
 def materialise(
-    df: DataFrame, name: str, width: Column | None = None, metrics: dict[str, Column] | None = None
+    df: DataFrame,
+    name: str,
+    width: Column | None = None,
+    metrics: dict[str, Column] | None = None,
+    codec: str | None = None,
 ) -> Table:
     """Write ``df`` once to the scratch folder and read it back.
 
     Row count, estimated in-memory bytes (``width`` summed over the rows, plus
     a fixed overhead) and any extra ``metrics`` are observed by the same job,
-    so asking for the size costs no second pass.
+    so asking for the size costs no second pass. ``codec`` names another Parquet
+    compression than the session's.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -77,7 +82,7 @@ def materialise(
     (
         df.observe(seen, *[c.alias(n) for n, c in observed.items()])
         .write.mode("overwrite")
-        .parquet(path)
+        .parquet(path, compression=codec)
     )
     got = seen.get
     rows = int(got["rows"] or 0)
