@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from batchgate.llm.common import bounded, materialise
+from batchgate.llm.common import bounded, materialise, settled
 from batchgate.llm.word_bpe import encoded
 
 CAPACITY = 4096
@@ -64,7 +64,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col: s
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string")).mapInArrow(
-        pieces,
+        settled(pieces),
         f"_id {kind}, piece int, start long, length long, ids_crc32 long, block int, rank long",
     )
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from batchgate.llm.common import Table, materialise, mix, new_folder, open_input, open_output, release
+from batchgate.llm.common import Table, materialise, mix, new_folder, open_input, open_output, release, settled
 from batchgate.llm.perfect_hash import PerfectHash, fingerprints
 from batchgate.llm.word_bpe import encoded, id_bytes
 
@@ -157,9 +157,10 @@ def write_store(
     coded = materialise(
         docs.select(
             F.col(id_col).cast("long").alias("_key"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text")
-        ).mapInArrow(encode, "key long, mark long, ids binary"),
+        ).mapInArrow(settled(encode), "key long, mark long, ids binary"),
         "coded",
         F.octet_length("ids"),
+        codec="zstd",
     )
     # As many tasks as shuffles have at least, more when shards would grow beyond their size.
     tasks = max(
