@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from batchgate.llm.common import (
     Table,
@@ -240,7 +241,7 @@ def _verified(part: int, whole: int) -> Callable:
 
 def _blocks(reps: DataFrame, part: int, whole: int) -> Table:
     """(node, root) of classes that may be linked; root names the block."""
-    keys = reps.select("row", F.explode("rarest").alias("key"))
+    keys = reps.select("row", "n", F.explode("rarest").alias("key"))
     groups = materialise(
         keys.groupBy("key").agg(
             F.count(F.lit(1)).alias("c"),
@@ -253,9 +254,15 @@ def _blocks(reps: DataFrame, part: int, whole: int) -> Table:
         "groups",
     )
     members = materialise(keys.join(bounded(groups), "key"), "members")
+    # Signatures are moved only of sets with another of a size that can link in their group.
+    by_size = Window.partitionBy("key").orderBy("n", "row")
+    sized = (
+        members.df.where(F.col("c") <= LARGE_GROUP)
+        .withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
+        .where((part * F.col("n") <= whole * F.col("smaller")) | (part * F.col("larger") <= whole * F.col("n")))
+    )
     screened = (
-        members.df.where(F.col("c") <= LARGE_GROUP).select("key", "row")
-        .join(reps.select("row", "n", "signature"), "row")
+        sized.select("key", "row").join(reps.select("row", "n", "signature"), "row")
         .select("key", "row", "n", "signature")
         .repartition("key").sortWithinPartitions("key", "row")
         .mapInArrow(settled(_possible(part, whole)), "a long, b long")
