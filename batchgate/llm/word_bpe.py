@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +19,10 @@ END_ID = 1
 # Words remembered by a worker, none longer than this; beyond the number the older half is forgotten.
 REMEMBERED = 1_000_000
 LONGEST = 64
-# ASCII signs at a word's end are a piece of their own after an ASCII letter or digit.
-_ENDED = re.compile(rb"([!-&(-~]*[a-z0-9])([!-&(-/:-@\[-`{-~]+)")
-# Lower-case letters alone: such a word is one piece, so its last token has the suffix of word ends.
-_LETTERS = re.compile(b"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# ASCII signs at a word's end (but apostrophes) are a piece of their own after a Latin letter or digit.
+_ENDED = "([a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([!-&(-/:-@\\[-`{-~]+)([\t-\r ]|\\z)"
+# Latin letters alone: such a word is one piece, so its last token has the suffix of word ends.
+_LETTERS = "\\A[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+\\z"
 WORD_END = "</w>"
 # Words that are encoded as one string.
 JOINED = 200
@@ -56,11 +56,11 @@ class WordEncoder:
         self.last = np.zeros(max(entries.values()) + 1, bool)
         self.last[[i for e, i in entries.items() if e.endswith(WORD_END)]] = True
         # Word i has ids[starts[i] : starts[i] + lengths[i]]; arrays have room to grow.
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
-    def _add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
+    def _add(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
         n, k = len(self.index), len(words)
         if n + k > len(self.starts):
             self.starts = np.resize(self.starts, 2 * (n + k))
@@ -80,30 +80,27 @@ class WordEncoder:
         self.index, self.used = {}, 0
         self._add([w for w, _ in keep], lengths, ids)
 
-    def _learn(self, unknown: list[bytes]) -> None:
-        ended = [(w, m) for w in unknown if b"<|" not in w and (m := _ENDED.fullmatch(w))]
-        plain = set(unknown).difference([w for w, _ in ended])
-        plain.update(chain.from_iterable([m.groups() for _, m in ended]))
-        plain = list(plain.difference(self.index))
-        letters = [w for w in plain if _LETTERS.fullmatch(w)]
-        flat, _ = self._coded([b" ".join(letters[i : i + JOINED]) for i in range(0, len(letters), JOINED)])
-        ends = np.flatnonzero(self.last[flat]) + 1
-        if len(ends) != len(letters):
-            raise ValueError("the vocabulary does not mark the ends of words")
-        self._add(letters, np.diff(ends, prepend=0), flat)
-        others = list(set(plain).difference(letters))
-        flat, lengths = self._coded(others)
-        self._add(others, lengths, flat)
-        get = self.index.__getitem__
-        both = chain.from_iterable([m.groups() for _, m in ended])
-        pairs = np.fromiter(map(get, both), np.int64, 2 * len(ended))
-        self._add([w for w, _ in ended], self.lengths[pairs].reshape(-1, 2).sum(1), self._gather(pairs))
-
-    def _coded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn(self, unknown: pa.Array) -> np.ndarray:
+        """Encode words that are not remembered; returns their numbers."""
+        at = np.empty(len(unknown), np.int64)
+        plain = pc.match_substring_regex(unknown, _LETTERS).to_numpy(zero_copy_only=False)
+        for mine, letters in ((np.flatnonzero(plain), True), (np.flatnonzero(~plain), False)):
+            words = unknown.take(pa.array(mine)).to_pylist()
+            at[mine] = len(self.index) + np.arange(len(words))
+            if letters:
+                flat, _ = self._coded([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
+                ends = np.flatnonzero(self.last[flat]) + 1
+                if len(ends) != len(words):
+                    raise ValueError("the vocabulary does not mark the ends of words")
+                self._add(words, np.diff(ends, prepend=0), flat)
+            else:
+                flat, lengths = self._coded(words)
+                self._add(words, lengths, flat)
+        return at
+
+    def _coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
-        found = self.tokenizer.encode_batch_fast(
-            [t.decode("utf-8") for t in texts], add_special_tokens=False
-        )
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ids = [e.ids for e in found]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
@@ -117,29 +114,31 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each followed by the end id, and the texts' bounds."""
         prepared = pa.array([_prepared(t) for t in texts], pa.large_binary()).view(pa.large_string())
-        words = pc.ascii_split_whitespace(prepared)
+        pieces = pc.replace_substring_regex(prepared, _ENDED, r"\1 \2\3")
+        pieces = pc.if_else(pc.match_substring(prepared, "<|"), prepared, pieces)
+        words = pc.ascii_split_whitespace(pieces)
         per_text = np.diff(words.offsets.to_numpy())
         # Each distinct word of the run is looked up once; an empty one has no ids.
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        distinct = coded.dictionary
         if len(self.index) > self.remembered:
             self._forget()
-        unknown = [w for w in distinct if w not in self.index]
-        self._learn([w for w in unknown if len(w) <= LONGEST])
-        mark, used = len(self.index), self.used
-        long = [w for w in unknown if len(w) > LONGEST]
-        if long:
-            self._learn(long)
-        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        at = np.fromiter(map(self.index.get, distinct.to_pylist(), repeat(-1)), np.int64, len(distinct))
+        unknown = at < 0
+        long = unknown & (pc.utf8_length(distinct).to_numpy(zero_copy_only=False) > LONGEST)
+        new = np.flatnonzero(unknown & ~long)
+        at[new] = self._learn(distinct.take(pa.array(new)))
+        used = self.used
+        new = np.flatnonzero(long)
+        at[new] = self._learn(distinct.take(pa.array(new)))
         at = at[coded.indices.to_numpy()] if len(distinct) else at
         ids = self._gather(at)
         ends = np.r_[0, np.cumsum(self.lengths[at])][np.cumsum(per_text)]
         bounds = np.r_[0, ends + np.arange(1, len(texts) + 1)]
-        if long:
-            # Long words, and what they were put together from, are not remembered.
-            for w in list(self.index)[mark:]:
-                del self.index[w]
-            self.used = used
+        # Long words are not remembered.
+        for w in distinct.take(pa.array(new)).to_pylist():
+            del self.index[w]
+        self.used = used
         return np.insert(ids, ends, END_ID).astype("<u4", copy=False), bounds
 
 
@@ -158,7 +157,7 @@ def id_bytes(path: str) -> int:
 
 
 def encoded(
-    column: pa.Array, path: str, most: int = 1 << 20
+    column: pa.Array, path: str, most: int = 1 << 22
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs ``(first, last, ids, bounds)`` of a text column, about ``most`` bytes of text each."""
     texts = column.fill_null("").cast(pa.large_binary())

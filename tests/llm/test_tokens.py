@@ -144,3 +144,22 @@ def test_round_trip(odd, nothing, piece_bpe):
         want[(r["doc_id"], len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)))] += 1
     assert Counter(tuple(r) for r in prefix_table.round_trip(odd, piece_bpe).collect()) == want
     assert prefix_table.round_trip(nothing, piece_bpe).count() == 0
+
+
+PARTS = [
+    "a", "B", "é", "É", "ß", "÷", "×", "7", "½", "J̌", "T̈", "ẖ", "̸", "́", "'", "'s",
+    "'ll", "<|endoftext|>", "<|", "|>", " ", " ", "　", "\x00", "\x1c", "\x0b", "\x85", "İ", "K",
+    "ǆ", "🙂", "中文", "ﬁ", "=", "<", ">", ",", ".", "!", "--", "...", "~", " ", " ", "  ", "\n", "\t", "x" * 70,
+    "the", "Heit", "ª", "µ", "ÿ", "Ÿ", "Þ", "€",
+]
+
+
+def test_random_strings_have_the_ids_of_the_library(word_bpe):
+    encoder = WordEncoder(word_bpe, remembered=3_000)
+    draw = random.Random(11)
+    for _ in range(20):
+        texts = ["".join(draw.choices(PARTS, k=draw.randrange(15))) for _ in range(1_000)]
+        ids, bounds = encoder.encode([t.encode() for t in texts])
+        expected = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for k, e in enumerate(expected):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == [*e.ids, 1], texts[k]
