@@ -1,4 +1,4 @@
-from batchgate.functions.draws import draw, pick, uniform
+from batchgate.functions.draws import draw, draw_below, pick, uniform
 from batchgate.functions.parsing import (
     ascii_digits,
     is_blank,
@@ -10,6 +10,7 @@ from batchgate.functions.parsing import (
 __all__ = [
     "ascii_digits",
     "draw",
+    "draw_below",
     "is_blank",
     "parse_iso_date",
     "parse_number",

@@ -32,6 +32,18 @@ def uniform(seed: int, stream: int, key: Column, slot: int = 0) -> Column:
     return draw(seed, stream, key, slot) / F.lit(_SPAN)
 
 
+def draw_below(n: Column, seed: int, stream: int, key: Column) -> Column:
+    """Integer in [0, n), all about equally likely for any n below 2^62.
+
+    The part above 62 bits of a 62-bit draw times ``n``, put together from products
+    of 31-bit halves, none of which overflows.
+    """
+    high, low = (F.shiftright(draw(seed, stream, key, slot), 1) for slot in (0, 1))
+    n_high, n_low = F.shiftright(n, 31), n.bitwiseAND(F.lit((1 << 31) - 1))
+    middle = high * n_low + low * n_high + F.shiftright(low * n_low, 31)
+    return high * n_high + F.shiftright(middle, 31)
+
+
 def pick(u: Column, choices) -> Column:
     """One of ``choices`` by a uniform draw; a dict maps choices to weights."""
     if not isinstance(choices, dict):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchgate.functions import draw
+from batchgate.functions import draw_below
 from batchgate.operators.lookups import lookup
 from batchgate.session import materialise
 
@@ -75,7 +75,8 @@ def link_refunds(
     key: Column = F.concat_ws("|", *[F.col(c).cast("string") for c in [*scope, order]])
     # A refund with no pool draws rank null, which matches nothing.
     chosen = waiting.withColumn(
-        "rank", F.when(F.col("pool_size") > 0, draw(seed, stream, key) % F.col("pool_size") + 1)
+        "rank",
+        F.when(F.col("pool_size") > 0, draw_below(F.col("pool_size"), seed, stream, key) + 1),
     )
     spread = F.coalesce(F.col("rank"), -F.col(order) - 1)
     linked = (

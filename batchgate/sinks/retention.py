@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate import schema as S
 from batchgate.operators.rows import as_of_column
+from batchgate.sinks.batches import SUMMARY
+from batchgate.sources.incoming import qualified_uri
 
 
 def expired_batches(
@@ -23,12 +27,33 @@ def expired_batches(
 
 
 def remove_batches(spark: SparkSession, processed: str, expired: DataFrame) -> int:
-    """Delete the output of ``expired`` batches; returns how many were removed."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    for row in expired.select("partner_batch_id").toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(
-            f"{processed.rstrip('/')}/batch={row.partner_batch_id}"
-        )
-        removed += bool(folder.getFileSystem(hadoop).delete(folder, True))
-    return removed
+    """Delete the output of ``expired`` batches by tasks; returns how many were there.
+
+    Repeating it, or a task of it, does no harm: what is gone already is passed over.
+    A batch's summary goes first, so that one half removed counts as incomplete.
+    """
+    uri = qualified_uri(spark, processed.rstrip("/"))
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(uri)
+
+        def gone(folder: str) -> bool:
+            try:
+                files.delete_dir(folder)
+            except FileNotFoundError:
+                return False
+            return True
+
+        for rows in batches:
+            folders = [f"{root}/batch={b}" for b in rows.column(0).to_pylist()]
+            removed = 0
+            for folder in folders:
+                gone(f"{folder}/object={SUMMARY}")
+                removed += gone(folder)
+            yield pa.RecordBatch.from_pydict({"removed": pa.array([removed], pa.int64())})
+
+    named = expired.select("partner_batch_id").where("partner_batch_id IS NOT NULL").distinct()
+    done = named.repartition("partner_batch_id").mapInArrow(remove, "removed long")
+    return done.agg(F.sum("removed")).first()[0] or 0

@@ -1,3 +1,3 @@
-from batchgate.streaming.incoming import stream_incoming
+from batchgate.streaming.incoming import stream_incoming, stream_versions
 
-__all__ = ["stream_incoming"]
+__all__ = ["stream_incoming", "stream_versions"]

@@ -326,6 +326,8 @@ clean AS (
 
 def links(rows: str, out: str, order: str = "row_seq", stream: int = 90) -> str:
     """CTEs that link the unlinked refunds of ``rows``, ending in ``out``."""
+    high, low = (_draw(stream, f"r.source_key || '|' || {order}::VARCHAR", k) for k in (0, 1))
+    drawn = f"(({high}) // 2)::HUGEINT * {1 << 31} + ({low}) // 2"
     return f"""
 {out}_pool AS (
   SELECT source_key, transaction_id AS target,
@@ -337,7 +339,7 @@ def links(rows: str, out: str, order: str = "row_seq", stream: int = 90) -> str:
   FROM {rows} r LEFT JOIN {out}_size s
     ON s.source_key = r.source_key AND transaction_type = 'refund' AND related_transaction_id = ''
   LEFT JOIN {out}_pool q ON q.source_key = r.source_key
-    AND q.rank = {_draw(stream, f"r.source_key || '|' || {order}::VARCHAR", 0)} % s.n + 1)"""
+    AND q.rank = (({drawn}) * s.n // {1 << 62} + 1)::BIGINT)"""
 
 
 def _u(slot: int) -> str:
@@ -547,6 +549,13 @@ FROM judged GROUP BY source_key""",
         "pipeline_transactions": f"""{VALID}
 SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch, {COLUMNS}
 FROM judged WHERE NOT critical""",
+        "streamed_transactions": f"""{VALID}
+SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
+       {COLUMNS.replace('merchant_name', "CASE WHEN row_seq // 500 % 3 = 1 THEN 'Second ' ELSE '' END || merchant_name AS merchant_name")}
+FROM judged WHERE NOT critical""",
+        "removed_batches": f"""WITH {T}
+SELECT DISTINCT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch
+FROM t WHERE (row_seq // 500) % 5 <> 0""",
         "versioned_transactions": f"""{VALID}
 SELECT regexp_extract(source_key, '_([A-Za-z0-9-]+)\\.csv$', 1) AS batch,
        CASE WHEN row_seq // 500 % 3 = 1 THEN 'second' ELSE 'first' END AS run,

@@ -24,6 +24,8 @@ from batchgate.plans import bench_workload, process_incoming
 from batchgate.session import materialise, scratch_root
 from batchgate.sinks import (
     expired_batches,
+    processed_batches,
+    remove_batches,
     write_csv,
     write_manifest,
     write_summaries,
@@ -40,6 +42,7 @@ from batchgate.sources import (
 from batchgate.sources import csv_files as C
 from batchgate.sources.csv_files import utf8_gate
 from batchgate.sources.incoming import qualified_uri
+from batchgate.streaming import stream_versions
 from batchgate.synth import clean_rows, inject_defects
 from batchgate.synth.datasets import relink
 
@@ -323,14 +326,18 @@ def processed_summaries(spark, sf_dir):
 AGAIN = 3  # Files whose number leaves 1 over this arrive a second time.
 
 
+def _second(rows: DataFrame) -> DataFrame:
+    number = F.floor(F.col("row_seq") / fixtures.ROWS_PER_FILE)
+    return rows.where(number % AGAIN == 1).withColumn(
+        "merchant_name", F.concat(F.lit("Second "), "merchant_name")
+    )
+
+
 def _published(spark, sf_dir) -> str:
     """Every file published once, then a third of them again with other merchants."""
     out = f"{scratch_root(spark)}/versions-{uuid.uuid4().hex}"
     rows = _rows(spark, sf_dir)
-    number = F.floor(F.col("row_seq") / fixtures.ROWS_PER_FILE)
-    second = rows.where(number % AGAIN == 1).withColumn(
-        "merchant_name", F.concat(F.lit("Second "), "merchant_name")
-    )
+    second = _second(rows)
     for run_id, some in (("first", rows), ("second", second)):
         checked = B.validate_batch(some, AS_OF)
         files = checked.summary().withColumn("partner_batch_id", G.parse_filename(F.col("source_key"))[1])
@@ -396,10 +403,11 @@ def workload_counts(spark, sf_dir):
     return spark.createDataFrame([*lines, *found.items()], "name string, n bigint")
 
 
-def _bucket(spark, keyed: DataFrame, fmt: str, **options) -> str:
-    """A bucket folder with one arriving file per ``key`` of ``keyed``."""
-    root = f"{scratch_root(spark)}/bucket-{uuid.uuid4().hex}"
-    keyed.write.partitionBy("key").options(**options).format(fmt).save(f"{root}/written")
+def _bucket(spark, keyed: DataFrame, fmt: str, root: str | None = None, **options) -> str:
+    """A bucket folder with one arriving file per ``key`` of ``keyed``; in ``root`` they replace others."""
+    root = root or f"{scratch_root(spark)}/bucket-{uuid.uuid4().hex}"
+    written = f"written-{uuid.uuid4().hex}"
+    keyed.write.partitionBy("key").options(**options).format(fmt).save(f"{root}/{written}")
     # Spark names its own files; tasks give each the name it should arrive under.
     uri = qualified_uri(spark, root)
 
@@ -414,17 +422,21 @@ def _bucket(spark, keyed: DataFrame, fmt: str, **options) -> str:
                 files.move(f"{base}/{key}", f"{base}/incoming/{name}")
             yield pa.RecordBatch.from_pydict({"moved": pa.array([batch.num_rows], pa.int64())})
 
-    parts = list_incoming(spark, root, prefix="written/", suffix="").select("source_key")
-    parts = parts.where(F.col("source_key").rlike("^written/key=[^/]+/part-")).repartition("source_key")
+    parts = list_incoming(spark, root, prefix=f"{written}/", suffix="").select("source_key")
+    parts = parts.where(F.col("source_key").rlike(f"^{written}/key=[^/]+/part-")).repartition("source_key")
     parts.mapInArrow(move, "moved long").agg(F.sum("moved")).collect()
     return root
 
 
 def _landed_bucket(spark, sf_dir) -> str:
-    rows = _rows(spark, sf_dir).withColumn("key", G.file_name(F.col("source_key")))
+    return _land(spark, _rows(spark, sf_dir))
+
+
+def _land(spark, rows: DataFrame, root: str | None = None) -> str:
+    rows = rows.withColumn("key", G.file_name(F.col("source_key")))
     keyed = rows.repartition("key").sortWithinPartitions("key", "row_seq")
     keyed = keyed.select("key", *S.TRANSACTION_COLUMNS)
-    return _bucket(spark, keyed, "csv", header="true", emptyValue="")
+    return _bucket(spark, keyed, "csv", root, header="true", emptyValue="")
 
 
 def utf8_rejects(spark, sf_dir):
@@ -495,12 +507,41 @@ def pipeline_files(spark, sf_dir):
 
 def pipeline_transactions(spark, sf_dir):
     run = process_incoming(spark, _landed_bucket(spark, sf_dir), as_of=AS_OF)
-    back = read_all_strings(spark, run.processed, _partitioned_schema())
+    return _processed_rows(spark, run.processed)
+
+
+def _processed_rows(spark, processed: str) -> DataFrame:
+    back = read_all_strings(spark, processed, _partitioned_schema())
     return back.where(F.col("object") == "transactions.csv").select(
         "batch", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in S.TRANSACTION_COLUMNS]
     )
 
 
+def streamed_transactions(spark, sf_dir):
+    """Every file by the stream of versions, then a third of them replaced in place, and once more."""
+    rows = _rows(spark, sf_dir)
+    root = _land(spark, rows)
+    for replaced in (None, _second(rows), None):
+        if replaced is not None:
+            _land(spark, replaced, root)
+        query = stream_versions(spark, root, f"{root}/checkpoint", as_of=AS_OF)
+        query.awaitTermination()
+    return _processed_rows(spark, f"{root}/processed")
+
+
+def removed_batches(spark, sf_dir):
+    """What is left of the processed batches once a fifth of them are removed, twice."""
+    run = process_incoming(spark, _landed_bucket(spark, sf_dir), as_of=AS_OF)
+    number = F.regexp_extract("partner_batch_id", r"(\d+)$", 1).cast("int")
+    gone = materialise(processed_batches(spark, run.processed).where(number % 5 == 0), "expired").df
+    for _ in range(2):
+        remove_batches(spark, run.processed, gone)
+    root, _, folder = run.processed.rpartition("/")
+    left = list_incoming(spark, root, prefix=f"{folder}/", suffix="")
+    batch = F.regexp_extract("source_key", "/batch=([^/]+)/", 1).alias("batch")
+    return left.select(batch).where("batch <> ''").distinct()
+
+
 def profiled_files(spark, sf_dir):
     root = _landed_bucket(spark, sf_dir)
     return profile_files(spark, root).select("source_key", "utf8_ok", "usual_header", "n_lines")
@@ -566,4 +607,6 @@ def queries() -> dict[str, Query]:
         "pipeline_dispositions": pipeline_dispositions,
         "pipeline_files": pipeline_files,
         "pipeline_transactions": pipeline_transactions,
+        "streamed_transactions": streamed_transactions,
+        "removed_batches": removed_batches,
     }

@@ -31,3 +31,7 @@ def test_expired_output_is_removed(spark, bucket):
     assert remove_batches(spark, run.processed, expired) == 1
     left = processed_batches(spark, run.processed).collect()
     assert [r.partner_batch_id for r in left] == ["B"]
+    # Once more, with names that were never there.
+    unknown = spark.createDataFrame([("A",), ("Z",), (None,)], "partner_batch_id string")
+    assert remove_batches(spark, run.processed, unknown) == 0
+    assert [r.partner_batch_id for r in processed_batches(spark, run.processed).collect()] == ["B"]

@@ -7,6 +7,7 @@ from conftest import AS_OF
 from pyspark.sql import functions as F
 
 from batchgate import schema as S
+from batchgate.functions import draw, draw_below
 from batchgate.operators import batch as B
 from batchgate.operators.linkage import dense_index, link_refunds
 from batchgate.plans import bench_workload
@@ -194,3 +195,24 @@ def test_workload_agrees_with_validation_where_both_apply(spark, seeded, tmp_pat
     write_csv(rows, path)
     got = bench_workload(spark, path, AS_OF)
     assert {k: got[k] for k in B.COUNTS} == {k: counts[k] for k in B.COUNTS}
+
+
+def test_draws_below_are_even(spark):
+    n = 20_000
+    drawn = spark.range(n).select(draw_below(F.lit(10), 5, 90, F.col("id")).alias("d"))
+    counts = {r.d: r["count"] for r in drawn.groupBy("d").count().collect()}
+    assert sorted(counts) == list(range(10))
+    # 99.9 % point of chi-square with 9 degrees of freedom
+    assert sum((c - n / 10) ** 2 / (n / 10) for c in counts.values()) < 27.9
+
+
+@pytest.mark.parametrize("n", [1, 3, 2**31, 2**32 + 1, 2**45 + 7, 2**62 - 1])
+def test_draws_below_equal_exact_products(spark, n):
+    key = F.col("id")
+    rows = spark.range(200).select(
+        draw_below(F.lit(n), 5, 90, key).alias("d"), *[draw(5, 90, key, k).alias(f"u{k}") for k in (0, 1)]
+    )
+    for r in rows.collect():
+        assert r.d == (((r.u0 >> 1 << 31) + (r.u1 >> 1)) * n) >> 62
+    if n > 2**40:
+        assert max(r.d for r in rows.collect()) > 2**32
