@@ -24,8 +24,9 @@ _ENDED = "([a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([!-&(-/:-@\\[-`{-~]+
 # Latin letters alone: such a word is one piece, so its last token has the suffix of word ends.
 _LETTERS = "\\A[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+\\z"
 WORD_END = "</w>"
-# Words that are encoded as one string.
+# Words that are encoded as one string, and at a time; the library holds some 150 bytes a token.
 JOINED = 200
+LEARNED = 8_000
 # First bytes of the marks that a letter is composed with (U+0300 to U+036F).
 _MARKS = re.compile(b"[\xcc\xcd]")
 
@@ -84,17 +85,19 @@ class WordEncoder:
         """Encode words that are not remembered; returns their numbers."""
         at = np.empty(len(unknown), np.int64)
         plain = pc.match_substring_regex(unknown, _LETTERS).to_numpy(zero_copy_only=False)
-        for mine, letters in ((np.flatnonzero(plain), True), (np.flatnonzero(~plain), False)):
-            words = unknown.take(pa.array(mine)).to_pylist()
-            at[mine] = len(self.index) + np.arange(len(words))
-            if letters:
-                flat, _ = self._coded([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
-                ends = np.flatnonzero(self.last[flat]) + 1
-                if len(ends) != len(words):
-                    raise ValueError("the vocabulary does not mark the ends of words")
-                self._add(words, np.diff(ends, prepend=0), flat)
-            else:
-                flat, lengths = self._coded(words)
+        for kind, letters in ((np.flatnonzero(plain), True), (np.flatnonzero(~plain), False)):
+            for i in range(0, len(kind), LEARNED):
+                mine = kind[i : i + LEARNED]
+                words = unknown.take(pa.array(mine)).to_pylist()
+                at[mine] = len(self.index) + np.arange(len(words))
+                if letters:
+                    flat, _ = self._coded([" ".join(words[j : j + JOINED]) for j in range(0, len(words), JOINED)])
+                    ends = np.flatnonzero(self.last[flat]) + 1
+                    if len(ends) != len(words):
+                        raise ValueError("the vocabulary does not mark the ends of words")
+                    lengths = np.diff(ends, prepend=0)
+                else:
+                    flat, lengths = self._coded(words)
                 self._add(words, lengths, flat)
         return at
 
@@ -157,7 +160,7 @@ def id_bytes(path: str) -> int:
 
 
 def encoded(
-    column: pa.Array, path: str, most: int = 1 << 22
+    column: pa.Array, path: str, most: int = 1 << 21
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs ``(first, last, ids, bounds)`` of a text column, about ``most`` bytes of text each."""
     texts = column.fill_null("").cast(pa.large_binary())
