@@ -67,7 +67,10 @@ def lookup(
         picked = {v: F.col(f"__t_{v}") for v in values}
         return out.withColumns(picked).select(*rows.columns, *values)
 
-    hot = table.df.orderBy(F.col(weight).desc()).limit(HOT_KEYS if hot_keys is None else hot_keys)
+    # No more keys than what may be broadcast holds of the observed average.
+    most = (BROADCAST_BYTES if max_bytes is None else max_bytes) * table.rows // max(table.bytes, 1)
+    wanted = HOT_KEYS if hot_keys is None else hot_keys
+    hot = table.df.orderBy(F.col(weight).desc()).limit(max(min(wanted, most), 1))
     last = list(keys)[-1]
     out = joined(probed, F.broadcast(hot), names, "__h_")
     matched = F.col(f"__h_{last}").isNotNull()

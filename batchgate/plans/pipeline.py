@@ -213,17 +213,15 @@ def process_incoming(
         profile = keep(
             spark.createDataFrame(
                 [], "source_key string, utf8_ok boolean, usual_header boolean, "
-                "n_lines bigint, quoted_breaks boolean"
+                "header string, n_lines bigint, quoted_breaks boolean"
             ),
             "profile",
         )
-        layouts, records = find_layouts(spark, root, profile.df), None
+        layouts, records = find_layouts(spark, profile.df), None
     else:
         profile = keep(profile_files(spark, root, max_bytes, keys=keys), "profile")
         records = None if multi_line else read_records(spark, root, profile.df, max_bytes, keys=keys)
-        layouts = find_layouts(
-            spark, root, profile.df.where("utf8_ok"), max_bytes, keys=keys, records=records
-        )
+        layouts = find_layouts(spark, profile.df.where("utf8_ok"), records=records)
         rows = read_batch_csv(
             spark, root, layouts, max_bytes, keys=keys, multi_line=multi_line, records=records
         )

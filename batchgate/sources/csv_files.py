@@ -23,9 +23,6 @@ CSV_OPTIONS = {
 }
 _CORRUPT = "__raw_line"
 
-# Up to so many files are named to a scan one by one.
-MAX_NAMED_FILES = 1000
-
 # row_seq = file offset of the split, in 4 KiB units, over 28 bits of row index.
 _INDEX_BITS = 28
 _OFFSET_UNIT_BITS = 12
@@ -81,21 +78,24 @@ def profile_files(
     keys: list[str] | None = None,
     columns: list[str] = S.TRANSACTION_COLUMNS,
 ) -> DataFrame:
-    """(source_key, utf8_ok, usual_header, n_lines, quoted_breaks) per file, from its raw lines.
+    """(source_key, utf8_ok, usual_header, header, n_lines, quoted_breaks) per file, from its raw lines.
 
+    ``header`` is the first line of files whose header is not simply ``columns``.
     ``quoted_breaks``: a line leaves a quoted field open, so lines are not records.
 
     The text source keeps bytes as they are, so an undecodable line shows up
     here; the CSV source would replace it silently. The scan is splittable,
-    each task sends on one record per file, and no text is kept in between.
+    each task sends on one record per file, and of its text a header at most.
     """
     first = F.when(F.col("leads"), F.col("n"))
+    usual = F.col("value") == ",".join(columns)
     return (
         _lines(spark, root, max_bytes, prefix, keys)
         .groupBy("source_key")
         .agg(
             F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"),
-            F.min_by(F.col("value") == ",".join(columns), first).alias("usual_header"),
+            F.min_by(usual, first).alias("usual_header"),
+            F.min_by(F.when(~usual, F.col("value")), first).alias("header"),
             F.count(F.lit(1)).alias("n_lines"),
             F.bool_or(opens(F.col("value"))).alias("quoted_breaks"),
         )
@@ -125,29 +125,6 @@ def read_records(
     return find_records(lines.select("source_key", "block", "row_seq", "value"), broken)
 
 
-def read_headers(
-    spark: SparkSession,
-    root: str,
-    files: Table,
-    max_bytes: int = S.MAX_FILE_BYTES,
-    prefix: str = S.INCOMING_PREFIX,
-    keys: list[str] | None = None,
-) -> DataFrame:
-    """(source_key, header) of ``files`` (source_key, n_lines).
-
-    A moderate number of files is named to the scan, which then opens no other.
-    """
-    lines = _lines(spark, root, max_bytes, prefix, keys)
-    if files.rows <= MAX_NAMED_FILES:
-        found = files.df.select("source_key").collect()  # at most MAX_NAMED_FILES
-        lines = _lines(spark, root, max_bytes, prefix, [r.source_key for r in found])
-    else:
-        marked = Table(files.df.withColumn("odd", F.lit(True)), files.rows, files.bytes, "", {})
-        key = {"source_key": F.col("source_key")}
-        lines = lookup(lines, marked, key, ["odd"], "n_lines", F.col("n")).where("odd")
-    return lines.where("leads").groupBy("source_key").agg(F.min_by("value", "n").alias("header"))
-
-
 def utf8_gate(profile: DataFrame) -> DataFrame:
     """Files with an undecodable line: rejected whole."""
     return profile.where(~F.col("utf8_ok")).select("source_key")
@@ -184,11 +161,7 @@ def column_layouts(profile: DataFrame, columns: list[str], widest: int) -> DataF
 
 def find_layouts(
     spark: SparkSession,
-    root: str,
     profile: DataFrame,
-    max_bytes: int = S.MAX_FILE_BYTES,
-    prefix: str = S.INCOMING_PREFIX,
-    keys: list[str] | None = None,
     columns: list[str] = S.TRANSACTION_COLUMNS,
     records: Records | None = None,
 ) -> Layouts:
@@ -197,24 +170,19 @@ def find_layouts(
     Headers of files in ``records`` are records themselves.
     """
     width = F.octet_length("source_key")
-    unusual = profile.where(~F.col("usual_header")).select("source_key", "n_lines")
+    shape = ["source_key", "header", "n_lines"]
+    unusual = profile.where(~F.col("usual_header")).select(*shape)
     if records:
         unusual = unusual.join(records.files.df.select("source_key"), "source_key", "left_anti")
         own = records.headers.df.where(F.col("header") != ",".join(columns))
-        unusual = unusual.union(own.select("source_key", "n_lines"))
-    odd = materialise(unusual, "odd", width)
-    if not odd.rows:
-        none = spark.createDataFrame([], "source_key string, layout array<int>, n_lines bigint")
-        return Layouts(Table(none, 0, 0, "", {}), len(columns))
-    said = read_headers(spark, root, odd, max_bytes, prefix, keys)
-    if records:
-        said = said.join(records.files.df.select("source_key"), "source_key", "left_anti")
-        said = said.unionByName(records.headers.df.select("source_key", "header"))
+        unusual = unusual.unionByName(own.select(*shape))
     headers = materialise(
-        said.join(odd.df, "source_key"),
-        "headers",
-        metrics={"widest": F.max(F.size(F.split("header", ",")))},
+        unusual, "headers", metrics={"widest": F.max(F.size(F.split("header", ",")))}
     )
+    if not headers.rows:
+        release(spark, headers.path)
+        none = spark.createDataFrame([], "source_key string, layout array<int>, n_lines bigint")
+        return Layouts(Table(none, 0, 0, "", {}), len(columns))
     laid_out = column_layouts(headers.df, columns, headers.metrics["widest"])
     table = materialise(
         laid_out.select("source_key", "layout", "n_lines"),
@@ -222,7 +190,7 @@ def find_layouts(
         width + F.lit(4 * len(columns)),
         {"last": F.max(F.array_max("layout"))},
     )
-    release(spark, odd.path, headers.path)
+    release(spark, headers.path)
     return Layouts(table, max(len(columns), (table.metrics["last"] or 0) + 1))
 
 

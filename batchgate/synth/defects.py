@@ -106,30 +106,43 @@ DEFECTS = [
 
 _SELECT, _CHOOSE, _APPLY = 10, 11, 12
 _BUCKET_BITS = 14
+# So many rows of one bucket are ordered without counting them more finely.
+_ORDERED = 1 << 16
 
 
 def _key(order: str) -> Column:
     return F.col(order)
 
 
-def exact_sample(rows: DataFrame, k: int, score: Column, tie: str) -> Column:
+def exact_sample(
+    rows: DataFrame, k: int | Callable[[int], int], score: Column, tie: str
+) -> Column:
     """Condition that holds for exactly the ``k`` rows of least (score, tie).
 
+    ``k`` may be a function of the number of rows, which the first count tells.
     ``score`` lies in [0, 2^32). The range holding the k-th row is narrowed by
-    counting rows per bucket, twice; only the few rows left in it are ordered.
+    counting rows per bucket, until few enough are left in it to be ordered.
     """
     low, bits = 0, 32
-    for _ in range(2):
+    while True:
         inside = (score >= low) & (score < low + (1 << bits))
         bits -= _BUCKET_BITS
         bucket = F.floor((score - low) / (1 << bits)).alias("bucket")
         counts = rows.where(inside).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
         # At most 2^14 records come back.
-        for found in counts.orderBy("bucket").collect():
+        held = counts.orderBy("bucket").collect()
+        if low == 0 and bits + _BUCKET_BITS == 32:
+            n = sum(found.n for found in held)
+            k = k(n) if callable(k) else k
+            if k <= 0 or k >= n:
+                return F.lit(k > 0)
+        for found in held:
             if found.n >= k:
                 break
             k -= found.n
         low += found.bucket << bits
+        if found.n <= _ORDERED or bits < _BUCKET_BITS:
+            break
     cut = (
         rows.where((score >= low) & (score < low + (1 << bits)))
         .select(score.alias("s"), F.col(tie).alias("t"))
@@ -155,10 +168,8 @@ def inject_defects(
     and the manifest (transaction_id, defect, severity). ``order`` is an integer
     column unique over all rows.
     """
-    n = rows.count()
-    k = min(max(1, int(n * rate)), n)
     score = draw(seed, _SELECT, _key(order))
-    chosen = exact_sample(rows, k, score, order) if k < n else F.lit(True)
+    chosen = exact_sample(rows, lambda n: max(1, int(n * rate)), score, order)
     index = F.floor(uniform(seed, _CHOOSE, _key(order)) * F.lit(float(len(defects)))).cast("int")
     marked = rows.withColumn("__defect", F.when(chosen, index))
 

@@ -466,7 +466,7 @@ def quoted_records(spark, sf_dir):
     )
     profile = materialise(profile_files(spark, root, max_bytes=1 << 40), "profile").df
     records = C.read_records(spark, root, profile, max_bytes=1 << 40)
-    layouts = C.find_layouts(spark, root, profile, max_bytes=1 << 40, records=records)
+    layouts = C.find_layouts(spark, profile, records=records)
     rows = C.read_batch_csv(spark, root, layouts, max_bytes=1 << 40, records=records)
     return rows.select("source_key", "transaction_id", "merchant_name")
 

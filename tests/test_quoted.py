@@ -96,7 +96,7 @@ def test_records_equal_the_csv_module(spark, bucket, small_splits):
     assert {r.source_key for r in profile.where("quoted_breaks").collect()} == {NAME.format(b) for b in texts if b != "PLAIN"}
     assert C._lines(spark, bucket.path, S.MAX_FILE_BYTES, "incoming/", None).select("source_key", "block").distinct().count() > 20
     records = C.read_records(spark, bucket.path, profile)
-    layouts = C.find_layouts(spark, bucket.path, profile, records=records)
+    layouts = C.find_layouts(spark, profile, records=records)
     rows = C.read_batch_csv(spark, bucket.path, layouts, records=records)
     got = {}
     for r in sorted(rows.collect(), key=lambda r: r.row_seq):
