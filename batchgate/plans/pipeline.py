@@ -147,7 +147,8 @@ def _replace_output(
     spread_out: bool,
 ) -> None:
     """A batch without a summary is not complete: the old one goes before rows are replaced."""
-    clear_summaries(winners, processed)
+    # Batches without output have no summary that could stand for other rows.
+    clear_summaries(winners.where("already_processed"), processed)
     write_transactions(valid, winners, processed, spread_out)
     write_summaries(winners, exceptions, shared, processed, processed_at)
 

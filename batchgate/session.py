@@ -95,6 +95,18 @@ def materialise(
     )
 
 
+FILES_AT_ONCE = 100
+
+
+def spread_files(df: DataFrame, files: int, *by: str) -> DataFrame:
+    """``df`` in as many tasks as its ``files`` files, or folders, call for.
+
+    What costs time is every file, not its bytes: adaptive execution, which goes by
+    bytes, would leave thousands of small ones to one task. A given number stays.
+    """
+    return df.repartition(max(-(-files // FILES_AT_ONCE), 1), *by)
+
+
 def release(spark: SparkSession, *paths: str) -> None:
     """Delete scratch tables once nothing reads them any more."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()

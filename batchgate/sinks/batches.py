@@ -10,12 +10,17 @@ is complete.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchgate import schema as S
 from batchgate.operators.batch import COUNTS
 from batchgate.operators.gate import parse_filename
+from batchgate.session import spread_files
+from batchgate.sources.incoming import list_incoming, qualified_uri
 
 CSV_OUT = {
     "quote": '"',
@@ -37,21 +42,45 @@ def _batch_of(key: Column) -> Column:
     return parse_filename(key)[1]
 
 
-def _replace(df: DataFrame, processed: str, kind: str, fmt: str, **options) -> None:
-    """Write ``df`` in place of the same object of exactly the batches it has."""
-    (
-        df.withColumn("object", F.lit(kind))
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .partitionBy("batch", "object")
-        .save(processed)
-    )
+def _make_folders(files: DataFrame, processed: str) -> None:
+    """Folders of the batches of ``files``, made by tasks.
+
+    A commit that replaces makes the missing ones, too, but one after the other on the driver.
+    """
+    uri = qualified_uri(files.sparkSession, processed)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(uri)
+        for rows in batches:
+            for batch in rows.column(0).to_pylist():
+                system.create_dir(f"{root}/batch={batch}")
+            yield pa.RecordBatch.from_pydict({"made": pa.array([rows.num_rows], pa.int64())})
+
+    # Ids hold letters, digits and hyphens: nothing a path would escape.
+    named = files.select(_batch_of(F.col("source_key")).alias("batch")).where("batch IS NOT NULL")
+    spread_files(named, files.count(), "batch").mapInArrow(make, "made long").agg(F.sum("made")).collect()
+
+
+def _replace(
+    df: DataFrame, files: DataFrame, processed: str, kind: str, fmt: str, fresh: bool = False, **options
+) -> None:
+    """Write ``df`` in place of the same object of exactly the batches it has, which ``files`` lists.
+
+    A ``fresh`` folder has nothing to be replaced: output is added, committed as a whole.
+    """
+    writer = df.withColumn("object", F.lit(kind)).write.format(fmt).options(**options)
+    if fresh:
+        writer = writer.mode("append")
+    else:
+        _make_folders(files, processed)
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch", "object").save(processed)
 
 
 def write_transactions(
-    valid: DataFrame, files: DataFrame, processed: str, spread_out: bool = False
+    valid: DataFrame, files: DataFrame, processed: str, spread_out: bool = False, fresh: bool = False
 ) -> None:
     """Passing rows per batch; a file without any leaves just the header line.
 
@@ -59,7 +88,7 @@ def write_transactions(
     Rows that come straight from a scan lie together by file and are written
     where they are. Rows that went through a shuffle (``spread_out``) are first
     ranged by batch and position, which also cuts a very large batch into
-    several consecutive parts.
+    several consecutive parts. ``fresh``: ``processed`` has no transactions yet.
     """
     rows = valid.select(
         _batch_of(F.col("source_key")).alias("batch"), "row_seq", *S.TRANSACTION_COLUMNS
@@ -67,13 +96,13 @@ def write_transactions(
     if spread_out:
         rows = rows.repartitionByRange("batch", "row_seq")
     rows = rows.sortWithinPartitions("batch", "row_seq").drop("row_seq")
-    _replace(rows, processed, TRANSACTIONS, "csv", header="true", **CSV_OUT)
+    _replace(rows, files, processed, TRANSACTIONS, "csv", fresh, header="true", **CSV_OUT)
 
     titles = [F.lit(c).alias(c) for c in S.TRANSACTION_COLUMNS]
-    empty = files.where(F.col("passed") == 0).select(
-        _batch_of(F.col("source_key")).alias("batch"), *titles
-    )
-    _replace(empty, processed, TRANSACTIONS, "csv", header="false", **CSV_OUT)
+    bare = files.where(F.col("passed") == 0)
+    empty = bare.select(_batch_of(F.col("source_key")).alias("batch"), *titles)
+    empty = spread_files(empty, bare.count(), "batch")
+    _replace(empty, bare, processed, TRANSACTIONS, "csv", fresh, header="false", **CSV_OUT)
 
 
 def summary_lines(
@@ -114,6 +143,7 @@ def summary_lines(
         .union(lines(shared, _SHARED, F.to_json(common), none, F.col("row_seq")))
         .union(lines(files, _END, F.lit("]}"), none, none))
     )
+    every = spread_files(every, files.count(), "batch")
     order = Window.partitionBy("batch").orderBy("part", "ok", "row_seq")
     follows = F.lag("part").over(order) == F.col("part")
     return every.select(
@@ -129,16 +159,32 @@ def write_summaries(
     shared: DataFrame,
     processed: str,
     processed_at: Column,
+    fresh: bool = False,
 ) -> None:
-    """Summaries of all files, one document per batch whatever its size."""
+    """Summaries of all files, one document per batch whatever its size.
+
+    ``fresh``: ``processed`` has no summaries yet.
+    """
     lines = summary_lines(files, exceptions, shared, processed_at)
-    _replace(lines, processed, SUMMARY, "text")
+    _replace(lines, files, processed, SUMMARY, "text", fresh)
 
 
 def clear_summaries(files: DataFrame, processed: str) -> None:
     """Empty the summaries of the batches of ``files``, so that none stands for other rows."""
     blank = files.select(_batch_of(F.col("source_key")).alias("batch"), F.lit("").alias("value"))
-    _replace(blank.distinct(), processed, SUMMARY, "text", lineSep=" ")
+    blank = spread_files(blank, files.count(), "batch").distinct()
+    _replace(blank, files, processed, SUMMARY, "text", lineSep=" ")
+
+
+def list_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_key, size_bytes, modified_at) below ``folder``, listed by tasks; no rows if it is not there.
+
+    Keys begin with the folder's own name. What scans pass over, names with ``_`` or ``.``
+    in front and all below them, is left out.
+    """
+    root, _, name = folder.rstrip("/").rpartition("/")
+    listed = list_incoming(spark, root, prefix=f"{name}/", suffix="")
+    return listed.where(~F.col("source_key").rlike("/[_.]")).drop("bucket")
 
 
 def processed_batches(spark: SparkSession, processed: str) -> DataFrame:
@@ -146,18 +192,11 @@ def processed_batches(spark: SparkSession, processed: str) -> DataFrame:
 
     ``finished_at`` is null while a batch has rows but no summary yet, or a blank one.
     """
-    schema = "partner_batch_id string, finished_at timestamp"
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    folder = spark._jvm.org.apache.hadoop.fs.Path(processed)
-    if not folder.getFileSystem(hadoop).exists(folder):
-        return spark.createDataFrame([], schema)
-    objects = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(processed)
-    ).select(
-        F.regexp_extract("path", "/batch=([^/]+)/object=", 1).alias("partner_batch_id"),
+    path = F.col("source_key")
+    objects = list_objects(spark, processed).select(
+        F.regexp_extract(path, "/batch=([^/]+)/object=", 1).alias("partner_batch_id"),
         F.when(
-            F.col("path").contains(f"/object={SUMMARY}/") & (F.col("length") > 1),
-            F.col("modificationTime"),
+            path.contains(f"/object={SUMMARY}/") & (F.col("size_bytes") > 1), F.col("modified_at")
         ).alias("at"),
     )
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from batchgate import schema as S
 from batchgate.operators.rows import as_of_column
+from batchgate.session import materialise, release, spread_files
 from batchgate.sinks.batches import SUMMARY
 from batchgate.sources.incoming import qualified_uri
 
@@ -55,5 +56,9 @@ def remove_batches(spark: SparkSession, processed: str, expired: DataFrame) -> i
             yield pa.RecordBatch.from_pydict({"removed": pa.array([removed], pa.int64())})
 
     named = expired.select("partner_batch_id").where("partner_batch_id IS NOT NULL").distinct()
-    done = named.repartition("partner_batch_id").mapInArrow(remove, "removed long")
-    return done.agg(F.sum("removed")).first()[0] or 0
+    # Counted first: a listing behind ``expired`` may change while batches go.
+    listed = materialise(named, "removing")
+    done = spread_files(listed.df, listed.rows, "partner_batch_id").mapInArrow(remove, "removed long")
+    removed = done.agg(F.sum("removed")).first()[0] or 0
+    release(spark, listed.path)
+    return removed

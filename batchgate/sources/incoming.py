@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchgate import schema as S
-from batchgate.session import materialise
+from batchgate.session import materialise, spread_files
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
@@ -104,7 +104,8 @@ def list_incoming(
             found = listed.df if found is None else found.unionByName(listed.df)
             if not listed.metrics["folders"]:
                 break
-            level = listed.df.where("folder").select("path").repartition("path")
+            folders = listed.df.where("folder").select("path")
+            level = spread_files(folders, listed.metrics["folders"], "path")
     return found.where(~F.col("folder") & F.col("path").endswith(suffix)).select(
         F.lit(base).alias("bucket"),
         F.substr("path", F.lit(len(folder) + 2)).alias("source_key"),

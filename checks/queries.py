@@ -21,7 +21,7 @@ from batchgate.operators.ids import id_counts, raw_ids
 from batchgate.operators.linkage import link_refunds
 from batchgate.operators.reconcile import manifest_reconcile
 from batchgate.plans import bench_workload, process_incoming
-from batchgate.session import materialise, scratch_root
+from batchgate.session import materialise, scratch_root, spread_files
 from batchgate.sinks import (
     expired_batches,
     processed_batches,
@@ -423,7 +423,8 @@ def _bucket(spark, keyed: DataFrame, fmt: str, root: str | None = None, **option
             yield pa.RecordBatch.from_pydict({"moved": pa.array([batch.num_rows], pa.int64())})
 
     parts = list_incoming(spark, root, prefix=f"{written}/", suffix="").select("source_key")
-    parts = parts.where(F.col("source_key").rlike(f"^{written}/key=[^/]+/part-")).repartition("source_key")
+    parts = parts.where(F.col("source_key").rlike(f"^{written}/key=[^/]+/part-"))
+    parts = spread_files(parts, parts.count(), "source_key")
     parts.mapInArrow(move, "moved long").agg(F.sum("moved")).collect()
     return root
 
