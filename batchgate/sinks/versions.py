@@ -26,8 +26,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchgate.session import materialise
-from batchgate.sinks.batches import SUMMARY, TRANSACTIONS, write_summaries, write_transactions
+from batchgate.session import materialise, release, spread_files
+from batchgate.sinks.batches import SUMMARY, TRANSACTIONS, list_objects, write_summaries, write_transactions
 from batchgate.sources.incoming import qualified_uri
 
 SLOTS = 64
@@ -209,8 +209,8 @@ def publish(
         return run_id
     version = f"{run_id}-{uuid.uuid4().hex}"
     folder = f"{processed}/data/version={version}"
-    write_transactions(valid, files, folder, spread_out)
-    write_summaries(files, exceptions, shared, folder, processed_at)
+    write_transactions(valid, files, folder, spread_out, fresh=True)
+    write_summaries(files, exceptions, shared, folder, processed_at, fresh=True)
     pointers = files.select(
         "partner_batch_id",
         F.lit(version).alias("version"),
@@ -273,11 +273,9 @@ def unused(spark: SparkSession, processed: str) -> DataFrame:
     Versions of runs that never committed are among them, so sweep when no run is at work.
     """
     processed = processed.rstrip("/")
-    objects = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{processed}/data")
-    ).select(
-        F.regexp_extract("path", "/version=([^/]+)/batch=([^/]+)/", 1).alias("version"),
-        F.regexp_extract("path", "/version=([^/]+)/batch=([^/]+)/", 2).alias("batch"),
+    objects = list_objects(spark, f"{processed}/data").select(
+        F.regexp_extract("source_key", "/version=([^/]+)/batch=([^/]+)/", 1).alias("version"),
+        F.regexp_extract("source_key", "/version=([^/]+)/batch=([^/]+)/", 2).alias("batch"),
     )
     kept = current(spark, processed).select("version", F.col("partner_batch_id").alias("batch"))
     return objects.where("batch <> ''").distinct().join(kept, ["version", "batch"], "left_anti")
@@ -301,5 +299,8 @@ def sweep(spark: SparkSession, processed: str) -> int:
                     pass
             yield pa.RecordBatch.from_pydict({"gone": pa.array([gone], pa.int64())})
 
-    found = unused(spark, processed).select("version", "batch").repartition("version", "batch")
-    return found.mapInArrow(remove, "gone long").agg(F.sum("gone")).first()[0] or 0
+    found = materialise(unused(spark, processed).select("version", "batch"), "unused")
+    spread = spread_files(found.df, found.rows, "version", "batch")
+    gone = spread.mapInArrow(remove, "gone long").agg(F.sum("gone")).first()[0] or 0
+    release(spark, found.path)
+    return gone
