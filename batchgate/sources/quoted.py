@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from batchgate.operators.lookups import lookup
 from batchgate.session import Table, materialise, release
 
 # A field over so many characters makes its file unreadable; longer records are not put together.
@@ -63,77 +64,122 @@ def _composed(df: DataFrame, window, fixed: Column, value: Column, flips: Column
     return df
 
 
-def put_together(lines: DataFrame) -> tuple[Table, Table]:
-    """Records (source_key, row_seq, value) and the lengths of those too long to be made.
+_SPLIT = ["source_key", "block"]
+
+
+def _within():
+    return Window.partitionBy(*_SPLIT).orderBy("row_seq")
+
+
+def _so_far():
+    return _within().rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """Add ``known`` and ``state`` after each line, from the lines of its split."""
+    none = F.col("after_none")
+    return _composed(lines, _so_far(), none == F.col("after_open"), none, none)
+
+
+def _starting(placed: DataFrame) -> DataFrame:
+    """Add ``start``, the row_seq of lines that begin a record, and ``record``, the latest of the split.
+
+    ``begin`` tells whether a field is open where the split begins.
+    """
+    is_open = F.when(F.col("known"), F.col("state")).otherwise(F.col("state") != F.col("begin"))
+    placed = placed.withColumn("is_open", is_open)
+    starts = ~F.coalesce(F.lag("is_open").over(_within()), F.col("begin"))
+    started = placed.withColumn("start", F.when(starts, F.col("row_seq")))
+    return started.withColumn("record", F.last("start", True).over(_so_far()))
+
+
+def put_together(lines: DataFrame) -> tuple[Table, Table, Table]:
+    """Records (source_key, row_seq, value), those of them in several splits, and files with overlong ones.
 
     ``lines`` has source_key, block (where the split begins), row_seq, which orders the lines
     of a file, and value. A record has the ``row_seq`` of its first line.
+
+    What lies where is found without the text. The text is then shuffled by split, once;
+    the pieces of a record that several splits hold are few, and only they are shuffled again.
     """
     spark = lines.sparkSession
     turned = lines.withColumns(
-        {"after_none": opens(F.col("value")), "after_open": stays_open(F.col("value"))}
+        {
+            "after_none": opens(F.col("value")),
+            "after_open": stays_open(F.col("value")),
+            "length": F.length("value"),
+        }
     )
     staged = materialise(turned, "quoted-lines")
-    within = Window.partitionBy("source_key", "block").orderBy("row_seq")
-    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
-    none, open_ = F.col("after_none"), F.col("after_open")
-    stepped = _composed(staged.df, so_far, none == open_, none, none)
-    placed = materialise(
-        stepped.select("source_key", "block", "row_seq", "value", "known", "state"), "quoted-states"
-    )
+    bare = staged.df.select(*_SPLIT, "row_seq", "after_none", "after_open", "length")
+    placed = materialise(_placed(bare).select(*_SPLIT, "row_seq", "length", "known", "state"), "quoted-states")
 
     # Splits of a file in order: what is open where each begins.
-    splits = placed.df.groupBy("source_key", "block").agg(
-        F.max_by(F.struct("known", "state"), "row_seq").alias("f")
-    )
+    splits = placed.df.groupBy(*_SPLIT).agg(F.max_by(F.struct("known", "state"), "row_seq").alias("f"))
     order = Window.partitionBy("source_key").orderBy("block")
     here = order.rowsBetween(Window.unboundedPreceding, 0)
     scanned = _composed(splits, here, F.col("f.known"), F.col("f.state"), F.col("f.state"))
-    begun = scanned.select(
-        "source_key", "block", F.coalesce(F.lag("state").over(order), F.lit(False)).alias("begin")
-    )
-    lined = placed.df.join(begun, ["source_key", "block"]).withColumn(
-        "is_open", F.when(F.col("known"), F.col("state")).otherwise(F.col("state") != F.col("begin"))
-    )
-    starts = ~F.coalesce(F.lag("is_open").over(within), F.col("begin"))
-    marked = lined.withColumn("start", F.when(starts, F.col("row_seq"))).withColumn(
-        "record", F.last("start", True).over(so_far)
-    )
+    begun = scanned.select(*_SPLIT, F.coalesce(F.lag("state").over(order), F.lit(False)).alias("begin"))
     marked = materialise(
-        marked.select("source_key", "block", "row_seq", "value", "start", "record"), "quoted-marks"
+        _starting(placed.df.join(begun, _SPLIT)).select(*_SPLIT, "length", "begin", "start", "record"),
+        "quoted-marks",
     )
     # A record that began in an earlier split.
     latest = (
-        marked.df.groupBy("source_key", "block").agg(F.max("start").alias("start"))
+        marked.df.groupBy(*_SPLIT).agg(F.max("start").alias("start"), F.first("begin").alias("begin"))
         .withColumn("earlier", F.last("start", True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        .select("source_key", "block", "earlier")
+        .select(*_SPLIT, "begin", "earlier")
     )
-    owned = marked.df.join(latest, ["source_key", "block"]).select(
-        "source_key", F.coalesce("record", "earlier").alias("record"), "row_seq", "value"
-    )
-    lengths = owned.groupBy("source_key", "record").agg(
-        F.sum(F.length("value")).alias("length"), F.count(F.lit(1)).alias("lines")
+    entered = materialise(latest, "quoted-splits")
+    lengths = (
+        marked.df.join(entered.df.select(*_SPLIT, "earlier"), _SPLIT)
+        .groupBy("source_key", F.coalesce("record", "earlier").alias("record"))
+        .agg(
+            F.sum("length").alias("length"),
+            F.count(F.lit(1)).alias("lines"),
+            (F.min("block") != F.max("block")).alias("spans"),
+        )
     )
-    several = materialise(lengths.where("lines > 1"), "quoted-lengths")
-    over = several.df.where(F.col("length") > RECORD_LIMIT).select("source_key", "record")
-    # Most records are a line; only lines of others are gathered, and never of overlong ones.
-    ones = owned.join(several.df, ["source_key", "record"], "left_anti")
-    pieces = owned.join(
-        several.df.where(F.col("length") <= RECORD_LIMIT).select("source_key", "record"),
-        ["source_key", "record"],
+    # Lines of overlong records are never gathered.
+    over = (F.col("lines") > 1) & (F.col("length") > RECORD_LIMIT)
+    special = materialise(
+        lengths.select("source_key", "record", "lines", "spans", over.alias("over")).where("spans OR over"),
+        "quoted-special",
+        F.octet_length("source_key"),
     )
-    in_order = F.array_sort(F.collect_list(F.struct("row_seq", "value")))
-    joined = pieces.groupBy("source_key", "record").agg(
-        F.array_join(F.transform(in_order, lambda p: p["value"]), "").alias("value")
+    text = _starting(_placed(staged.df).join(entered.df, _SPLIT)).select(
+        *_SPLIT, F.coalesce("record", "earlier").alias("record"), "row_seq", "value"
     )
-    records = materialise(
-        ones.select("source_key", F.col("record").alias("row_seq"), "value")
-        .union(joined.select("source_key", F.col("record").alias("row_seq"), "value")),
+    key = {"record": F.col("record"), "source_key": F.col("source_key")}
+    told = lookup(text, special, key, ["spans", "over"], "lines", F.col("row_seq"))
+    told = told.where(~F.coalesce("over", F.lit(False)))
+
+    def gathered(df: DataFrame, *by: str) -> DataFrame:
+        in_order = F.array_sort(F.collect_list(F.struct("row_seq", "value")))
+        joined = F.array_join(F.transform(in_order, lambda p: p["value"]), "")
+        return df.groupBy("source_key", *by).agg(joined.alias("value"))
+
+    # A split's lines are together already, so its pieces take no other shuffle.
+    split = told.withColumn("whole", ~F.coalesce("spans", F.lit(False)))
+    pieces = materialise(
+        gathered(split, "block", "record", "whole").select(
+            "source_key", "block", F.col("record").alias("row_seq"), "value", "whole"
+        ),
         "records",
-    )
-    overlong = materialise(over.select("source_key").distinct(), "overlong", F.octet_length("source_key"))
-    release(spark, staged.path, placed.path, marked.path, several.path)
-    return records, overlong
+    )
+    parts = pieces.df.where(~F.col("whole")).select(
+        "source_key", F.col("row_seq").alias("record"), F.col("block").alias("row_seq"), "value"
+    )
+    spanning = materialise(
+        gathered(parts, "record").select("source_key", F.col("record").alias("row_seq"), "value"), "spanning"
+    )
+    whole = pieces.df.where("whole").select("source_key", "row_seq", "value")
+    overlong = materialise(
+        special.df.where("over").select("source_key").distinct(), "overlong", F.octet_length("source_key")
+    )
+    release(spark, staged.path, placed.path, marked.path, entered.path, special.path)
+    records = Table(whole.unionByName(spanning.df), pieces.rows + spanning.rows, 0, pieces.path, {})
+    return records, spanning, overlong
 
 
 @dataclass(frozen=True)
@@ -142,25 +188,38 @@ class Records:
 
     ``files``: (source_key, n_lines); ``headers``: (source_key, first, header, n_lines), of
     which ``first`` is the header's row_seq; ``overlong``: files with a record over the limit.
+    ``table`` includes ``spanning``, the records of several splits.
     """
 
     table: Table
     files: Table
     headers: Table
     overlong: Table
+    spanning: Table
 
     @property
     def paths(self) -> list[str]:
-        return [t.path for t in (self.table, self.files, self.headers, self.overlong)]
+        return [t.path for t in (self.table, self.files, self.headers, self.overlong, self.spanning)]
 
 
 def find_records(lines: DataFrame, files: Table) -> Records:
     """Records of the ``lines`` of ``files``."""
-    table, overlong = put_together(lines)
+    table, spanning, overlong = put_together(lines)
+    width = F.octet_length("source_key")
+    # Where a file begins is found without the text, which an aggregation would sort.
+    firsts = materialise(
+        table.df.groupBy("source_key").agg(F.min("row_seq").alias("first")).join(files.df, "source_key"),
+        "record-firsts",
+        width,
+    )
+    key = {"first": F.col("row_seq"), "source_key": F.col("source_key")}
+    found = lookup(table.df, firsts, key, ["n_lines"], "n_lines", F.col("row_seq"))
     headers = materialise(
-        table.df.groupBy("source_key").agg(F.min("row_seq").alias("first"), F.min_by("value", "row_seq").alias("header"))
-        .join(files.df, "source_key"),
+        found.where(F.col("n_lines").isNotNull()).select(
+            "source_key", F.col("row_seq").alias("first"), F.col("value").alias("header"), "n_lines"
+        ),
         "record-headers",
-        F.octet_length("source_key"),
-    )
-    return Records(table, files, headers, overlong)
+        width,
+    )
+    release(files.df.sparkSession, firsts.path)
+    return Records(table, files, headers, overlong, spanning)

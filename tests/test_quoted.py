@@ -116,3 +116,21 @@ def test_pipeline_reads_breaks_and_fails_overlong_fields(spark, bucket):
     assert {(found[b].disposition, found[b].reason) for b in ("OVER", "ENDLESS")} == {(G.FAILED, G.REASON_FIELD)}
     assert "two" + "lines, one name" in bucket.read("GOOD", "transactions.csv")
     assert bucket.read("OVER", "transactions.csv") is None
+
+
+def test_text_is_written_and_moved_a_bounded_number_of_times(spark, bucket, monkeypatch):
+    """Tables that hold a text: the staged lines, the records, and those of several splits."""
+    from batchgate.sources import quoted as Q
+
+    kept = []
+    keep = Q.materialise
+
+    def noted(df, name, *args, **options):
+        if "value" in df.columns:
+            kept.append(name)
+        return keep(df, name, *args, **options)
+
+    monkeypatch.setattr(Q, "materialise", noted)
+    bucket.put(NAME.format("A")[9:], written(messy(random.Random(3), 400)))
+    C.read_records(spark, bucket.path, C.profile_files(spark, bucket.path))
+    assert kept == ["quoted-lines", "records", "spanning"]
