@@ -429,13 +429,18 @@ def _bucket(spark, keyed: DataFrame, fmt: str, root: str | None = None, **option
     return root
 
 
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """Rows of a file together, as many tasks as the files call for."""
+    return spread_files(keyed, keyed.select("key").distinct().count(), "key")
+
+
 def _landed_bucket(spark, sf_dir) -> str:
     return _land(spark, _rows(spark, sf_dir))
 
 
 def _land(spark, rows: DataFrame, root: str | None = None) -> str:
     rows = rows.withColumn("key", G.file_name(F.col("source_key")))
-    keyed = rows.repartition("key").sortWithinPartitions("key", "row_seq")
+    keyed = _by_key(rows).sortWithinPartitions("key", "row_seq")
     keyed = keyed.select("key", *S.TRANSACTION_COLUMNS)
     return _bucket(spark, keyed, "csv", root, header="true", emptyValue="")
 
@@ -448,8 +453,8 @@ def utf8_rejects(spark, sf_dir):
     file = F.floor(d / 20).cast("string")
     name = F.concat(F.lit("transactions_2024-02-14_D"), file, F.lit(".csv"))
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    keyed = documents.select(name.alias("key"), text.alias("value")).repartition("key")
-    root = _bucket(spark, keyed, "text")
+    keyed = documents.select(name.alias("key"), text.alias("value"))
+    root = _bucket(spark, _by_key(keyed), "text")
     return utf8_gate(profile_files(spark, root))
 
 
@@ -462,7 +467,7 @@ def quoted_records(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     keyed = documents.select(name.alias("key"), *[v.alias(c) for c, v in values.items()])
     root = _bucket(
-        spark, keyed.repartition("key"), "csv", header="true", escape='"', emptyValue="", nullValue="",
+        spark, _by_key(keyed), "csv", header="true", escape='"', emptyValue="", nullValue="",
         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
     )
     profile = materialise(profile_files(spark, root, max_bytes=1 << 40), "profile").df

@@ -7,6 +7,7 @@ from batchgate import plans
 from batchgate.plans import process_incoming
 from batchgate.sinks import batches as K
 from batchgate.sinks import processed_batches
+from checks import queries
 
 NAME = "transactions_2024-02-14_{}.csv"
 
@@ -32,6 +33,12 @@ def test_summaries_of_many_batches_are_several_tasks_work(spark):
     assert len({r.task for r in tasks}) >= 3
 
 
+def test_many_files_arrive_by_several_tasks(spark):
+    keyed = spark.range(1000).select((F.col("id") % 250).cast("string").alias("key"), "id")
+    tasks = queries._by_key(keyed).select("key", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == 250 and len({r.task for r in tasks}) >= 3
+
+
 def test_folders_are_there_before_a_commit_replaces(spark, tmp_path):
     K._make_folders(some_files(spark, 120), str(tmp_path))
     assert sorted(p.name for p in tmp_path.iterdir()) == sorted(f"batch=B{i}" for i in range(120))
