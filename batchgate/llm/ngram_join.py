@@ -4,8 +4,11 @@
 2. Two sets similar enough share one of their rarest shingles: the first
    ``n - ceil(t n) + 1`` in any order that is the same for all. Classes meet in
    groups by these shingles; frequent shingles come last, so groups stay small.
-3. A signature tree over each group leaves the pairs whose bitmaps allow the
-   threshold. Their connected components are blocks; every link is in a block.
+   A class is named by 64 bits of its digest, so copies need no lookup, and a
+   shingle is moved once, with that name and the set's size.
+3. Parity sketches leave the pairs of a group that may be similar enough: a token
+   that only one of two sets has changes one bit at most. The pairs' connected
+   components are blocks; every link is in a block.
 4. Sets are moved once, to their block. A signature tree per block is joined
    with itself and links are verified on the sets. Larger blocks are dealt out in
    chunks: first each chunk with some hubs of the block; then chunks of sets that
@@ -46,7 +49,9 @@ OFTEN = 8
 RUN = 1 << 18
 # Hashes that a task counts at a time.
 COUNTED = 1 << 19
-# Groups beyond this size become part of one block without a look at signatures.
+# Classes that a task remembers having met.
+REMEMBERED = 1 << 16
+# Groups beyond this size become part of one block without a look at sketches.
 LARGE_GROUP = 128
 # Sets of a block that one task compares; blocks beyond it are dealt out in chunks.
 CHUNK = 64
@@ -57,6 +62,8 @@ UNIT_BYTES = 32 << 20
 # Sizes of linked sets differ by a factor of whole/part at most, which is this many bands.
 BANDS = 2
 _FREQUENT_BITS = 22
+# A sketch has so many bits for each token that linked sets may differ in.
+SKETCH_BITS = 4
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -125,8 +132,19 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], top["n"].to_numpy()[order]
 
 
+def sketch(tokens: np.ndarray, part: int, whole: int) -> bytes:
+    """The parity of the number of tokens at each of 2^k places; halves fold by XOR."""
+    differ = 2 * len(tokens) * (whole - part) // (whole + part)
+    bits = 1 << min(max(int(SKETCH_BITS * differ - 1).bit_length(), 6), 17)
+    held = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
-    """Per text: id, hashes of text and set, set size, signature, rarest shingles, row."""
+    """Per text: id, hashes of text and set, set size, sketch, rarest shingles, row.
+
+    ``node`` is half of the digest of the set, as a number.
+    """
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,10 +163,22 @@ def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
             weight[maybe] = np.where(often[at] == tokens[maybe], counts[at], 0)
             return tokens[np.argsort(weight, kind="stable")[:keep]]
 
+        seen: set[bytes] = set()
+
+        def fresh(name: bytes | None) -> bool:
+            if name is None or name in seen:
+                return False
+            if len(seen) >= REMEMBERED:
+                seen.clear()
+            seen.add(name)
+            return True
+
         for batch in batches:
             for first, sets in shingle_sets(batch.column(2), size):
                 sizes = np.array([len(s) for s in sets], np.int64)
-                prefix = [rarest(s) if len(s) else s for s in sets]
+                classes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                # Copies that this task has met need not bring their class's shingles again.
+                prefix = [rarest(s) if fresh(c) else s[:0] for s, c in zip(sets, classes, strict=True)]
                 offsets = np.r_[0, np.cumsum([len(p) for p in prefix])]
                 flat = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
@@ -156,21 +186,19 @@ def _described(docs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
                         batch.column(0).slice(first, len(sets)),
                         batch.column(1).slice(first, len(sets)),
                         pa.array(sizes),
-                        pa.array(
-                            [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-                            pa.binary(),
-                        ),
-                        pa.array([signature(s) for s in sets], pa.binary()),
+                        pa.array(classes, pa.binary()),
+                        pa.array([c and int.from_bytes(c[:8], "little", signed=True) for c in classes], pa.int64()),
+                        pa.array([sketch(s, part, whole) for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64))),
                         batch.column(3).slice(first, len(sets)),
                     ],
-                    names=["id", "text_hash", "n", "class", "signature", "rarest", "row"],
+                    names=["id", "text_hash", "n", "class", "node", "sketch", "rarest", "row"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", F.xxhash64("text").alias("text_hash"), "text", "row").mapInArrow(
         settled(describe),
-        f"id {kind}, text_hash long, n long, class binary, signature binary, "
+        f"id {kind}, text_hash long, n long, class binary, node long, sketch binary, "
         "rarest array<long>, row long",
     )
 
@@ -193,16 +221,92 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[dict
         yield list(some)
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of longs as arrays of whole groups; they arrive sorted by the first column."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        columns = tuple(c.to_numpy() for c in batch.columns)
+        cut = np.searchsorted(columns[0], columns[0][-1]) if len(columns[0]) else 0
+        if cut or (held and held[0][0][0] != columns[0][0]):
+            yield tuple(map(np.concatenate, zip(*held, tuple(c[:cut] for c in columns), strict=True)))
+            held = []
+        if len(columns[0]):
+            # Of repeated rows, sorted as they are, one is kept.
+            new = np.ones(len(columns[0]) - cut, bool)
+            new[1:] = np.any([c[cut + 1 :] != c[cut:-1] for c in columns], axis=0)
+            held.append(tuple(c[cut:][new] for c in columns))
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _meeting(part: int, whole: int) -> Callable:
+    """Groups of classes that share a shingle, as lists, or edges to their smallest node.
+
+    Rows are (key, n, node), sorted. A group is cut where sizes are too far apart to link.
+    Lists are named by 128 bits, so that equal ones are found.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, n, node in _runs(batches):
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+            key, n, node = key[fresh], n[fresh], node[fresh]
+            starts = np.ones(len(key), bool)
+            starts[1:] = (key[1:] != key[:-1]) | (part * n[1:] > whole * n[:-1])
+            begin = np.flatnonzero(starts)
+            many = np.diff(begin, append=len(key))
+            large = np.flatnonzero(many > LARGE_GROUP)
+            hubs = np.repeat([node[a : a + c].min() for a, c in zip(begin[large], many[large], strict=True)], many[large])
+            owned = np.repeat(many > LARGE_GROUP, many)
+            hidden = mix(node.view(np.uint64))
+            again = mix(hidden + np.uint64(1))
+            x, y = (np.add.reduceat(h, begin) if len(begin) else h for h in (hidden, again))
+            # Lists that this run has already are left out.
+            small = np.flatnonzero((many > 1) & (many <= LARGE_GROUP))
+            _, one = np.unique(np.stack([x[small], y[small]]), axis=1, return_index=True) if len(small) else (0, small)
+            small = small[np.sort(one)]
+            lists = [node[a : a + c] for a, c in zip(begin[small], many[small], strict=True)]
+            edges = int(owned.sum())
+            ends = np.cumsum(many[small])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "x": pa.array(np.r_[x[small].view(np.int64), np.zeros(edges, np.int64)]),
+                    "y": pa.array(np.r_[y[small].view(np.int64), np.zeros(edges, np.int64)]),
+                    "a": pa.array([None] * len(small) + hubs.tolist(), pa.int64()),
+                    "nodes": pa.ListArray.from_arrays(
+                        pa.array(np.r_[0, ends, (ends[-1] if len(ends) else 0) + 1 + np.arange(edges)], pa.int32()),
+                        pa.array(np.concatenate([*lists, node[owned]]).astype(np.int64, copy=False)),
+                    ),
+                }
+            )
+
+    return run
+
+
 def _possible(part: int, whole: int) -> Callable:
-    """Edges that connect the sets of a group whose signatures allow a link."""
+    """Edges that connect the sets of a group whose sketches allow a link."""
+
+    def folded(value: int, bits: int, to: int) -> int:
+        while bits > to:
+            bits //= 2
+            value = (value >> bits) ^ (value & ((1 << bits) - 1))
+        return value
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, 1):
-            ids = [r["row"] for r in rows]
-            sizes = np.array([r["n"] for r in rows], np.int64)
-            every = np.arange(len(ids))
-            known = Components(every)
-            link([r["signature"] for r in rows], sizes, every, every, part, whole, known, lambda p, q: True)
+            rows.sort(key=lambda r: r["n"])
+            ids, sizes = [r["row"] for r in rows], [r["n"] for r in rows]
+            bits = [8 * len(r["sketch"]) for r in rows]
+            values = [int.from_bytes(r["sketch"], "little") for r in rows]
+            known = Components(np.arange(len(ids)))
+            for i, n in enumerate(sizes):
+                for j in range(i + 1, len(ids)):
+                    if part * sizes[j] > whole * n:
+                        break
+                    to = min(bits[i], bits[j])
+                    differ = (folded(values[i], bits[i], to) ^ folded(values[j], bits[j], to)).bit_count()
+                    if differ * (whole + part) <= (n + sizes[j]) * (whole - part):
+                        known.union(i, j)
             yield pa.RecordBatch.from_pydict(_edges(ids, known))
 
     return run
@@ -239,39 +343,35 @@ def _verified(part: int, whole: int) -> Callable:
     return run
 
 
-def _blocks(reps: DataFrame, part: int, whole: int) -> Table:
+def _blocks(rows: DataFrame, part: int, whole: int) -> Table:
     """(node, root) of classes that may be linked; root names the block."""
-    keys = reps.select("row", "n", F.explode("rarest").alias("key"))
     groups = materialise(
-        keys.groupBy("key").agg(
-            F.count(F.lit(1)).alias("c"),
-            F.min("row").alias("hub"),
-            F.bit_xor(F.xxhash64("row")).alias("x"),
-            F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"),
-        ).where("c > 1")
-        # Groups of the same rows need one look.
-        .groupBy("c", "hub", "x", "y").agg(F.min("key").alias("key")).select("key", "c", "hub"),
+        rows.where("n > 0").select(F.explode("rarest").alias("key"), "n", "node")
+        .repartition("key").sortWithinPartitions("key", "n", "node")
+        .mapInArrow(settled(_meeting(part, whole)), "x long, y long, a long, nodes array<long>"),
         "groups",
     )
-    members = materialise(keys.join(bounded(groups), "key"), "members")
-    # Signatures are moved only of sets with another of a size that can link in their group.
-    by_size = Window.partitionBy("key").orderBy("n", "row")
-    sized = (
-        members.df.where(F.col("c") <= LARGE_GROUP)
-        .withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
-        .where((part * F.col("n") <= whole * F.col("smaller")) | (part * F.col("larger") <= whole * F.col("n")))
+    # Groups of the same classes need one look.
+    members = materialise(
+        groups.df.where("a IS NULL").groupBy("x", "y").agg(F.first("nodes").alias("nodes"))
+        .select(F.monotonically_increasing_id().alias("key"), "nodes")
+        .select("key", F.explode("nodes").alias("row")),
+        "members",
+    )
+    wanted = materialise(members.df.select("row").distinct(), "wanted-sketches")
+    sketches = (
+        rows.select(F.col("node").alias("row"), "n", "sketch")
+        .join(bounded(wanted), "row", "left_semi").dropDuplicates(["row"])
     )
     screened = (
-        sized.select("key", "row").join(reps.select("row", "n", "signature"), "row")
-        .select("key", "row", "n", "signature")
-        .repartition("key").sortWithinPartitions("key", "row")
+        members.df.join(sketches, "row")
+        .select("key", "row", "n", "sketch")
+        .repartition("key").sortWithinPartitions("key")
         .mapInArrow(settled(_possible(part, whole)), "a long, b long")
     )
-    whole_groups = members.df.where(F.col("c") > LARGE_GROUP).select(
-        F.col("hub").alias("a"), F.col("row").alias("b")
-    )
+    whole_groups = groups.df.where("a IS NOT NULL").select("a", F.col("nodes")[0].alias("b"))
     blocks = connected(screened.union(whole_groups.where("a != b")))
-    release(reps.sparkSession, groups.path, members.path)
+    release(rows.sparkSession, groups.path, members.path, wanted.path)
     return blocks
 
 
@@ -414,17 +514,13 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
     if not row_col:
         described = described.withColumn("row", F.monotonically_increasing_id())
     rows = materialise(described, "texts").df
-    order = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("i"), F.col("row").alias("r"))
+    order = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("i"), F.col("row").alias("r"), F.col("text_hash").alias("t"))
     classes = materialise(
-        rows.where("n > 0").groupBy("class").agg(F.min(order).alias("best"))
-        .select("class", "best", F.col("best.r").alias("row")),
+        rows.where("n > 0").groupBy("class", "node").agg(F.min(order).alias("best"))
+        .select("class", "best", F.col("node").alias("row")),
         "classes",
     )
-    chosen = materialise(
-        rows.join(bounded(classes).select("row"), "row").drop("class"), "representatives"
-    )
-    reps = chosen.df
-    blocks = _blocks(reps, part, whole)
+    blocks = _blocks(rows, part, whole)
 
     # The sets of classes in blocks are made anew from their texts.
     sizes = materialise(blocks.df.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "block-sizes", metrics={"largest": F.max("members")})
@@ -434,8 +530,8 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
     ranked = _smallest(hubs)
     wanted = materialise(
         blocks.df.join(bounded(sizes), "root").join(ranked, "node", "left")
-        .join(reps.select("row", "id", "text_hash"), F.col("node") == F.col("row"))
-        .select("row", "id", "text_hash", F.col("root").alias("block"), "members", F.coalesce("hub_rank", F.lit(HUBS + 1)).alias("hub_rank")),
+        .join(classes.df, F.col("node") == F.col("row"))
+        .select("row", F.col("best.i").alias("id"), F.col("best.t").alias("text_hash"), F.col("root").alias("block"), "members", F.coalesce("hub_rank", F.lit(HUBS + 1)).alias("hub_rank")),
         "wanted",
     )
     found = texts.drop("row").withColumn("text_hash", F.xxhash64("text")).alias("t").join(
@@ -451,7 +547,7 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
         "sets",
         metrics={"largest": F.max("members")},
     )
-    release(docs.sparkSession, chosen.path, blocks.path, sizes.path, wanted.path)
+    release(docs.sparkSession, blocks.path, sizes.path, wanted.path)
     links = _linked(sets, part, whole)
 
     labelled = materialise(

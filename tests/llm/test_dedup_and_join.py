@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,42 @@ def test_join_odd(odd, nothing):
     # Without words all stay: ids 0, 1, 2 and the null row.
     assert sum(r["doc_id"] in (0, 1, 2) or r["text"] is None for r in kept.collect()) == 4
     assert ngram_join.components(nothing, 3, 90, 100).count() == 0
+
+
+@pytest.mark.parametrize("part, whole", [(9, 10), (4, 5), (1, 2)])
+def test_sketches_bound_the_difference_and_are_short(part, whole):
+    rng = np.random.default_rng(part)
+    known, few = ngram_join._possible(part, whole), 0
+    for n in (1, 5, 40, 300, 2_000):
+        base = rng.integers(0, 1 << 63, 2 * n, np.uint64)
+        pairs = [(np.unique(base[:n]), np.unique(base[k : n + k])) for k in range(0, n, max(n // 40, 1))]
+        for a, b in pairs:
+            rows = [{"key": 0, "row": i, "n": len(s), "sketch": ngram_join.sketch(s, part, whole)} for i, s in ((1, a), (2, b))]
+            found = next(known(iter([pa.RecordBatch.from_pylist(rows)]))).num_rows
+            both = len(np.intersect1d(a, b))
+            linked = whole * both >= part * (len(a) + len(b) - both)
+            assert found or not linked
+            few += not found
+            # Signatures, which were moved before, took 2 to 4 bits a token.
+            assert len(rows[0]["sketch"]) <= max(8, len(signature(a)) / 2) or part == 1
+    assert few
+
+
+def test_a_task_brings_the_shingles_of_copies_once(spark):
+    words = [" ".join(f"w{i}x{k}" for k in range(50)) for i in range(3)]
+    docs = spark.createDataFrame([(i, words[i % 3]) for i in range(60)], "id long, text string").coalesce(1)
+    rows = ngram_join._described(docs.selectExpr("id", "text", "0L AS row"), 3, 90, 100).collect()
+    assert len(rows) == 60 and len({r["node"] for r in rows}) == 3
+    assert sum(len(r["rarest"]) > 0 for r in rows) == 3
+
+
+def test_groups_are_cut_where_sizes_are_too_far_apart_and_whole_over_batches():
+    key = np.repeat([3, 7, 9], [6, 1, 400])
+    n = np.r_[100, 100, 105, 200, 205, 205, 50, np.full(400, 80)]
+    node = np.r_[11, 11, 12, 13, 14, 15, 16, 1_000 + np.arange(400) // 2]
+    batch = pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (key, n, node)], names=["key", "n", "node"])
+    for step in (1, 5, 64, 1_000):
+        pieces = [batch.slice(at, step) for at in range(0, len(batch), step)]
+        rows = [r for b in ngram_join._meeting(9, 10)(iter(pieces)) for r in b.to_pylist()]
+        assert sorted(r["nodes"] for r in rows if r["a"] is None) == [[11, 12], [13, 14, 15]]
+        assert {(r["a"], *r["nodes"]) for r in rows if r["a"] is not None} == {(1_000, 1_000 + i) for i in range(200)}
