@@ -13,12 +13,14 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchgate.session import Table, materialise, release, scratch_root
+from batchgate.session import Table, kept_tables, materialise, release, scratch_root
 
 __all__ = [
     "Table",
     "bounded",
     "connected",
+    "give_back",
+    "kept_tables",
     "materialise",
     "mix",
     "new_folder",
@@ -70,6 +72,14 @@ def open_input(uri: str):
 # --- memory of workers --------------------------------------------------------
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed but its allocators keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def settled(run: Callable) -> Callable:
     """``run`` for ``mapInArrow``, which gives freed memory back when its task ends.
 
@@ -78,10 +88,7 @@ def settled(run: Callable) -> Callable:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim:
-            trim(0)
+        give_back()
 
     return task
 

@@ -88,9 +88,10 @@ def _marked(docs, carry, id_col, text_col, content_key) -> DataFrame:
             F.min(order).alias("_best"), F.count(F.lit(1)).alias("group_size")
         ),
         "copy-groups",
+        128 + F.coalesce(F.octet_length("_other"), F.lit(0)),
     )
     found = compared.df.alias("c").join(
-        groups.df.alias("g"),
+        bounded(groups).alias("g"),
         (F.col("c._key") == F.col("g._key")) & F.col("c._other").eqNullSafe(F.col("g._other")),
     )
     copies = found.select(

@@ -15,9 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from batchgate.llm.common import give_back
+
 END_ID = 1
 # Words remembered by a worker, none longer than this; beyond the number the older half is forgotten.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 LONGEST = 64
 # ASCII signs at a word's end (but apostrophes) are a piece of their own after a Latin letter or digit.
 _ENDED = "([a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([!-&(-/:-@\\[-`{-~]+)([\t-\r ]|\\z)"
@@ -162,13 +164,20 @@ def id_bytes(path: str) -> int:
 def encoded(
     column: pa.Array, path: str, most: int = 1 << 21
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs ``(first, last, ids, bounds)`` of a text column, about ``most`` bytes of text each."""
-    texts = column.fill_null("").cast(pa.large_binary())
+    """Runs ``(first, last, ids, bounds)`` of a text column, about ``most`` bytes of text each.
+
+    Only a run's texts are taken out of the column, and freed memory is given back after
+    each, so that a worker needs no more for a large batch than for a small one.
+    """
     encode = encoder(path).encode
-    run, size, first = [], 0, 0
-    for i, text in enumerate(texts.to_pylist()):
-        run.append(text)
-        size += len(text)
-        if size >= most or i + 1 == len(texts):
-            yield first, i + 1, *encode(run)
-            run, size, first = [], 0, i + 1
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < len(column):
+        before = int(ends[first - 1]) if first else 0
+        last = min(int(np.searchsorted(ends, before + most)) + 1, len(column))
+        run = column.slice(first, last - first).fill_null("").cast(pa.large_binary()).to_pylist()
+        yield first, last, *encode(run)
+        del run
+        give_back()
+        first = last

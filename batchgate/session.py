@@ -57,6 +57,15 @@ class Table:
     metrics: dict
 
 
+# Paths of scratch tables that this process has written and not released, oldest first.
+_kept: dict[str, None] = {}
+
+
+def kept_tables() -> list[str]:
+    """Scratch tables that have not been released, mostly those that results read lazily."""
+    return list(_kept)
+
+
 def materialise(
     df: DataFrame,
     name: str,
@@ -73,6 +82,7 @@ def materialise(
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _kept[path] = None
     seen = Observation()
     observed = {
         "rows": F.count(F.lit(1)),
@@ -113,3 +123,4 @@ def release(spark: SparkSession, *paths: str) -> None:
     for path in filter(None, paths):
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop).delete(target, True)
+        _kept.pop(path, None)

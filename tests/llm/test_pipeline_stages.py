@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from batchgate.llm import exact_dedup, language_mixture, ngram_join
+from batchgate.session import kept_tables
 
 from .conftest import SF
 from .plain import PlainMixture, lettered, roots, shingles
@@ -87,3 +88,19 @@ def test_documents_without_any_language_stay(spark, documents):
     docs = documents.withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.language(spark, docs, SF)
     assert kept.count() == docs.where(F.col("text").rlike(r"\p{L}")).count() > 0
+
+
+def test_a_stage_deletes_what_the_one_before_left(spark, documents, odd, tmp_path):
+    docs, held = documents, []
+    for name, stage in corpus_pipeline.STAGES:
+        before = set(kept_tables())
+        result = stage(spark, docs, SF)
+        # Nothing that the stage before held is left; what this result reads is still there.
+        assert not set(held) & set(kept_tables())
+        held = [p for p in kept_tables() if p not in before]
+        result.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    assert docs.count() > 0
+    # A result that has not been written keeps its tables.
+    first = corpus_pipeline.exact(spark, odd, SF)
+    assert corpus_pipeline.near(spark, first, SF).count() <= first.count()

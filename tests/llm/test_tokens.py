@@ -163,3 +163,23 @@ def test_random_strings_have_the_ids_of_the_library(word_bpe):
         expected = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for k, e in enumerate(expected):
             assert ids[bounds[k] : bounds[k + 1]].tolist() == [*e.ids, 1], texts[k]
+
+
+def test_runs_take_only_their_texts(word_bpe, monkeypatch):
+    """A large batch is encoded run by run, and each run's memory is given back."""
+    import pyarrow as pa
+    from batchgate.llm import word_bpe as module
+
+    texts = [None, "", "a b", "x" * 50, None, "some words of a text", "é" * 30, "", None]
+    given = []
+    monkeypatch.setattr(module, "give_back", lambda: given.append(1))
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(["skip", *texts]).slice(1)):
+        whole = next(iter(module.encoded(column, word_bpe)))
+        for most in (1, 10, 40, 1 << 20):
+            given.clear()
+            runs = list(module.encoded(column, word_bpe, most))
+            assert [r[0] for r in runs] == [0, *[r[1] for r in runs[:-1]]] and runs[-1][1] == len(texts)
+            assert [i for r in runs for i in r[2].tolist()] == whole[2].tolist()
+            assert len(given) == len(runs)
+            assert all(sum(len((t or "").encode()) for t in texts[r[0] : r[1] - 1]) < most for r in runs)
+    assert list(module.encoded(pa.array([], pa.string()), word_bpe)) == []
