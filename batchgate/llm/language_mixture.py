@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchgate.llm.common import text_runs
+from batchgate.llm.common import settled, text_runs
 
 UNDETERMINED = "und"
 GRAM_BITS = 17
@@ -70,7 +70,7 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for first, last, data, bounds in text_runs(batch.column(0)):
+            for first, last, data, bounds in text_runs(batch.column(0), RUN):
                 grams, starts, words = word_grams(data, bounds)
                 cut = np.r_[starts, len(grams)][words]
                 own = np.repeat(np.arange(last - first), np.diff(cut))
@@ -92,7 +92,7 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
     counts = (
         docs.where(F.col(lang).isNotNull())
         .select(F.col(text).cast("string"), F.col(lang).cast("string"))
-        .mapInArrow(count, "lang string, gram int, n long")
+        .mapInArrow(settled(count), "lang string, gram int, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         .toArrow()
     )
@@ -181,7 +181,7 @@ def predict(
         model = shared.value
         for batch in batches:
             lettered = batch.column(2).to_numpy(zero_copy_only=False)
-            for first, last, data, bounds in text_runs(batch.column(1)):
+            for first, last, data, bounds in text_runs(batch.column(1), RUN):
                 share = infer(model, data, bounds)
                 share[~lettered[first:last].astype(bool)] = 0
                 order = np.argsort(-share, axis=1, kind="stable")
@@ -209,7 +209,7 @@ def predict(
     )
     kept = packed.schema["kept"].dataType.simpleString()
     return packed.mapInArrow(
-        label, f"kept {kept}, lang_pred string, score double, languages string"
+        settled(label), f"kept {kept}, lang_pred string, score double, languages string"
     )
 
 
@@ -265,4 +265,4 @@ def drop_unidentified(
     lettered = docs.toDF(*names).where(
         F.coalesce(F.col(names[at]).cast("string"), F.lit("")).rlike(r"\p{L}")
     )
-    return lettered.mapInArrow(stay, lettered.schema).toDF(*docs.columns)
+    return lettered.mapInArrow(settled(stay), lettered.schema).toDF(*docs.columns)

@@ -104,3 +104,11 @@ def test_a_stage_deletes_what_the_one_before_left(spark, documents, odd, tmp_pat
     # A result that has not been written keeps its tables.
     first = corpus_pipeline.exact(spark, odd, SF)
     assert corpus_pipeline.near(spark, first, SF).count() <= first.count()
+
+
+def test_language_tasks_give_memory_back(spark, documents, monkeypatch):
+    wrapped, settled = [], language_mixture.settled
+    monkeypatch.setattr(language_mixture, "settled", lambda run: wrapped.append(run.__name__) or settled(run))
+    language_mixture.identify(documents)
+    language_mixture.drop_unidentified(documents)
+    assert wrapped == ["count", "label", "count", "stay"]
