@@ -132,6 +132,35 @@ def test_prefix_table_equals_library(piece_bpe):
         assert said.decode() == " ".join(map(str, ids))
 
 
+@pytest.mark.parametrize("places", [5, 21])
+def test_runs_of_segments_equal_library(piece_bpe, monkeypatch, places):
+    """Segments of a run are taken together; with 2^5 places pairs are forgotten all the time."""
+    monkeypatch.setattr(prefix_table, "PLACES", places)
+    monkeypatch.setattr(prefix_table, "TOGETHER", 40)
+    own, library = prefix_table.PrefixEncoder(piece_bpe, 50), sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz'-.,\n  ▁éßñžия中한🙂\x00\tTHE09"
+    texts = ["".join(rnd.choices(letters, k=rnd.choice([0, 1, 5, 30, 90]))) for _ in range(500)]
+    texts += [t or "" for t in ODD_TEXTS] + TRICKY + ["internationalization " * 3, " ", "\n", "▁", "x" * 64, "y" * 65]
+    rnd.shuffle(texts)
+    for at in range(0, len(texts), 60):
+        run = texts[at : at + 60]
+        ids, ends, said, said_ends = own.encode_run([t.encode() for t in run])
+        want = [library.encode(t) for t in run]
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == want
+        got = [bytes(said[a:b]).decode() for a, b in zip(said_ends, said_ends[1:], strict=False)]
+        assert got == ["".join(f"{i} " for i in ids) for ids in want]
+        assert max(map(len, own.words), default=0) <= prefix_table.LONGEST and len(own.words) <= 50
+
+
+def test_only_long_segments_are_taken_singly(piece_bpe, monkeypatch):
+    own, singly = prefix_table.PrefixEncoder(piece_bpe), []
+    tokens = own.tokens
+    monkeypatch.setattr(own, "tokens", lambda segment: singly.append(segment) or tokens(segment))
+    own.encode(("some Words of\na text, né. 한\t" * 3 + "a\x00b " + "z" * 100).encode())
+    assert singly == ["▁" + "z" * 100]
+
+
 def test_round_trip(odd, nothing, piece_bpe):
     library = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
 
