@@ -7,9 +7,12 @@
    A class is named by 64 bits of its digest, so copies need no lookup, and a
    shingle is moved once, with that name and the set's size.
 3. Parity sketches leave the pairs of a group that may be similar enough: a token
-   that only one of two sets has changes one bit at most. The pairs' connected
-   components are blocks; every link is in a block.
-4. Sets are moved once, to their block. A signature tree per block is joined
+   that only one of two sets has changes one bit at most. All of a group are first
+   compared with its smallest name, which copies have in common in most of their
+   groups; groups that this leaves in several components are compared pair by pair.
+   The pairs' connected components are blocks; every link is in a block.
+4. Texts are moved once, to their block, and made sets there: a text takes less than
+   half of its hashes' bytes. A signature tree per block is joined
    with itself and links are verified on the sets. Larger blocks are dealt out in
    chunks: first each chunk with some hubs of the block; then chunks of sets that
    are not in the block's main component meet all others of sizes that can link.
@@ -51,8 +54,12 @@ RUN = 1 << 18
 COUNTED = 1 << 19
 # Classes that a task remembers having met.
 REMEMBERED = 1 << 16
-# Groups beyond this size become part of one block without a look at sketches.
+# Groups beyond this size become part of one block without a look at sketches ...
 LARGE_GROUP = 128
+# ... by themselves; in the join it takes one beyond this size.
+MOST_SCREENED = 4096
+# Lists up to this size are compared one pair at a time.
+FEW = 32
 # Sets of a block that one task compares; blocks beyond it are dealt out in chunks.
 CHUNK = 64
 MOST_IN_CHUNK = 4096
@@ -221,6 +228,15 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[dict
         yield list(some)
 
 
+def _with_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict]:
+    """Rows with the set of their text, the last column, as ``tokens``."""
+    for batch in batches:
+        texts, rest = batch.column(batch.num_columns - 1), batch.select(batch.schema.names[:-1])
+        for first, sets in shingle_sets(texts, size):
+            for row, tokens in zip(rest.slice(first, len(sets)).to_pylist(), sets, strict=True):
+                yield row | {"tokens": tokens}
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     """Columns of longs as arrays of whole groups; they arrive sorted by the first column."""
     held: list[tuple[np.ndarray, ...]] = []
@@ -239,14 +255,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def _meeting(part: int, whole: int) -> Callable:
+def _meeting(part: int, whole: int, most: int | None = None) -> Callable:
     """Groups of classes that share a shingle, as lists, or edges to their smallest node.
 
-    Rows are (key, n, node), sorted. A group is cut where sizes are too far apart to link.
+    Groups of over ``most`` classes (``LARGE_GROUP`` if not given) are edges. Rows are (key, n, node), sorted. A group is cut where sizes are too far apart to link.
     Lists are named by 128 bits, so that equal ones are found.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limit = most or LARGE_GROUP
         for key, n, node in _runs(batches):
             fresh = np.ones(len(key), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
@@ -255,14 +272,14 @@ def _meeting(part: int, whole: int) -> Callable:
             starts[1:] = (key[1:] != key[:-1]) | (part * n[1:] > whole * n[:-1])
             begin = np.flatnonzero(starts)
             many = np.diff(begin, append=len(key))
-            large = np.flatnonzero(many > LARGE_GROUP)
+            large = np.flatnonzero(many > limit)
             hubs = np.repeat([node[a : a + c].min() for a, c in zip(begin[large], many[large], strict=True)], many[large])
-            owned = np.repeat(many > LARGE_GROUP, many)
+            owned = np.repeat(many > limit, many)
             hidden = mix(node.view(np.uint64))
             again = mix(hidden + np.uint64(1))
             x, y = (np.add.reduceat(h, begin) if len(begin) else h for h in (hidden, again))
             # Lists that this run has already are left out.
-            small = np.flatnonzero((many > 1) & (many <= LARGE_GROUP))
+            small = np.flatnonzero((many > 1) & (many <= limit))
             _, one = np.unique(np.stack([x[small], y[small]]), axis=1, return_index=True) if len(small) else (0, small)
             small = small[np.sort(one)]
             lists = [node[a : a + c] for a, c in zip(begin[small], many[small], strict=True)]
@@ -283,46 +300,95 @@ def _meeting(part: int, whole: int) -> Callable:
     return run
 
 
+def _folded(value: int, bits: int, to: int) -> int:
+    while bits > to:
+        bits //= 2
+        value = (value >> bits) ^ (value & ((1 << bits) - 1))
+    return value
+
+
+def _with_hub(part: int, whole: int) -> Callable:
+    """Those edges from a hub to another set whose sketches allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passed = np.zeros(batch.num_rows, bool)
+            rows = zip(*(batch.column(c).to_pylist() for c in range(2, 6)), strict=True)
+            for i, (n, held, hub_n, hub_held) in enumerate(rows):
+                if part * max(n, hub_n) > whole * min(n, hub_n):
+                    continue
+                bits, hub_bits = 8 * len(held), 8 * len(hub_held)
+                own, other = int.from_bytes(held, "little"), int.from_bytes(hub_held, "little")
+                to = min(bits, hub_bits)
+                differ = (_folded(own, bits, to) ^ _folded(other, hub_bits, to)).bit_count()
+                passed[i] = differ * (whole + part) <= (n + hub_n) * (whole - part)
+            yield batch.select(["a", "b"]).filter(pa.array(passed))
+
+    return run
+
+
 def _possible(part: int, whole: int) -> Callable:
-    """Edges that connect the sets of a group whose sketches allow a link."""
+    """Edges that connect the sets of a group whose sketches allow a link.
+
+    Rows of one label are one component already.
+    """
 
-    def folded(value: int, bits: int, to: int) -> int:
-        while bits > to:
-            bits //= 2
-            value = (value >> bits) ^ (value & ((1 << bits) - 1))
-        return value
+    def of_few(sizes: list[int], sketches: list[bytes], known: Components) -> None:
+        bits = [8 * len(s) for s in sketches]
+        values = [int.from_bytes(s, "little") for s in sketches]
+        for i, n in enumerate(sizes):
+            for j in range(i + 1, len(sizes)):
+                if part * sizes[j] > whole * n:
+                    break
+                if known.find(i) == known.find(j):
+                    continue
+                to = min(bits[i], bits[j])
+                differ = (_folded(values[i], bits[i], to) ^ _folded(values[j], bits[j], to)).bit_count()
+                if differ * (whole + part) <= (n + sizes[j]) * (whole - part):
+                    known.union(i, j)
+
+    def of_many(sizes: list[int], sketches: list[bytes], known: Components) -> None:
+        n, label = np.array(sizes, np.int64), known.roots()
+        words = np.array([len(s) // 8 for s in sketches])
+        kinds = [np.flatnonzero(words == w) for w in np.unique(words)]
+        for x, first in enumerate(kinds):
+            rows = np.frombuffer(b"".join([sketches[i] for i in first]), np.uint64).reshape(len(first), -1)
+            for second in kinds[x:]:
+                held = np.frombuffer(b"".join([sketches[i] for i in second]), np.uint64).reshape(len(second), -1)
+                while held.shape[1] > rows.shape[1]:
+                    held = held[:, : held.shape[1] // 2] ^ held[:, held.shape[1] // 2 :]
+                for i, own in zip(first.tolist(), rows, strict=True):
+                    near = (part * n[second] <= whole * n[i]) & (part * n[i] <= whole * n[second])
+                    open_ = np.flatnonzero(near & (label[second] != label[i]))
+                    differ = np.bitwise_count(held[open_] ^ own).sum(1, dtype=np.int64)
+                    for j in second[open_[differ * (whole + part) <= (n[i] + n[second[open_]]) * (whole - part)]].tolist():
+                        if label[j] != label[i]:
+                            known.union(i, j)
+                            label[label == label[j]] = label[i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, 1):
             rows.sort(key=lambda r: r["n"])
-            ids, sizes = [r["row"] for r in rows], [r["n"] for r in rows]
-            bits = [8 * len(r["sketch"]) for r in rows]
-            values = [int.from_bytes(r["sketch"], "little") for r in rows]
-            known = Components(np.arange(len(ids)))
-            for i, n in enumerate(sizes):
-                for j in range(i + 1, len(ids)):
-                    if part * sizes[j] > whole * n:
-                        break
-                    to = min(bits[i], bits[j])
-                    differ = (folded(values[i], bits[i], to) ^ folded(values[j], bits[j], to)).bit_count()
-                    if differ * (whole + part) <= (n + sizes[j]) * (whole - part):
-                        known.union(i, j)
+            ids, sizes, sketches = ([r[c] for r in rows] for c in ("row", "n", "sketch"))
+            known = Components(np.array([r.get("label", r["row"]) for r in rows], np.int64))
+            (of_few if len(ids) <= FEW else of_many)(sizes, sketches, known)
             yield pa.RecordBatch.from_pydict(_edges(ids, known))
 
     return run
 
 
-def _verified(part: int, whole: int) -> Callable:
-    """Edges that connect the linked sets of a unit, verified on the sets.
+def _verified(size: int, part: int, whole: int) -> Callable:
+    """Edges that connect the linked sets of a unit, verified on the sets of its texts.
 
     A unit's rows are of side 0, 1 or 2: sets of side 0 meet one another and those
     of side 2, as do those of side 1. Rows of one label are one component already.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches, 3):
+        for _, some in groupby(_with_sets(batches, size), key=lambda r: tuple(r.values())[:3]):
+            rows = list(some)
             ids = [r["row"] for r in rows]
-            sets = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
+            sets = [r["tokens"] for r in rows]
             bits = [signature(s) for s in sets]
             sizes = np.array([len(s) for s in sets], np.int64)
             side = np.array([r["side"] for r in rows])
@@ -343,35 +409,67 @@ def _verified(part: int, whole: int) -> Callable:
     return run
 
 
-def _blocks(rows: DataFrame, part: int, whole: int) -> Table:
-    """(node, root) of classes that may be linked; root names the block."""
-    groups = materialise(
+def _groups(rows: DataFrame, part: int, whole: int) -> Table:
+    """Lists of classes that share a prefix shingle, or edges of large groups."""
+    return materialise(
         rows.where("n > 0").select(F.explode("rarest").alias("key"), "n", "node")
         .repartition("key").sortWithinPartitions("key", "n", "node")
-        .mapInArrow(settled(_meeting(part, whole)), "x long, y long, a long, nodes array<long>"),
+        .mapInArrow(settled(_meeting(part, whole, MOST_SCREENED)), "x long, y long, a long, nodes array<long>"),
         "groups",
     )
+
+
+def _blocks(rows: DataFrame, groups: Table, part: int, whole: int) -> Table:
+    """(node, root) of classes that may be linked; root names the block."""
+    spark = rows.sparkSession
     # Groups of the same classes need one look.
     members = materialise(
         groups.df.where("a IS NULL").groupBy("x", "y").agg(F.first("nodes").alias("nodes"))
         .select(F.monotonically_increasing_id().alias("key"), "nodes")
-        .select("key", F.explode("nodes").alias("row")),
+        .select("key", F.array_min("nodes").alias("hub"), F.size("nodes").alias("many"), F.explode("nodes").alias("row")),
         "members",
     )
+    large = materialise(
+        groups.df.where("a IS NOT NULL").select("a", F.col("nodes")[0].alias("b")).where("a != b").distinct(),
+        "large-groups",
+    )
+    release(spark, groups.path)
     wanted = materialise(members.df.select("row").distinct(), "wanted-sketches")
-    sketches = (
+    sketches = materialise(
         rows.select(F.col("node").alias("row"), "n", "sketch")
-        .join(bounded(wanted), "row", "left_semi").dropDuplicates(["row"])
+        .join(bounded(wanted), "row", "left_semi").dropDuplicates(["row"]),
+        "sketches",
+        F.octet_length("sketch"),
+    )
+    hubs = bounded(sketches).select(F.col("row").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
+    first = materialise(
+        members.df.where("row != hub").select("hub", "row").distinct()
+        .join(bounded(sketches), "row").join(hubs, "hub")
+        .select(F.col("hub").alias("a"), F.col("row").alias("b"), "n", "sketch", "hub_n", "hub_sketch")
+        .mapInArrow(settled(_with_hub(part, whole)), "a long, b long"),
+        "with-hub",
+    )
+    known = connected(first.df.union(large.df))
+    labelled = materialise(
+        members.df.where("many > 2").select("key", "row")
+        .join(bounded(known), F.col("row") == F.col("node"), "left")
+        .select("key", "row", F.coalesce("root", "row").alias("label")),
+        "labelled-members",
     )
-    screened = (
-        members.df.join(sketches, "row")
-        .select("key", "row", "n", "sketch")
+    several = materialise(
+        labelled.df.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key"),
+        "several",
+    )
+    release(spark, members.path, wanted.path, first.path, large.path)
+    rest = materialise(
+        labelled.df.join(bounded(several), "key", "left_semi").join(bounded(sketches), "row")
+        .select("key", "row", "n", "sketch", "label")
         .repartition("key").sortWithinPartitions("key")
-        .mapInArrow(settled(_possible(part, whole)), "a long, b long")
+        .mapInArrow(settled(_possible(part, whole)), "a long, b long"),
+        "possible",
     )
-    whole_groups = groups.df.where("a IS NOT NULL").select("a", F.col("nodes")[0].alias("b"))
-    blocks = connected(screened.union(whole_groups.where("a != b")))
-    release(rows.sparkSession, groups.path, members.path, wanted.path)
+    blocks = connected(rest.df.union(known.df.select("root", "node")))
+    release(spark, sketches.path, known.path, labelled.path, several.path, rest.path)
     return blocks
 
 
@@ -380,9 +478,9 @@ def _band(part: int, whole: int) -> float:
     return max(log(whole / part), 1e-6) * (1 + 1e-9) / BANDS
 
 
-def _linked(sets: Table, part: int, whole: int) -> Table:
-    """(node, root) of classes that are linked; ``sets`` has block, size of it, row, tokens."""
-    verify = _verified(part, whole)
+def _linked(sets: Table, size: int, part: int, whole: int) -> Table:
+    """(node, root) of classes that are linked; ``sets`` has block, size of it, row, n, text."""
+    spark, verify = sets.df.sparkSession, _verified(size, part, whole)
     sort = ["block", "x", "y"]
     chunks = F.ceil(F.col("members") / CHUNK)
     spread = F.xxhash64("row")
@@ -397,7 +495,7 @@ def _linked(sets: Table, part: int, whole: int) -> Table:
             )
         ),
     )
-    shape = "row", F.lit(0).alias("side"), F.col("row").alias("label"), "tokens"
+    shape = "row", F.lit(0).alias("side"), F.col("row").alias("label"), "text"
     first = materialise(
         placed.select("block", "x", F.lit(0).cast("long").alias("y"), *shape)
         .repartition(*sort).sortWithinPartitions(*sort, "row")
@@ -405,20 +503,22 @@ def _linked(sets: Table, part: int, whole: int) -> Table:
         "links",
     )
     if not sets.metrics["largest"] or sets.metrics["largest"] <= CHUNK:
+        release(spark, sets.path)
         links = connected(first.df)
-        release(sets.df.sparkSession, first.path)
+        release(spark, first.path)
         return links
 
     # Second round, in larger blocks only: sets beside the main component meet all others.
     so_far = connected(first.df)
     big = materialise(
-        own.where("chunks > 1").select("block", "row", "members", "tokens")
+        own.where("chunks > 1").select("block", "row", "members", "n", "text")
         .join(bounded(so_far), F.col("row") == F.col("node"), "left")
         .withColumn("label", F.coalesce("root", "row")).drop("node", "root")
-        .withColumn("band", F.floor(F.log(F.octet_length("tokens") / 8) / _band(part, whole))),
+        .withColumn("band", F.floor(F.log("n") / _band(part, whole))),
         "big-blocks",
+        codec="zstd",
     )
-    release(sets.df.sparkSession, so_far.path)
+    release(spark, so_far.path, sets.path)
     main = materialise(
         big.df.groupBy("block", "label").count()
         .groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main")),
@@ -426,21 +526,24 @@ def _linked(sets: Table, part: int, whole: int) -> Table:
     )
     # Chunks grow with the block up to a number and a size, so that sets are copied to few
     # tasks. A chunk lies in one band of sizes, and links join bands near each other only.
-    wide = F.least(F.greatest(F.lit(CHUNK), F.ceil(F.col("members") / 40)), F.lit(MOST_IN_CHUNK))
-    fit = F.greatest(F.floor(UNIT_BYTES / F.col("longest")), F.lit(1))
+    # Sets beside the main component have chunks of their own: all others go to each of these.
+    wide = F.least(F.greatest(F.lit(CHUNK), F.ceil(F.col("members") / 16)), F.lit(MOST_IN_CHUNK))
+    fit = F.greatest(F.floor(UNIT_BYTES / (8 * F.col("longest"))), F.lit(1))
+    placed = big.df.join(bounded(main), "block").withColumn("beside", F.col("label") != F.col("main"))
     bands = materialise(
-        big.df.groupBy("block", "band").agg(
-            F.count(F.lit(1)).alias("held"), F.max("members").alias("members"), F.max(F.octet_length("tokens")).alias("longest")
-        ).select("block", "band", F.ceil(F.col("held") / F.least(wide, fit)).cast("long").alias("chunks")),
+        placed.groupBy("block", "band", "beside").agg(
+            F.count(F.lit(1)).alias("held"), F.max("members").alias("members"), F.max("n").alias("longest")
+        ).select("block", "band", "beside", F.ceil(F.col("held") / F.least(wide, fit)).cast("long").alias("chunks")),
         "bands",
     )
     dealt = materialise(
-        big.df.join(bounded(main), "block").join(bounded(bands), ["block", "band"])
-        .withColumn("beside", F.col("label") != F.col("main"))
-        .withColumn("chunk", F.col("band") * F.lit(1 << 32) + F.pmod(spread, F.col("chunks")))
-        .select("block", "band", "chunk", "row", "label", "tokens", "beside"),
+        placed.join(bounded(bands), ["block", "band", "beside"])
+        .withColumn("chunk", F.col("band") * F.lit(1 << 32) + 2 * F.pmod(spread, F.col("chunks")) + F.col("beside").cast("long"))
+        .select("block", "band", "chunk", "row", "label", "text", "beside"),
         "chunks",
+        codec="zstd",
     )
+    release(spark, big.path, main.path, bands.path)
     near_by = F.explode(F.sequence(F.col("band") - BANDS, F.col("band") + BANDS))
     reach = materialise(
         dealt.df.groupBy("block", "band", "chunk")
@@ -465,16 +568,16 @@ def _linked(sets: Table, part: int, whole: int) -> Table:
         placed.withColumn("x", F.explode("with_beside")).withColumn("y", F.col("chunk"))
         .where("x < y OR NOT beside").withColumn("side", F.lit(2))
     )
-    columns = [*sort, "row", "side", "label", "tokens"]
+    columns = [*sort, "row", "side", "label", "text"]
     second = materialise(
         left.select(*columns).union(right.select(*columns))
         .repartition(*sort).sortWithinPartitions(*sort, "row")
         .mapInArrow(settled(verify), "a long, b long"),
         "links",
     )
-    release(sets.df.sparkSession, big.path, main.path, bands.path, dealt.path, reach.path)
+    release(spark, dealt.path, reach.path)
     links = connected(first.df.union(second.df))
-    release(sets.df.sparkSession, first.path, second.path)
+    release(spark, first.path, second.path)
     return links
 
 
@@ -513,16 +616,22 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
     described = _described(texts, size, part, whole)
     if not row_col:
         described = described.withColumn("row", F.monotonically_increasing_id())
-    rows = materialise(described, "texts").df
+    texts_table = materialise(described, "texts")
     order = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("i"), F.col("row").alias("r"), F.col("text_hash").alias("t"))
     classes = materialise(
-        rows.where("n > 0").groupBy("class", "node").agg(F.min(order).alias("best"))
-        .select("class", "best", F.col("node").alias("row")),
+        texts_table.df.where("n > 0").groupBy("class", "node").agg(F.min(order).alias("best"), F.max("n").alias("n"))
+        .select("class", "best", "n", F.col("node").alias("row")),
         "classes",
     )
-    blocks = _blocks(rows, part, whole)
-
-    # The sets of classes in blocks are made anew from their texts.
+    groups = _groups(texts_table.df, part, whole)
+    # Prefixes are most of the table, and not needed any more.
+    with_sketch = materialise(texts_table.df.drop("rarest", "text_hash"), "rows")
+    release(docs.sparkSession, texts_table.path)
+    blocks = _blocks(with_sketch.df, groups, part, whole)
+    rows = materialise(with_sketch.df.drop("node", "sketch"), "rows").df
+    release(docs.sparkSession, with_sketch.path)
+
+    # The sets of classes in blocks are made anew from their texts, where they meet.
     sizes = materialise(blocks.df.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "block-sizes", metrics={"largest": F.max("members")})
     hubs = blocks.df.join(
         bounded(sizes).where(F.col("members") > CHUNK), "root"
@@ -531,24 +640,25 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
     wanted = materialise(
         blocks.df.join(bounded(sizes), "root").join(ranked, "node", "left")
         .join(classes.df, F.col("node") == F.col("row"))
-        .select("row", F.col("best.i").alias("id"), F.col("best.t").alias("text_hash"), F.col("root").alias("block"), "members", F.coalesce("hub_rank", F.lit(HUBS + 1)).alias("hub_rank")),
+        .select("row", "n", F.col("best.i").alias("id"), F.col("best.r").alias("at"), F.col("best.t").alias("text_hash"), F.col("root").alias("block"), "members", F.coalesce("hub_rank", F.lit(HUBS + 1)).alias("hub_rank")),
         "wanted",
     )
-    found = texts.drop("row").withColumn("text_hash", F.xxhash64("text")).alias("t").join(
-        bounded(wanted).alias("w"),
-        (F.col("t.text_hash") == F.col("w.text_hash")) & F.col("t.id").eqNullSafe(F.col("w.id")),
-    )
+    if row_col:
+        found = texts.alias("t").join(bounded(wanted).alias("w"), F.col("t.row") == F.col("w.at"))
+    else:
+        found = texts.drop("row").withColumn("text_hash", F.xxhash64("text")).alias("t").join(
+            bounded(wanted).alias("w"),
+            (F.col("t.text_hash") == F.col("w.text_hash")) & F.col("t.id").eqNullSafe(F.col("w.id")),
+        )
+    found = found.select("w.row", "w.n", "w.block", "w.members", "w.hub_rank", "t.text")
     sets = materialise(
-        found.select("w.row", "w.block", "w.members", "w.hub_rank", "t.text")
-        .dropDuplicates(["row"])
-        .mapInArrow(
-            settled(_tokens(size)), "row long, block long, members long, hub_rank int, tokens binary"
-        ),
+        found if row_col else found.dropDuplicates(["row"]),
         "sets",
         metrics={"largest": F.max("members")},
+        codec="zstd",
     )
     release(docs.sparkSession, blocks.path, sizes.path, wanted.path)
-    links = _linked(sets, part, whole)
+    links = _linked(sets, size, part, whole)
 
     labelled = materialise(
         classes.df.join(bounded(links), F.col("row") == F.col("node"), "left").select(
@@ -561,7 +671,7 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
         labelled.df.select("class", "label").join(best.df, "label").select("class", "best"),
         "class-components",
     )
-    release(docs.sparkSession, sets.path, links.path, classes.path, labelled.path, best.path)
+    release(docs.sparkSession, links.path, classes.path, labelled.path, best.path)
     return rows, named.df
 
 
@@ -579,21 +689,6 @@ def _smallest(hubs: DataFrame) -> DataFrame:
     )
 
 
-def _tokens(size: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, sets in shingle_sets(batch.column(4), size):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(i).slice(first, len(sets)) for i in range(4)],
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    names=["row", "block", "members", "hub_rank", "tokens"],
-                )
-
-    return run
-
-
 def drop_near_copies(
     docs: DataFrame,
     size: int = 5,
@@ -608,7 +703,9 @@ def drop_near_copies(
     numbered and written once; only id, text and number go through Python.
     """
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("kept"))
-    numbered = materialise(packed.withColumn("row", F.monotonically_increasing_id()), "numbered").df
+    numbered = materialise(
+        packed.withColumn("row", F.monotonically_increasing_id()), "numbered", codec="zstd"
+    ).df
     texts = numbered.select(
         F.col("kept")[id_col].alias("id"), F.col("kept")[text_col].alias("text"), "row"
     )

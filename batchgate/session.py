@@ -57,6 +57,10 @@ class Table:
     metrics: dict
 
 
+# Spark then removes the shuffle files of a query when it ends, not when the driver happens to
+# collect its garbage. What reads a scratch table never goes back to the query that wrote it.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Paths of scratch tables that this process has written and not released, oldest first.
 _kept: dict[str, None] = {}
 
@@ -78,7 +82,7 @@ def materialise(
     Row count, estimated in-memory bytes (``width`` summed over the rows, plus
     a fixed overhead) and any extra ``metrics`` are observed by the same job,
     so asking for the size costs no second pass. ``codec`` names another Parquet
-    compression than the session's.
+    compression than the session's. Shuffle files go when the table is written.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -89,11 +93,16 @@ def materialise(
         "bytes": F.sum(width if width is not None else F.lit(0)),
         **(metrics or {}),
     }
-    (
-        df.observe(seen, *[c.alias(n) for n, c in observed.items()])
-        .write.mode("overwrite")
-        .parquet(path, compression=codec)
-    )
+    former = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (
+            df.observe(seen, *[c.alias(n) for n, c in observed.items()])
+            .write.mode("overwrite")
+            .parquet(path, compression=codec)
+        )
+    finally:
+        spark.conf.unset(_CLEANUP) if former is None else spark.conf.set(_CLEANUP, former)
     got = seen.get
     rows = int(got["rows"] or 0)
     return Table(
