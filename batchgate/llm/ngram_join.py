@@ -416,6 +416,7 @@ def _groups(rows: DataFrame, part: int, whole: int) -> Table:
         .repartition("key").sortWithinPartitions("key", "n", "node")
         .mapInArrow(settled(_meeting(part, whole, MOST_SCREENED)), "x long, y long, a long, nodes array<long>"),
         "groups",
+        metrics={"large": F.count("a")},
     )
 
 
@@ -429,7 +430,8 @@ def _blocks(rows: DataFrame, groups: Table, part: int, whole: int) -> Table:
         .select("key", F.array_min("nodes").alias("hub"), F.size("nodes").alias("many"), F.explode("nodes").alias("row")),
         "members",
     )
-    large = materialise(
+    # Mostly there is no large group.
+    large = groups.metrics["large"] and materialise(
         groups.df.where("a IS NOT NULL").select("a", F.col("nodes")[0].alias("b")).where("a != b").distinct(),
         "large-groups",
     )
@@ -449,18 +451,20 @@ def _blocks(rows: DataFrame, groups: Table, part: int, whole: int) -> Table:
         .mapInArrow(settled(_with_hub(part, whole)), "a long, b long"),
         "with-hub",
     )
-    known = connected(first.df.union(large.df))
+    edges = first.df.union(large.df) if large else first.df
+    # Classes with one smallest hub are one component.
+    known = materialise(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "smallest-hubs")
     labelled = materialise(
         members.df.where("many > 2").select("key", "row")
         .join(bounded(known), F.col("row") == F.col("node"), "left")
-        .select("key", "row", F.coalesce("root", "row").alias("label")),
+        .select("key", "row", F.least("root", "row").alias("label")),
         "labelled-members",
     )
     several = materialise(
         labelled.df.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key"),
         "several",
     )
-    release(spark, members.path, wanted.path, first.path, large.path)
+    release(spark, members.path, wanted.path, known.path)
     rest = materialise(
         labelled.df.join(bounded(several), "key", "left_semi").join(bounded(sketches), "row")
         .select("key", "row", "n", "sketch", "label")
@@ -468,8 +472,8 @@ def _blocks(rows: DataFrame, groups: Table, part: int, whole: int) -> Table:
         .mapInArrow(settled(_possible(part, whole)), "a long, b long"),
         "possible",
     )
-    blocks = connected(rest.df.union(known.df.select("root", "node")))
-    release(spark, sketches.path, known.path, labelled.path, several.path, rest.path)
+    blocks = connected(rest.df.union(edges))
+    release(spark, sketches.path, labelled.path, several.path, rest.path, first.path, *([large.path] if large else []))
     return blocks
 
 
@@ -625,11 +629,9 @@ def _members(docs, size, part, whole, id_col, text_col, row_col) -> tuple[DataFr
     )
     groups = _groups(texts_table.df, part, whole)
     # Prefixes are most of the table, and not needed any more.
-    with_sketch = materialise(texts_table.df.drop("rarest", "text_hash"), "rows")
+    rows = materialise(texts_table.df.drop("rarest", "text_hash"), "rows").df
     release(docs.sparkSession, texts_table.path)
-    blocks = _blocks(with_sketch.df, groups, part, whole)
-    rows = materialise(with_sketch.df.drop("node", "sketch"), "rows").df
-    release(docs.sparkSession, with_sketch.path)
+    blocks = _blocks(rows, groups, part, whole)
 
     # The sets of classes in blocks are made anew from their texts, where they meet.
     sizes = materialise(blocks.df.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "block-sizes", metrics={"largest": F.max("members")})
